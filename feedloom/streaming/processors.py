@@ -1,0 +1,85 @@
+"""Keyed state where no built-in streaming aggregate exists.
+
+Each processor sees the rows of one key of one micro-batch, puts them into
+arrival order and keeps a few numbers per key.  The trigger's offset limit
+bounds the rows of a call.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+
+def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+
+
+class SuccessiveChange(StatefulProcessor):
+    """Total absolute change between successive readings of a (station, window).
+
+    Emits one row per reading.  State goes when the watermark passes the end of
+    the window.
+    """
+
+    OUTPUT = ("station_id string, window_start timestamp, window_end timestamp, "
+              "seq bigint, num_bikes_available int, net bigint")
+
+    def __init__(self, baseline: str = "zero"):
+        self.baseline = baseline
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("fold", "net bigint, last int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        data = _in_order(rows)
+        values = data["num_bikes_available"].to_numpy(dtype="int64")
+        if self.state.exists():
+            net, last = self.state.get()
+        else:
+            net, last = 0, (0 if self.baseline == "zero" else int(values[0]))
+            end = pd.Timestamp(key[2]).tz_localize("UTC") if pd.Timestamp(key[2]).tzinfo is None \
+                else pd.Timestamp(key[2])
+            self.handle.registerTimer(int(end.timestamp() * 1000))
+        steps = np.abs(np.diff(values, prepend=last))
+        totals = net + np.cumsum(steps)
+        self.state.update((int(totals[-1]), int(values[-1])))
+        yield pd.DataFrame({
+            "station_id": key[0], "window_start": key[1], "window_end": key[2],
+            "seq": data["seq"].to_numpy(), "num_bikes_available": values.astype("int32"),
+            "net": totals})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class RunningMinimum(StatefulProcessor):
+    """Arrivals earlier than every one seen before for their (route, stop, direction)."""
+
+    OUTPUT = "seq bigint, route_id string, stop_id string, direction string, arrival bigint"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "arrival bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        data = _in_order(rows)
+        arrivals = data["arrival"].to_numpy(dtype="int64")
+        stored = self.best.get()[0] if self.best.exists() else np.iinfo("int64").max
+        before = np.minimum.accumulate(np.concatenate(([stored], arrivals)))[:-1]
+        better = arrivals < before
+        if better.any():
+            self.best.update((int(arrivals[better][-1]),))
+            yield pd.DataFrame({
+                "seq": data["seq"].to_numpy()[better], "route_id": key[0], "stop_id": key[1],
+                "direction": key[2], "arrival": arrivals[better]})
+
+    def close(self) -> None:
+        pass
