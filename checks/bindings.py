@@ -241,10 +241,11 @@ def alerts(ev: DataFrame) -> DataFrame:
 
 # --- posts, logs, messages --------------------------------------------------
 
-def posts(spark: SparkSession, sf: str) -> DataFrame:
+def posts(spark: SparkSession, sf: str, documents: DataFrame | None = None) -> DataFrame:
     """Forms with repeated titles, bad dates and missing authors."""
     labels = table(spark, sf, "labels")
-    return table(spark, sf, "documents").join(labels, "doc_id", "left").select(
+    documents = table(spark, sf, "documents") if documents is None else documents
+    return documents.join(labels, "doc_id", "left").select(
         c("doc_id").alias("seq"), F.concat_ws("/", "source", "lang").alias("title"),
         c("text").alias("body"),
         F.when(c("doc_id") % 10 == 0, "2018/07/01").otherwise("2018-07-01").alias("date"),

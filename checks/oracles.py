@@ -307,3 +307,22 @@ ORACLES = {
             string_split('Live on Mars is great!', ' ') words from conversations group by 1) m,
           range(1, 6) r(i)""",
 }
+
+# Streaming runs end in the rows of their batch forms.
+ORACLES |= {
+    "stream_low_availability": ORACLES["low_availability"],
+    "stream_net_delta_changelog": ORACLES["net_delta_changelog"],
+    "stream_net_delta": _with("status net_hour",
+                              "select station_id, window_start, window_end, net from net_hour"),
+    "stream_next_arrival": ORACLES["next_arrival"],
+    "stream_arrival_improvements": ORACLES["arrival_improvements"],
+    "stream_kv_upsert": ORACLES["kv_upsert"],
+    "stream_save_forms": _with("forms valid", """
+        select title, arg_max(body, seq) body, 'entries' route from valid
+        where "action" = 'draft' group by 1
+        union all select title, body, 'table' from valid where "action" = 'save'"""),
+    "stream_log_fan_out": """
+        select year(ts)::varchar "year", month(ts)::varchar "month", day(ts)::varchar "day",
+          hour(ts)::varchar "hour", count(*) records, 'objects' sink from events group by 1, 2, 3, 4
+        union all select null, null, null, null, count(*), 'log-messages' from events""",
+}

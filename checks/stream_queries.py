@@ -1 +1,129 @@
-"""Streaming runs over the test tables."""
+"""Streaming runs over the test tables, checked by the SQL of their batch forms.
+
+Each reads its table as a file stream, runs until all input is taken and reads
+back what its sink wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks import bindings as b
+from checks.queries import now, query
+from feedloom import session
+from feedloom.operators import logs, stations, tables, transit
+from feedloom.plans import log_shipping, publishing
+from feedloom.plans import trains as train_plan
+from feedloom.sinks import writers
+from feedloom.streaming import run, streams
+
+c = F.col
+
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+DOCUMENTS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType())])
+
+
+def _stream(spark, sf: str, name: str, schema: T.StructType) -> DataFrame:
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .parquet(sf))
+
+
+def _events(spark, sf) -> DataFrame:
+    return _stream(spark, sf, "events", EVENTS)
+
+
+def _run(spark, df: DataFrame, write, mode: str = "append") -> None:
+    run.run_available(df, write, session.shared_dir(spark, "checkpoint"), mode)
+
+
+def _through_files(spark, df: DataFrame, mode: str = "append") -> DataFrame:
+    """What a stream wrote, one directory per micro-batch."""
+    out = session.shared_dir(spark, "stream")
+    _run(spark, df, writers.files(out), mode)
+    return spark.read.schema(T.StructType(df.schema.fields + [
+        T.StructField(writers.BATCH, T.LongType())])).parquet(out)
+
+
+@query
+def stream_low_availability(spark, sf):
+    out = session.shared_dir(spark, "stream")
+    write = streams.refreshed_lookup(
+        lambda: b.station_info(spark, sf), writers.files(out), stations.low_availability)
+    _run(spark, b.station_status(_events(spark, sf)), write)
+    return spark.read.parquet(out).select(
+        "seq", "station_id", "num_bikes_available", "capacity", "ratio")
+
+
+@query
+def stream_net_delta_changelog(spark, sf):
+    session.use_rocksdb(spark)
+    updates = streams.net_delta_updates(b.station_status(_events(spark, sf)), "1 day")
+    return _through_files(spark, updates, "update").select(
+        "station_id", "window_start", "seq", "num_bikes_available", "net")
+
+
+@query
+def stream_net_delta(spark, sf):
+    session.use_rocksdb(spark)
+    updates = streams.net_delta_updates(b.station_status(_events(spark, sf)), "60 minutes")
+    return tables.latest_per_key(_through_files(spark, updates, "update"),
+                                 ["station_id", "window_start", "window_end"], "seq", ["net"])
+
+
+@query
+def stream_next_arrival(spark, sf):
+    arrivals = train_plan.arrivals(b.trip_topic(_events(spark, sf)))
+    nearest = transit.next_arrival(arrivals, now()).select(*transit.TRACK, "arrival")
+    # The newest update of a track holds its earliest arrival.
+    final = _through_files(spark, nearest, "update").groupBy(*transit.TRACK).agg(
+        F.min("arrival").alias("arrival"))
+    return transit.with_countdown(final, now())
+
+
+@query
+def stream_arrival_improvements(spark, sf):
+    session.use_rocksdb(spark)
+    arrivals = train_plan.arrivals(b.trip_topic(_events(spark, sf)))
+    return _through_files(
+        spark, streams.arrival_improvement_updates(arrivals, now()), "update").drop(writers.BATCH)
+
+
+@query
+def stream_kv_upsert(spark, sf):
+    posts = _stream(spark, sf, "documents", DOCUMENTS).select(
+        c("doc_id").alias("seq"), F.concat_ws("/", "source", "lang").alias("title"),
+        c("text").alias("body"))
+    out = session.shared_dir(spark, "entries")
+    _run(spark, posts, writers.entries(out, "title", "body", "seq"))
+    return writers.read_entries(spark, out, "title", "body")
+
+
+@query
+def stream_save_forms(spark, sf):
+    posts = b.posts(spark, sf, _stream(spark, sf, "documents", DOCUMENTS))
+    entries, table = session.shared_dir(spark, "entries"), session.shared_dir(spark, "table")
+    _run(spark, posts, publishing.save_forms(entries, table))
+    drafts = writers.read_entries(spark, entries, "title", "body").withColumn(
+        "route", F.lit("entries"))
+    saved = spark.read.parquet(table).select("title", "body", F.lit("table").alias("route"))
+    return drafts.unionByName(saved)
+
+
+@query
+def stream_log_fan_out(spark, sf):
+    records = logs.route_tags(b.logs(_events(spark, sf)))
+    objects, docs = session.shared_dir(spark, "objects"), session.shared_dir(spark, "docs")
+    _run(spark, records, log_shipping.ship(objects, docs))
+    written = spark.read.json(objects).groupBy(*[c(p).cast("string").alias(p) for p in logs.PATH]).agg(
+        F.count(F.lit(1)).alias("records")).withColumn("sink", F.lit("objects"))
+    indexed = spark.read.json(docs).groupBy(c("index_name").alias("sink")).agg(
+        F.count(F.lit(1)).alias("records"))
+    return written.unionByName(indexed, allowMissingColumns=True)

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 #: Settings every deployment should carry.  Shuffle width is left to the
 #: cluster: AQE coalesces small partitions and splits skewed join partitions.
 RECOMMENDED = {
@@ -14,8 +16,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -46,6 +47,12 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Keyed state spills to disk and checkpoints its changes."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return spark
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory that every executor can reach.
 

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators import stations, transit
+from feedloom.streaming import processors
 from feedloom.streaming.processors import RunningMinimum, SuccessiveChange
 
+# Send the processors with the query: executors need no installed package.
+cloudpickle.register_pickle_by_value(processors)
+
 LATENESS = "1 day"
 
 
