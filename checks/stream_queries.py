@@ -122,8 +122,10 @@ def stream_log_fan_out(spark, sf):
     records = logs.route_tags(b.logs(_events(spark, sf)))
     objects, docs = session.shared_dir(spark, "objects"), session.shared_dir(spark, "docs")
     _run(spark, records, log_shipping.ship(objects, docs))
-    written = spark.read.json(objects).groupBy(*[c(p).cast("string").alias(p) for p in logs.PATH]).agg(
+    paths = ", ".join(f"{p} string" for p in logs.PATH)
+    written = spark.read.schema(f"seq bigint, {paths}").json(objects).groupBy(*logs.PATH).agg(
         F.count(F.lit(1)).alias("records")).withColumn("sink", F.lit("objects"))
-    indexed = spark.read.json(docs).groupBy(c("index_name").alias("sink")).agg(
+    indexed = spark.read.schema("index_name string").json(docs).groupBy(
+        c("index_name").alias("sink")).agg(
         F.count(F.lit(1)).alias("records"))
     return written.unionByName(indexed, allowMissingColumns=True)

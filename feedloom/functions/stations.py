@@ -19,7 +19,7 @@ def turnover_percent(net: Column, capacity: Column) -> Column:
 
 def turnover_text(percent: Column) -> Column:
     """Two decimals, ``NA`` where there is no percentage."""
-    return F.coalesce(F.format_string("%.2f", percent), F.lit("NA"))
+    return F.when(percent.isNull(), F.lit("NA")).otherwise(F.format_string("%.2f", percent))
 
 
 def low_availability_line(station: Column, longitude: Column, latitude: Column,

@@ -36,9 +36,14 @@ def json_lines(path: str, compression: str = "gzip") -> BatchWriter:
 
 
 def time_partitioned_json(path: str, rotate: int = 10_000, **options) -> BatchWriter:
-    """JSON objects below year/month/day/hour, at most ``rotate`` records each."""
+    """JSON objects below year/month/day/hour, at most ``rotate`` records each.
+
+    Records are rebalanced by path first: few objects for a quiet hour, several
+    tasks for a busy one.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
-        (logs.with_time_path(df).withColumn(BATCH, F.lit(batch_id))
+        (logs.with_time_path(df).hint("rebalance", *logs.PATH)
+         .withColumn(BATCH, F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", rotate).options(**options)
          .partitionBy(*logs.PATH, BATCH).json(path))

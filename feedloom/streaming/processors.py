@@ -8,14 +8,13 @@ bounds the rows of a call.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timezone
+from operator import attrgetter
 
-import numpy as np
-import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-
-def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+_arrival_order = attrgetter("seq")
 
 
 class SuccessiveChange(StatefulProcessor):
@@ -35,25 +34,24 @@ class SuccessiveChange(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("fold", "net bigint, last int")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        data = _in_order(rows)
-        values = data["num_bikes_available"].to_numpy(dtype="int64")
-        if self.state.exists():
-            net, last = self.state.get()
-        else:
-            net, last = 0, (0 if self.baseline == "zero" else int(values[0]))
-            end = pd.Timestamp(key[2]).tz_localize("UTC") if pd.Timestamp(key[2]).tzinfo is None \
-                else pd.Timestamp(key[2])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        stored = self.state.get()
+        net, last = stored if stored is not None else (0, None)
+        if stored is None:
+            end = key[2] if key[2].tzinfo else key[2].replace(tzinfo=timezone.utc)
             self.handle.registerTimer(int(end.timestamp() * 1000))
-        steps = np.abs(np.diff(values, prepend=last))
-        totals = net + np.cumsum(steps)
-        self.state.update((int(totals[-1]), int(values[-1])))
-        yield pd.DataFrame({
-            "station_id": key[0], "window_start": key[1], "window_end": key[2],
-            "seq": data["seq"].to_numpy(), "num_bikes_available": values.astype("int32"),
-            "net": totals})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = []
+        for row in sorted(rows, key=_arrival_order):
+            value = row.num_bikes_available
+            if last is None:
+                last = 0 if self.baseline == "zero" else value
+            net, last = net + abs(value - last), value
+            out.append(Row(station_id=key[0], window_start=key[1], window_end=key[2],
+                           seq=row.seq, num_bikes_available=value, net=net))
+        self.state.update((net, last))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.state.clear()
         return iter([])
 
@@ -69,17 +67,17 @@ class RunningMinimum(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.best = handle.getValueState("best", "arrival bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        data = _in_order(rows)
-        arrivals = data["arrival"].to_numpy(dtype="int64")
-        stored = self.best.get()[0] if self.best.exists() else np.iinfo("int64").max
-        before = np.minimum.accumulate(np.concatenate(([stored], arrivals)))[:-1]
-        better = arrivals < before
-        if better.any():
-            self.best.update((int(arrivals[better][-1]),))
-            yield pd.DataFrame({
-                "seq": data["seq"].to_numpy()[better], "route_id": key[0], "stop_id": key[1],
-                "direction": key[2], "arrival": arrivals[better]})
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        stored = self.best.get()
+        best, out = (stored[0] if stored is not None else None), []
+        for row in sorted(rows, key=_arrival_order):
+            if best is None or row.arrival < best:
+                best = row.arrival
+                out.append(Row(seq=row.seq, route_id=key[0], stop_id=key[1], direction=key[2],
+                               arrival=best))
+        if out:
+            self.best.update((best,))
+        return iter(out)
 
     def close(self) -> None:
         pass

@@ -32,14 +32,14 @@ def net_delta_updates(readings: DataFrame, window: str = "60 minutes", baseline:
                 "ts", lateness)
             .select("station_id", span["start"].alias("window_start"),
                     span["end"].alias("window_end"), "ts", "seq", "num_bikes_available"))
-    return rows.groupBy("station_id", "window_start", "window_end").transformWithStateInPandas(
+    return rows.groupBy("station_id", "window_start", "window_end").transformWithState(
         SuccessiveChange(baseline), SuccessiveChange.OUTPUT, "Update", "EventTime")
 
 
 def arrival_improvement_updates(arrivals: DataFrame, now) -> DataFrame:
     """Strict improvements of the next arrival, as updates arrive."""
     rows = transit.upcoming(arrivals, now).select("seq", *transit.TRACK, "arrival")
-    return rows.groupBy(*transit.TRACK).transformWithStateInPandas(
+    return rows.groupBy(*transit.TRACK).transformWithState(
         RunningMinimum(), RunningMinimum.OUTPUT, "Update", "None")
 
 

@@ -1,0 +1,172 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import at
+from feedloom import schemas
+from feedloom.operators import quality, stations
+from feedloom.operators.skew import SkewPolicy
+from feedloom.plans import bikeshare
+from feedloom.sources import files, topics
+
+TINY = SkewPolicy(hot_rows=3, slice_rows=4)
+
+
+def readings(spark, data):
+    return spark.createDataFrame(
+        [(s, at(t), q, v) for s, t, q, v in data],
+        "station_id string, ts timestamp, seq bigint, num_bikes_available int")
+
+
+def info(spark, *data):
+    return spark.createDataFrame(
+        list(data), "station_id string, name string, latitude float, longitude float, capacity int")
+
+
+def test_low_availability_rules(spark, rows):
+    r = readings(spark, [("a", "2024-01-01 00:00:00", i, v) for i, v in enumerate([0, 1, 2, 3])]
+                 + [("none", "2024-01-01 00:00:00", 9, 0), ("zero", "2024-01-01 00:00:00", 10, 0)])
+    i = info(spark, ("a", "A", 1.0, 2.0, 20), ("zero", "Z", 1.0, 2.0, 0))
+    got = rows(stations.low_availability(r, i), "station_id", "seq", "ratio")
+    # 2/20 is not strictly below 0.1; unmatched stations count as full; capacity 0 never alerts.
+    assert got == [("a", 0, 0.0), ("a", 1, 0.05)]
+
+
+def test_low_availability_line(spark):
+    r = readings(spark, [("a", "2024-01-01 00:00:00", 1, 1)])
+    out = stations.low_availability_lines(
+        stations.low_availability(r, info(spark, ("a", "A", 40.5, -73.5, 40))))
+    assert [tuple(x) for x in out.collect()] == [
+        ("a", "station_id: a, longitude -73.5, latitude 40.5, bikes: 1, capacity: 40, ratio: 2.50%")]
+
+
+def test_net_delta_by_hand(spark, rows):
+    r = readings(spark, [
+        ("a", "2024-01-01 00:10:00", 1, 5), ("a", "2024-01-01 00:20:00", 2, 8),
+        ("a", "2024-01-01 00:59:59", 3, 2), ("a", "2024-01-01 01:00:00", 4, 2)])
+    zero = stations.net_delta(r)
+    assert rows(zero, F.hour("window_start"), "net", "last_bikes", "readings") == [
+        (0, 14, 2, 3), (1, 2, 2, 1)]
+    first = stations.net_delta(r, baseline="first")
+    assert rows(first, F.hour("window_start"), "net") == [(0, 9), (1, 0)]
+    with pytest.raises(ValueError):
+        stations.net_delta(r, baseline="last")
+
+
+def _random_readings(spark, seed=7, n=300):
+    rng = random.Random(seed)
+    data = []
+    for q in range(n):
+        station = "hot" if rng.random() < 0.5 else rng.choice(["b", "c", "d"])
+        data.append((station, f"2024-01-01 {q * 5 // n:02d}:{q % 60:02d}:00", q, rng.randint(0, 30)))
+    return data, readings(spark, data)
+
+
+@pytest.mark.parametrize("baseline", ["zero", "first"])
+def test_sliced_fold_equals_brute_force(spark, rows, baseline):
+    data, df = _random_readings(spark)
+    totals, state = {}, {}
+    changelog = []
+    for station, ts, q, v in data:
+        key = (station, int(ts[11:13]))
+        last = state.get(key, 0 if baseline == "zero" else v)
+        totals[key] = totals.get(key, 0) + abs(v - last)
+        state[key] = v
+        changelog.append((station, q, totals[key]))
+    for policy in (TINY, SkewPolicy()):
+        got = rows(stations.net_delta(df, "60 minutes", baseline, policy),
+                   "station_id", F.hour("window_start"), "net")
+        assert got == sorted(((s, h, n) for (s, h), n in totals.items()), key=repr)
+        log = rows(stations.net_delta_changelog(df, "60 minutes", baseline, policy),
+                   "station_id", "seq", "net")
+        assert log == sorted(changelog, key=repr)
+
+
+def test_net_is_at_least_last_value(spark):
+    _, df = _random_readings(spark, seed=11)
+    assert stations.net_delta(df).where("net < last_bikes").count() == 0
+
+
+def test_turnover(spark, rows):
+    r = readings(spark, [("a", "2024-01-01 00:10:00", 1, 5), ("z", "2024-01-01 00:10:00", 2, 5),
+                         ("gone", "2024-01-01 00:10:00", 3, 5)])
+    i = info(spark, ("a", "A", 0.0, 0.0, 40), ("z", "Z", 0.0, 0.0, 0))
+    t = stations.turnover_ratio(stations.net_delta(r), i)
+    assert rows(t, "station_id", "turnover") == [("a", 12.5), ("z", None)]
+    assert rows(stations.turnover_lines(t), "value") == [
+        ("station_id: a, turnover: 12.50%",), ("station_id: z, turnover: NA%",)]
+    assert rows(stations.top_turnover(t, 5), "station_id", "rank") == [("a", 1)]
+
+
+def test_top_turnover_limits_before_the_shuffle(spark):
+    r = readings(spark, [("a", "2024-01-01 00:10:00", 1, 5)])
+    top = stations.top_turnover(stations.turnover_ratio(
+        stations.net_delta(r), info(spark, ("a", "A", 0.0, 0.0, 40))), 3)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def topic(spark, data):
+    return spark.createDataFrame([(k, v, at("2024-01-01"), o) for k, v, o in data],
+                                 "key string, value string, timestamp timestamp, offset bigint")
+
+
+def test_decoding_policies(spark, rows):
+    t = topic(spark, [("a", '{"stationId":"a","num_bikes_available":3}', 1), ("b", "{oops", 2),
+                      ("c", '{"num_bikes_available":"many"}', 3), ("d", '{"stationId":"d"}', 4)])
+    # A count that is missing from a valid record is 0.
+    assert rows(stations.decode_status(t), "station_id", "num_bikes_available") == [
+        ("a", 3), ("d", 0)]
+    good, bad = quality.quarantine_split(t, schemas.STATUS_VALUE)
+    assert rows(good, "key") == [("a",), ("d",)]
+    assert rows(bad, "key", "value") == [("b", "{oops"), ("c", '{"num_bikes_available":"many"}')]
+    with pytest.raises(Exception):
+        stations.decode_status(t, on_error="fail").collect()
+    with pytest.raises(ValueError):
+        stations.decode_status(t, on_error="ignore")
+
+
+def test_info_table_takes_last_version_and_deletes(spark, rows):
+    t = topic(spark, [("a", '{"name":"old","capacity":1}', 1), ("a", '{"name":"new","capacity":2}', 2),
+                      ("b", '{"name":"b","capacity":1}', 3), ("b", None, 4)])
+    assert rows(bikeshare.info_table(t), "station_id", "name", "capacity") == [("a", "new", 2)]
+
+
+def test_feed_files_to_alerts(spark, rows, tmp_path):
+    status = {"ttl": 10, "data": {"stations": [
+        {"station_id": "a", "num_bikes_available": 1, "num_bikes_disabled": 0,
+         "num_docks_available": 9, "num_docks_disabled": 0, "is_installed": 1, "is_renting": 1,
+         "is_returning": 1}]}}
+    station = {"ttl": 10, "data": {"stations": [
+        {"station_id": "a", "name": "A", "lat": 40.5, "lon": -73.5, "capacity": 40}]}}
+    for name, feed in (("status", status), ("info", station)):
+        (tmp_path / name).mkdir()
+        # Snapshots come indented, one document per file.
+        (tmp_path / name / "1.json").write_text(json.dumps(feed, indent=2))
+        (tmp_path / name / "2.json").write_text(json.dumps({"ttl": 1, "data": {"stations": []}}))
+    feed = files.status_feed(spark, str(tmp_path / "status"))
+    assert rows(stations.feed_count(feed)) == [(2, 1, 1)]
+    published = bikeshare.publish_status(feed)
+    assert json.loads(published.first()["value"])["stationId"] == "a"
+    published_info = bikeshare.publish_info(files.info_feed(spark, str(tmp_path / "info")))
+    assert set(json.loads(published_info.first()["value"])) == {
+        "stationId", "name", "latitude", "longitude", "capacity"}
+    stamp = [F.lit(at("2024-01-01")).cast("timestamp").alias("timestamp"),
+             F.lit(1).cast("bigint").alias("offset")]
+    published.select("key", "value", *stamp).write.parquet(str(tmp_path / "status_topic"))
+    published_info.select("key", "value", *stamp).write.parquet(str(tmp_path / "info_topic"))
+    alerts = bikeshare.low_availability(topics.topic_files(spark, str(tmp_path / "status_topic")),
+                                        topics.topic_files(spark, str(tmp_path / "info_topic")))
+    assert alerts.first()["value"].endswith("bikes: 1, capacity: 40, ratio: 2.50%")
+    turnover = bikeshare.turnover(topics.topic_files(spark, str(tmp_path / "status_topic")),
+                                  topics.topic_files(spark, str(tmp_path / "info_topic")))
+    assert rows(turnover, "net", "turnover") == [(1, 2.5)]
+
+
+def test_bytes_become_text(spark, rows):
+    raw = spark.createDataFrame([(bytearray(b"k"), bytearray("é".encode()), at("2024-01-01"), 1)],
+                                "key binary, value binary, timestamp timestamp, offset bigint")
+    assert rows(topics.text_rows(raw), "key", "value") == [("k", "é")]
+    assert topics.kafka_options("h:1", "t")["startingOffsets"] == "earliest"
