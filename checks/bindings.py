@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.functions import trains
 from feedloom.operators import posts as post_ops
+from feedloom.operators import quality
 from feedloom.operators import ticks as tick_ops
 
 #: 2024-01-15 00:00:00 UTC, the instant the batch forms take for "now".
@@ -81,8 +83,9 @@ def status_topic(ev: DataFrame) -> DataFrame:
         F.lit(0).alias("num_docks_disabled"), F.lit(1).alias("is_installed"),
         F.lit(1).alias("is_renting"), F.lit(1).alias("is_returning")))
     cut = (c("event_type") == "error") & (c("value") < 10)
-    return rows.select(*_topic(F.when(cut, F.substring(full, 1, 20)).otherwise(full),
-                               c("user_id").cast("string")))
+    json = F.when(cut, F.substring(full, 1, 20)).otherwise(full)
+    return rows.withColumn("_json", quality.once(json)).select(
+        *_topic(c("_json"), c("user_id").cast("string")))
 
 
 def info_topic(ev: DataFrame) -> DataFrame:
@@ -93,7 +96,8 @@ def info_topic(ev: DataFrame) -> DataFrame:
         c("user_id").cast("string").alias("stationId"),
         F.concat(F.lit("Station "), c("user_id").cast("string")).alias("name"),
         capacity.alias("capacity")))
-    return rows.select(*_topic(F.when(capacity > 0, value), c("user_id").cast("string")))
+    return rows.withColumn("_json", quality.once(F.when(capacity > 0, value))).select(
+        *_topic(c("_json"), c("user_id").cast("string")))
 
 
 def info_versions(ev: DataFrame) -> DataFrame:
@@ -158,7 +162,8 @@ def _trip_update() -> Column:
 
 def trip_topic(ev: DataFrame) -> DataFrame:
     """Trip updates as un-keyed JSON messages."""
-    return ev.select("*", c("event_id").alias("seq")).select(*_topic(F.to_json(_trip_update())))
+    rows = ev.withColumn("_json", quality.once(F.to_json(_trip_update())))
+    return rows.select("*", c("event_id").alias("seq")).select(*_topic(c("_json")))
 
 
 def transit_feed_json(ev: DataFrame) -> DataFrame:
@@ -177,7 +182,8 @@ def transit_feed_json(ev: DataFrame) -> DataFrame:
     message = F.struct(
         F.struct(F.lit("2.0").alias("gtfsRealtimeVersion"), now.alias("timestamp")).alias("header"),
         F.array(made("T", "tripUpdate"), made("V", "vehicle")).alias("entity"))
-    return ev.select(c("event_id").alias("seq"), F.to_json(message).alias("value"))
+    return ev.withColumn("_json", quality.once(F.to_json(message))).select(
+        c("event_id").alias("seq"), c("_json").alias("value"))
 
 
 def stop_updates(ev: DataFrame) -> DataFrame:
@@ -185,6 +191,12 @@ def stop_updates(ev: DataFrame) -> DataFrame:
                      _stop_code().alias("stop_code"), _arrival().alias("arrival"))
 
 
+def arrivals(ev: DataFrame) -> DataFrame:
+    """Arrivals as a table that holds them decoded."""
+    return stop_updates(ev).select("seq", "route_id", *trains.stop_and_direction(c("stop_code")),
+                                   "arrival")
+
+
 def stops(spark: SparkSession, sf: str) -> DataFrame:
     stop_id = F.lpad((c("s_suppkey") % 1000).cast("string"), 3, "0")
     return (table(spark, sf, "supplier").groupBy(stop_id.alias("stop_id"))

@@ -33,9 +33,10 @@ VIEWS = {
     "arrivals": """select seq, route_id, stop_id, direction, arrival from updates
         where not (event_type = 'error' and value < 5) and value < 250""",
     "upcoming": f"select * from arrivals where arrival >= {NOW}",
+    "all_upcoming": f"select * from updates where arrival >= {NOW}",
     "improvements": """select seq, route_id, stop_id, direction, arrival from (
         select *, min(arrival) over (partition by route_id, stop_id, direction order by seq
-          rows between unbounded preceding and 1 preceding) best from upcoming)
+          rows between unbounded preceding and 1 preceding) best from all_upcoming)
         where best is null or arrival < best""",
     "stops": """select lpad((s_suppkey % 1000)::varchar, 3, '0') stop_id, min(s_name) stop_name
         from supplier group by 1""",
@@ -105,7 +106,8 @@ ORACLES = {
           capacity, capacity is null deleted from versions"""),
     "quarantine_split": _with("status", f"""
         select seq, {_MALFORMED} malformed,
-          case when {_MALFORMED} then substr(json, 1, 20) else json end "value"
+          case when {_MALFORMED} then substr(json, 1, 20) else json end "value",
+          case when not {_MALFORMED} then num_bikes_available end num_bikes_available
         from (select *, {_STATUS_JSON} json from {_STATUS_N})"""),
     "ktable_latest": _with("versions", """
         select station_id, 'Station ' || station_id name, capacity
@@ -167,9 +169,9 @@ ORACLES = {
         select route_id, stop_id, direction, min(arrival) arrival,
           (min(arrival) - {NOW}) % 3600 // 60 as minutes, (min(arrival) - {NOW}) // 60 as total_minutes
         from upcoming group by 1, 2, 3"""),
-    "arrival_improvements": _with("updates arrivals upcoming improvements",
+    "arrival_improvements": _with("updates all_upcoming improvements",
                                   "select * from improvements"),
-    "arrival_message": _with("updates arrivals upcoming improvements stops", f"""
+    "arrival_message": _with("updates all_upcoming improvements stops", f"""
         select seq, 'Next ' || direction || ' bound ' || route_id || ' train will arrive at station '
           || stop_name || ' in ' || (arrival - {NOW}) % 3600 // 60 || ' minutes' message
         from improvements join stops using (stop_id)"""),
@@ -315,7 +317,9 @@ ORACLES |= {
     "stream_net_delta": _with("status net_hour",
                               "select station_id, window_start, window_end, net from net_hour"),
     "stream_next_arrival": ORACLES["next_arrival"],
-    "stream_arrival_improvements": ORACLES["arrival_improvements"],
+    "stream_arrival_improvements": _with("updates arrivals all_upcoming improvements",
+                                         "select * from improvements").replace(
+        "select * from updates where", "select * from arrivals where"),
     "stream_kv_upsert": ORACLES["kv_upsert"],
     "stream_save_forms": _with("forms valid", """
         select title, arg_max(body, seq) body, 'entries' route from valid

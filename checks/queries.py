@@ -87,9 +87,9 @@ def decode_info(spark, sf):
 @query
 def quarantine_split(spark, sf):
     topic = b.status_topic(b.events(spark, sf))
-    good, bad = quality.quarantine_split(topic, schemas.STATUS_VALUE)
-    return good.select(c("offset").alias("seq"), F.lit(False).alias("malformed"), "value").unionByName(
-        bad.select(c("offset").alias("seq"), F.lit(True).alias("malformed"), "value"))
+    marked = quality.mark_malformed(topic, schemas.STATUS_VALUE)
+    return marked.select(c("offset").alias("seq"), "malformed", "value",
+                         c("decoded.num_bikes_available").alias("num_bikes_available"))
 
 
 @query
@@ -178,8 +178,7 @@ def _arrivals(spark, sf):
 
 @query
 def feed_entities(spark, sf):
-    feed = b.transit_feed_json(b.events(spark, sf)).select(
-        "seq", F.from_json("value", schemas.FEED_MESSAGE).alias("m")).select("seq", "m.*")
+    feed = transit.decode_feed(b.transit_feed_json(b.events(spark, sf)))
     updates = transit.trip_updates(transit.feed_entities(feed))
     return updates.select("seq", "id", "feed_time", "incrementality",
                           c("tripUpdate.trip.routeId").alias("route_id"),
@@ -188,8 +187,7 @@ def feed_entities(spark, sf):
 
 @query
 def trip_update_messages(spark, sf):
-    feed = b.transit_feed_json(b.events(spark, sf)).select(
-        F.from_json("value", schemas.FEED_MESSAGE).alias("m")).select("m.*")
+    feed = transit.decode_feed(b.transit_feed_json(b.events(spark, sf)))
     return transit.trip_update_messages(transit.feed_entities(feed)).select("value")
 
 
@@ -205,12 +203,12 @@ def next_arrival(spark, sf):
 
 @query
 def arrival_improvements(spark, sf):
-    return transit.arrival_improvements(_arrivals(spark, sf), now())
+    return transit.arrival_improvements(b.arrivals(b.events(spark, sf)), now())
 
 
 @query
 def arrival_message(spark, sf):
-    better = transit.arrival_improvements(_arrivals(spark, sf), now())
+    better = transit.arrival_improvements(b.arrivals(b.events(spark, sf)), now())
     return transit.arrival_messages(better, b.stops(spark, sf), now()).select("seq", "message")
 
 

@@ -9,6 +9,16 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
+def once(expression: Column) -> Column:
+    """Evaluate a costly expression once per row.
+
+    A filter on a projected column is pushed below the projection, and each of
+    its terms then evaluates the expression again.  A generator is a border
+    that no filter on its output crosses.  Use it alone in ``withColumn``.
+    """
+    return F.explode(F.array(expression))
+
+
 def decode_json(value: Column, schema: T.StructType, on_error: str = "quarantine") -> Column:
     """Parse a JSON value.
 
@@ -28,12 +38,17 @@ def is_malformed(decoded: Column, value: Column) -> Column:
     return value.isNull() | decoded.isNull() | decoded[CORRUPT].isNotNull()
 
 
+def mark_malformed(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Add the ``decoded`` struct and the flag ``malformed``, parsing each value once."""
+    decoded = df.withColumn("decoded", once(decode_json(F.col(value), schema)))
+    return (decoded.withColumn("malformed", is_malformed(F.col("decoded"), F.col(value)))
+            .withColumn("decoded", F.when(~F.col("malformed"),
+                                          F.col("decoded").dropFields(CORRUPT))))
+
+
 def quarantine_split(df: DataFrame, schema: T.StructType, value: str = "value"
                      ) -> tuple[DataFrame, DataFrame]:
     """(good rows with a ``decoded`` struct, malformed rows as they came)."""
-    decoded = decode_json(F.col(value), schema)
-    marked = (df.withColumn("decoded", decoded)
-              .withColumn("_bad", is_malformed(F.col("decoded"), F.col(value))))
-    good = (marked.where(~F.col("_bad"))
-            .withColumn("decoded", F.col("decoded").dropFields(CORRUPT)))
-    return good.drop("_bad"), marked.where("_bad").drop("_bad", "decoded")
+    marked = mark_malformed(df, schema, value)
+    return (marked.where(~F.col("malformed")).drop("malformed"),
+            marked.where("malformed").drop("malformed", "decoded"))

@@ -41,7 +41,7 @@ def to_topic(stations: DataFrame, renames: dict[str, str], key: str = "station_i
 
 def _decode(topic: DataFrame, schema: T.StructType, on_error: str):
     decoded = quality.decode_json(F.col("value"), schema, on_error)
-    rows = topic.withColumn("_v", decoded)
+    rows = topic.withColumn("_v", quality.once(decoded))
     if on_error == "quarantine":
         rows = rows.where(~quality.is_malformed(F.col("_v"), F.col("value")))
     return rows

@@ -31,7 +31,8 @@ def parse_ticks(lines: DataFrame, ticker: str, value: str = "value") -> DataFram
     text = F.col(value).cast("string")
     field = F.split(text, ",", 3)
     date = F.get(field, F.lit(0))
-    return lines.where(date != "date").select(
+    header = (text == "date") | text.startswith("date,")
+    return lines.where(~header).select(
         F.lit(ticker).alias("ticker"),
         F.try_to_timestamp(date, F.lit("yyyy/MM/dd")).alias("trade_date"),
         F.get(field, F.lit(1)).try_cast("double").alias("price"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators import stations, tables
+from feedloom.session import materialize
 
 
 def publish_status(feed: DataFrame) -> DataFrame:
@@ -38,6 +39,10 @@ def low_availability(status_topic: DataFrame, info_topic: DataFrame,
 
 def turnover(status_topic: DataFrame, info_topic: DataFrame,
              window: str = "60 minutes") -> DataFrame:
-    """Turnover per station and window."""
-    net = stations.net_delta(stations.decode_status(status_topic), window)
+    """Turnover per station and window.
+
+    Readings are decoded once into the shared folder; the fold reads them twice.
+    """
+    readings = materialize(stations.decode_status(status_topic), "readings")
+    net = stations.net_delta(readings, window)
     return stations.turnover_ratio(net, info_table(info_topic))

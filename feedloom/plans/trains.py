@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from feedloom.operators import transit
+from feedloom.session import materialize
 
 
 def arrivals(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
@@ -14,6 +15,11 @@ def arrivals(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
 
 
 def countdown(topic: DataFrame, stops: DataFrame, now: Column) -> DataFrame:
-    """Countdown messages of every improved arrival."""
-    better = transit.arrival_improvements(arrivals(topic), now)
+    """Countdown messages of every improved arrival.
+
+    Arrivals are decoded once into the shared folder; finding improvements
+    reads them several times.
+    """
+    decoded = materialize(transit.upcoming(arrivals(topic), now), "arrivals")
+    better = transit.arrival_improvements(decoded, now)
     return transit.arrival_messages(better, stops, now)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,3 +63,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="feedloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For inputs that are costly to decode and read more than once.  The table
+    cuts the lineage and outlives lost executors.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
