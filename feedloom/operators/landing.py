@@ -23,9 +23,10 @@ def first_per_id(posts: DataFrame, order: str | Column = "userId") -> DataFrame:
 
 def notifications(manifest: DataFrame) -> DataFrame:
     """Distinct runs named by notifications; messages without a path are ignored."""
-    run = F.nullif(F.regexp_extract("s3_path", rf"{RUN}=([^/]+)", 1), F.lit(""))
+    # A comparison, not an inequality: only then is the pruning worth it to Catalyst.
+    run = F.regexp_extract("s3_path", rf"{RUN}=([^/]+)", 1)
     return (manifest.where(F.col("s3_path").isNotNull())
-            .select(run.alias(RUN)).where(F.col(RUN).isNotNull()).distinct())
+            .select(run.alias(RUN)).where(F.col(RUN) > "").distinct())
 
 
 def load_announced(landed: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -32,6 +32,11 @@ def feed_count(feed: DataFrame) -> DataFrame:
                     F.coalesce(F.sum((n == 0).cast("bigint")), F.lit(0)).alias("empty_snapshots"))
 
 
+def observe_count(stations: DataFrame, name: str = "feed") -> DataFrame:
+    """Report the number of stations as a metric of each batch or micro-batch."""
+    return stations.observe(name, F.count(F.lit(1)).alias("stations"))
+
+
 def to_topic(stations: DataFrame, renames: dict[str, str], key: str = "station_id") -> DataFrame:
     """Keyed topic rows: fields under their topic names, encoded as JSON."""
     fields = [F.col(c).alias(renames.get(c, c)) for c in stations.columns]

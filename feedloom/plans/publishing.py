@@ -26,6 +26,14 @@ def load_announced(spark: SparkSession, path: str, manifest_path: str) -> DataFr
                                   files.manifest(spark, manifest_path))
 
 
+def load_on_notification(path: str, write: writers.BatchWriter) -> writers.BatchWriter:
+    """For a stream of notifications: load what each batch of them announces."""
+    def run(notices: DataFrame, batch_id: int) -> None:
+        landed = files.posts(notices.sparkSession, path, multi_line=False)
+        write(landing.load_announced(landed, notices), batch_id)
+    return run
+
+
 def save_forms(entries_path: str, table_path: str) -> writers.BatchWriter:
     """Drafts to key-value entries, everything else to the posts table."""
     def write(df: DataFrame, batch_id: int) -> None:

@@ -73,6 +73,12 @@ def read_entries(spark: SparkSession, path: str, key: str, value: str) -> DataFr
     return tables.latest_per_key(spark.read.parquet(path), [key], BATCH, [value])
 
 
+def compact_entries(spark: SparkSession, source: str, target: str, key: str, value: str) -> None:
+    """Fold the deltas of an entry store into the first batch of a new one."""
+    held = read_entries(spark, source, key, value)
+    held.write.mode("overwrite").parquet(_target(target, 0))
+
+
 def jdbc(url: str, table: str, key: str | None = None, **properties: str) -> BatchWriter:
     """Append rows in one job per batch.
 

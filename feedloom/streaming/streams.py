@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators import stations, transit
+from feedloom.operators import stations, tables, transit
 from feedloom.streaming import processors
 from feedloom.streaming.processors import RunningMinimum, SuccessiveChange
 
@@ -50,3 +50,32 @@ def refreshed_lookup(read_info: Callable[[], DataFrame],
     def run(batch: DataFrame, batch_id: int) -> None:
         write(operator(batch, read_info()), batch_id)
     return run
+
+
+def top_turnover_writer(path: str, read_info: Callable[[], DataFrame],
+                        write: Callable[[DataFrame, int], None], n: int = 10
+                        ) -> Callable[[DataFrame, int], None]:
+    """A batch writer for :func:`net_delta_updates`: top stations of the touched windows.
+
+    A micro-batch holds the changed stations only, so the last total of each
+    station is kept below ``path`` by day and micro-batch.  Ranking reads just
+    the days the batch touched.
+    """
+    keys = ["station_id", "window_start", "window_end"]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = batch.groupBy(*keys).agg(F.max_by("net", "seq").alias("net"),
+                                           F.max("seq").alias("seq"))
+        (changed.withColumn("day", F.to_date("window_start"))
+         .withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch_id").parquet(path))
+        touched = batch.select("window_start").distinct()
+        held = (spark.read.parquet(path)
+                .join(touched.select(F.to_date("window_start").alias("day")).distinct(),
+                      "day", "left_semi")
+                .join(touched, "window_start", "left_semi"))
+        totals = tables.latest_per_key(held, keys, "seq", ["net"])
+        write(stations.top_turnover(stations.turnover_ratio(totals, read_info()), n), batch_id)
+    return run

@@ -103,3 +103,30 @@ def test_json_array_snapshots_as_table_and_stream(spark, rows, tmp_path):
 def test_first_per_id(spark, rows):
     df = snapshot(spark, 1).unionByName(snapshot(spark, 1).withColumn("userId", F.lit(0)))
     assert rows(landing.first_per_id(df), "id", "userId") == [(1, 0)]
+
+
+def test_announced_runs_prune_the_landing_zone(spark, tmp_path):
+    path, manifest = str(tmp_path / "landing"), str(tmp_path / "manifest")
+    publishing.import_snapshot(snapshot(spark, 1, 2), path, manifest, datetime(2018, 7, 1, 12))
+    plan = publishing.load_announced(spark, path, manifest)._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+
+
+def test_stream_of_notifications(spark, rows, tmp_path):
+    path, manifest, out = (str(tmp_path / n) for n in ("landing", "manifest", "out"))
+    for day, ids in ((1, (1, 2)), (2, (3,))):
+        publishing.import_snapshot(snapshot(spark, *ids), path, manifest, datetime(2018, 7, day))
+    landing_sink.land_snapshot(snapshot(spark, 9), path, "20180709000000")
+    run.run_available(files.manifest(spark, manifest, stream=True),
+                      publishing.load_on_notification(path, writers.files(out)),
+                      str(tmp_path / "checkpoint"))
+    assert rows(spark.read.parquet(out), "id") == [(1,), (2,), (3,)]
+
+
+def test_compaction_keeps_the_last_writes(spark, rows, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    write = writers.entries(source, "title", "body", "seq")
+    write(forms(spark, DRAFT), 0)
+    write(forms(spark, (5, "A draft title", "Newer", None, "x", "draft")), 1)
+    writers.compact_entries(spark, source, target, "title", "body")
+    assert rows(writers.read_entries(spark, target, "title", "body")) == [("A draft title", "Newer")]

@@ -120,3 +120,34 @@ def test_stateless_plan_runs_on_streams(spark, rows, feed, tmp_path):
     got = _run(spark, stream, tmp_path)
     assert rows(got, "key", "value") == rows(
         bikeshare.low_availability(topics.topic_files(spark, feed), info), "key", "value")
+
+
+def test_top_turnover_of_a_stream(spark, rows, feed, tmp_path):
+    info = spark.createDataFrame([("hot", 30), ("a", 10), ("b", 50), ("c", 0)],
+                                 "station_id string, capacity int")
+    stream = stations.decode_status(topics.topic_files(spark, feed, stream=True, max_files=1))
+    out = str(tmp_path / "out")
+    write = streams.top_turnover_writer(str(tmp_path / "totals"), lambda: info,
+                                        writers.files(out), n=2)
+    run.run_available(streams.net_delta_updates(stream), write, str(tmp_path / "c"), "update")
+    # The last ranking of a window is the one of the batch form.
+    ranked = spark.read.parquet(out)
+    last = ranked.groupBy("window_start").agg(F.max(writers.BATCH).alias(writers.BATCH))
+    final = ranked.join(last, ["window_start", writers.BATCH])
+    batch = stations.decode_status(topics.topic_files(spark, feed))
+    want = stations.top_turnover(stations.turnover_ratio(stations.net_delta(batch), info), 2)
+    columns = ["window_start", "rank", "station_id", "turnover"]
+    assert rows(final, *columns) == rows(want, *columns)
+
+
+def test_station_counts_are_observed(spark, tmp_path):
+    feed = spark.createDataFrame([(1, ([("a", 1), ("b", 2)],))],
+                                 "ttl int, data struct<stations:array<struct<station_id:string,n:int>>>")
+    path = str(tmp_path / "feed")
+    feed.write.json(path)
+    stream = spark.readStream.schema(feed.schema).json(path)
+    query = run.run_available(stations.observe_count(stations.flatten_feed(stream)),
+                              writers.files(str(tmp_path / "out")), str(tmp_path / "c"))
+    metrics = [p.observedMetrics["feed"].stations for p in query.recentProgress
+               if "feed" in (p.observedMetrics or {})]
+    assert sum(metrics) == 2
