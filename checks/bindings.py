@@ -110,18 +110,21 @@ def info_versions(ev: DataFrame) -> DataFrame:
 
 def tick_lines(ev: DataFrame, ticker: str) -> DataFrame:
     """One ticker's file: a header line, then ``date,price,id`` lines."""
-    spark = ev.sparkSession
+    header = ev.sparkSession.range(0, 1, 1, 1).select(F.lit("date,price,id").alias("value"))
     lines = ev.where(c("event_type") == ticker).select(F.concat_ws(
         ",", F.date_format("ts", "yyyy/MM/dd"), c("value").cast("string"),
         c("event_id").cast("string")).alias("value"))
-    return spark.createDataFrame([("date,price,id",)], "value string").unionByName(lines)
+    return header.unionByName(lines)
+
+
+def raw_ticks(ev: DataFrame) -> DataFrame:
+    return ev.select(c("event_type").alias("ticker"), c("ts").cast("timestamp").alias("trade_date"),
+                     c("value").alias("price"))
 
 
 def ticks(ev: DataFrame) -> DataFrame:
     """One price per (ticker, day)."""
-    return tick_ops.daily_prices(ev.select(
-        c("event_type").alias("ticker"), c("ts").cast("timestamp").alias("trade_date"),
-        c("value").alias("price")))
+    return tick_ops.daily_prices(raw_ticks(ev))
 
 
 # --- transit ----------------------------------------------------------------

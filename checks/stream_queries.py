@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from checks import bindings as b
 from checks.queries import now, query
 from feedloom import session
-from feedloom.operators import logs, stations, tables, transit
+from feedloom.operators import logs, stations, tables, ticks, transit
 from feedloom.plans import log_shipping, publishing
 from feedloom.plans import trains as train_plan
 from feedloom.sinks import writers
@@ -78,6 +78,14 @@ def stream_net_delta(spark, sf):
                                  ["station_id", "window_start", "window_end"], "seq", ["net"])
 
 
+@query
+def stream_pair_correlation(spark, sf):
+    prices = b.raw_ticks(_events(spark, sf)).withWatermark("trade_date", "1 day")
+    correlations = ticks.pair_correlation(ticks.daily_prices(prices), b.PAIRS)
+    return _through_files(spark, correlations).select(
+        "t1", "t2", "window_start", "window_end", F.round("corr", 6).alias("corr"))
+
+
 @query
 def stream_next_arrival(spark, sf):
     arrivals = train_plan.arrivals(b.trip_topic(_events(spark, sf)))

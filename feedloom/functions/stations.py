@@ -22,6 +22,8 @@ def turnover_text(percent: Column) -> Column:
     return F.when(percent.isNull(), F.lit("NA")).otherwise(F.format_string("%.2f", percent))
 
 
+# Fixed formats: the texts of both messages.
+
 def low_availability_line(station: Column, longitude: Column, latitude: Column,
                           bikes: Column, capacity: Column, ratio: Column) -> Column:
     return F.concat(

@@ -44,9 +44,15 @@ def union_ticks(inputs: Sequence[DataFrame]) -> DataFrame:
 
 
 def daily_prices(ticks: DataFrame) -> DataFrame:
-    """One price per (ticker, day): the mean.  Combines map-side to a tiny table."""
-    return (ticks.groupBy("ticker", F.window("trade_date", "1 day")["start"].alias("trade_date"))
-            .agg(F.avg("price").alias("price")))
+    """One price per (ticker, day): the mean.  Combines map-side to a tiny table.
+
+    On a stream the day is stamped with its window's event time, so that
+    further windows can follow.
+    """
+    daily = (ticks.groupBy("ticker", F.window("trade_date", "1 day").alias("day"))
+             .agg(F.avg("price").alias("price")))
+    at = F.window_time("day") if ticks.isStreaming else F.col("day.start")
+    return daily.select("ticker", at.alias("trade_date"), "price")
 
 
 def _pair_array(pairs: Sequence[tuple[str, str]]) -> Column:

@@ -27,6 +27,9 @@ ARRIVAL_FIELDS = T.StructType([
 
 TRACK = ["route_id", "stop_id", "direction"]
 
+#: Fixed format of a countdown message.
+COUNTDOWN = "Next %s bound %s train will arrive at station %s in %d minutes"
+
 
 def decode_feed(messages: DataFrame, value: str = "value",
                 schema: T.StructType = schemas.FEED_MESSAGE) -> DataFrame:
@@ -146,9 +149,7 @@ def stop_unmatched(arrivals: DataFrame, stops: DataFrame) -> DataFrame:
 def arrival_messages(arrivals: DataFrame, stops: DataFrame, now: Column) -> DataFrame:
     """The countdown message of each arrival; needs a stop name."""
     named = with_countdown(stop_lookup(arrivals, stops), now)
-    text = F.format_string(
-        "Next %s bound %s train will arrive at station %s in %d minutes",
-        "direction", "route_id", "stop_name", "minutes")
+    text = F.format_string(COUNTDOWN, "direction", "route_id", "stop_name", "minutes")
     return named.where(F.col("stop_name").isNotNull()).withColumn("message", text)
 
 
