@@ -316,6 +316,7 @@ ORACLES |= {
     "stream_net_delta_changelog": ORACLES["net_delta_changelog"],
     "stream_net_delta": _with("status net_hour",
                               "select station_id, window_start, window_end, net from net_hour"),
+    "stream_ktable_latest": ORACLES["ktable_latest"],
     # A stream emits the windows that the watermark, a day behind, has closed.
     "stream_pair_correlation": _with("ticks tickers pairs days day_windows correlations", """
         select t1, t2, window_start, window_end, round(corr, 6) corr from correlations

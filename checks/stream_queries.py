@@ -78,6 +78,15 @@ def stream_net_delta(spark, sf):
                                  ["station_id", "window_start", "window_end"], "seq", ["net"])
 
 
+@query
+def stream_ktable_latest(spark, sf):
+    info = stations.decode_info(b.info_topic(_events(spark, sf)))
+    changes = _through_files(spark, tables.latest_versions(
+        info, ["station_id"], "seq", ["name", "capacity"], c("deleted")), "update")
+    return tables.latest_per_key(changes, ["station_id"], writers.BATCH, ["name", "capacity"],
+                                 c("deleted"))
+
+
 @query
 def stream_pair_correlation(spark, sf):
     prices = b.raw_ticks(_events(spark, sf)).withWatermark("trade_date", "1 day")

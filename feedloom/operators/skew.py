@@ -7,8 +7,8 @@ cross a slice border is carried over by a second, small step on one summary row
 per slice.  Keys below the limit stay in slice 0 and pay nothing.
 
 Bounds:
-* hot keys number at most ``rows / hot_rows``, so their list is safe to
-  broadcast whatever the table's size;
+* the list of hot keys that is broadcast holds at most ``max_hot`` keys, the
+  largest ones; any further key takes the plain path, which is exact as well;
 * arrival numbers are unique per key (a topic offset, an event id), so a slice
   holds at most ``slice_rows`` rows of a key.
 """
@@ -30,15 +30,20 @@ class SkewPolicy:
 
     hot_rows: int = 4_000_000
     slice_rows: int = 1_000_000
+    max_hot: int = 100_000
 
 
 DEFAULT = SkewPolicy()
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows; combined map-side first."""
+    """The largest keys above ``hot_rows`` rows; counts combine map-side first.
+
+    The order is total, so every reading of the list gives the same keys.
+    """
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
             .where(F.col("_rows") > policy.hot_rows)
+            .orderBy(F.col("_rows").desc(), *keys).limit(policy.max_hot)
             .select(*keys, F.lit(True).alias(HOT)))
 
 

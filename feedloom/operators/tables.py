@@ -10,21 +10,27 @@ from pyspark.sql import functions as F
 from feedloom.operators import skew
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | Column,
-                   values: Sequence[str], deleted: Column | None = None) -> DataFrame:
-    """Last write per key; keys whose last write is a deletion are left out.
+def latest_versions(df: DataFrame, keys: Sequence[str], order: str | Column,
+                    values: Sequence[str], deleted: Column | None = None) -> DataFrame:
+    """Last write per key, with a ``deleted`` flag where deletions are given.
 
     ``order`` must be unique per key (a topic offset).  One ``max_by`` per
     column, with fixed-width columns, keeps the hash aggregate and its map-side
-    combine: a hot key leaves every map task as a single row.
+    combine: a hot key leaves every map task as a single row.  On a stream this
+    is the upsert table's changelog in ``update`` mode.
     """
     order = F.col(order) if isinstance(order, str) else order
     aggs = [F.max_by(v, order).alias(v) for v in values]
-    if deleted is None:
-        return df.groupBy(*keys).agg(*aggs)
-    return (df.groupBy(*keys)
-            .agg(*aggs, F.max_by(deleted, order).alias("_deleted"))
-            .where(~F.col("_deleted")).drop("_deleted"))
+    if deleted is not None:
+        aggs.append(F.max_by(deleted, order).alias("deleted"))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | Column,
+                   values: Sequence[str], deleted: Column | None = None) -> DataFrame:
+    """Last write per key; keys whose last write is a deletion are left out."""
+    latest = latest_versions(df, keys, order, values, deleted)
+    return latest if deleted is None else latest.where(~F.col("deleted")).drop("deleted")
 
 
 def upsert_entries(df: DataFrame, key: str, value: str, order: str) -> DataFrame:

@@ -13,21 +13,36 @@ from feedloom import schemas
 from feedloom.sources.files import reader
 
 
+#: Rows of a micro-batch, so that the first one of a long topic stays bounded.
+MAX_OFFSETS = 10_000_000
+
+
 def kafka_options(servers: str, topic: str, earliest: bool = True,
-                  max_offsets: int | None = None) -> dict[str, str]:
+                  max_offsets: int = MAX_OFFSETS) -> dict[str, str]:
     """Start at the earliest offset; a checkpoint then takes the place of group offsets."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic,
-               "startingOffsets": "earliest" if earliest else "latest"}
-    if max_offsets:
-        options["maxOffsetsPerTrigger"] = str(max_offsets)
-    return options
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic,
+            "startingOffsets": "earliest" if earliest else "latest",
+            "maxOffsetsPerTrigger": str(max_offsets)}
 
 
 def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True,
-          **kwargs) -> DataFrame:
+          partitions: int = 1, **kwargs) -> DataFrame:
+    """Topic rows; name the topic's partitions where its messages carry no key."""
+    options = kafka_options(servers, topic, **kwargs)
+    if not stream:
+        del options["maxOffsetsPerTrigger"]
     source = spark.readStream if stream else spark.read
-    raw = source.format("kafka").options(**kafka_options(servers, topic, **kwargs)).load()
-    return text_rows(raw)
+    return text_rows(unique_offsets(source.format("kafka").options(**options).load(), partitions))
+
+
+def unique_offsets(raw: DataFrame, partitions: int) -> DataFrame:
+    """Offsets count per partition: make them unique over the topic, in the same order.
+
+    Keyed messages of one key share a partition and need no change.
+    """
+    if partitions == 1:
+        return raw
+    return raw.withColumn("offset", F.col("offset") * partitions + F.col("partition"))
 
 
 def text_rows(raw: DataFrame) -> DataFrame:

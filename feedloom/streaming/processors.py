@@ -1,21 +1,18 @@
 """Keyed state where no built-in streaming aggregate exists.
 
 Each processor sees the rows of one key of one micro-batch, puts them into
-arrival order and keeps a few numbers per key.  The trigger's offset limit
-bounds the rows of a call.
+arrival order and keeps a few numbers per key.  The source's limit on rows per
+trigger bounds the rows of a call.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import timezone
-from operator import attrgetter
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_arrival_order = attrgetter("seq")
-
 
 class SuccessiveChange(StatefulProcessor):
     """Total absolute change between successive readings of a (station, window).
@@ -40,16 +37,13 @@ class SuccessiveChange(StatefulProcessor):
         if stored is None:
             end = key[2] if key[2].tzinfo else key[2].replace(tzinfo=timezone.utc)
             self.handle.registerTimer(int(end.timestamp() * 1000))
-        out = []
-        for row in sorted(rows, key=_arrival_order):
-            value = row.num_bikes_available
+        for seq, value in sorted((row.seq, row.num_bikes_available) for row in rows):
             if last is None:
                 last = 0 if self.baseline == "zero" else value
             net, last = net + abs(value - last), value
-            out.append(Row(station_id=key[0], window_start=key[1], window_end=key[2],
-                           seq=row.seq, num_bikes_available=value, net=net))
+            yield Row(station_id=key[0], window_start=key[1], window_end=key[2],
+                      seq=seq, num_bikes_available=value, net=net)
         self.state.update((net, last))
-        return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.state.clear()
@@ -69,15 +63,15 @@ class RunningMinimum(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.best.get()
-        best, out = (stored[0] if stored is not None else None), []
-        for row in sorted(rows, key=_arrival_order):
-            if best is None or row.arrival < best:
-                best = row.arrival
-                out.append(Row(seq=row.seq, route_id=key[0], stop_id=key[1], direction=key[2],
-                               arrival=best))
-        if out:
+        best = stored[0] if stored is not None else None
+        before = best
+        for seq, arrival in sorted((row.seq, row.arrival) for row in rows):
+            if best is None or arrival < best:
+                best = arrival
+                yield Row(seq=seq, route_id=key[0], stop_id=key[1], direction=key[2],
+                          arrival=best)
+        if best != before:
             self.best.update((best,))
-        return iter(out)
 
     def close(self) -> None:
         pass

@@ -63,19 +63,25 @@ def top_turnover_writer(path: str, read_info: Callable[[], DataFrame],
     """
     keys = ["station_id", "window_start", "window_end"]
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def ranked(batch: DataFrame, batch_id: int) -> None:
         changed = batch.groupBy(*keys).agg(F.max_by("net", "seq").alias("net"),
                                            F.max("seq").alias("seq"))
         (changed.withColumn("day", F.to_date("window_start"))
          .withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day", "batch_id").parquet(path))
-        touched = batch.select("window_start").distinct()
-        held = (spark.read.parquet(path)
-                .join(touched.select(F.to_date("window_start").alias("day")).distinct(),
-                      "day", "left_semi")
-                .join(touched, "window_start", "left_semi"))
+        first_day = batch.agg(F.to_date(F.min("window_start"))).first()[0]
+        if first_day is None:
+            return
+        held = (batch.sparkSession.read.parquet(path).where(F.col("day") >= F.lit(first_day))
+                .join(batch.select("window_start").distinct(), "window_start", "left_semi"))
         totals = tables.latest_per_key(held, keys, "seq", ["net"])
         write(stations.top_turnover(stations.turnover_ratio(totals, read_info()), n), batch_id)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            ranked(batch, batch_id)
+        finally:
+            batch.unpersist()
     return run

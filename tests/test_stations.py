@@ -11,7 +11,7 @@ from feedloom.operators.skew import SkewPolicy
 from feedloom.plans import bikeshare
 from feedloom.sources import files, topics
 
-TINY = SkewPolicy(hot_rows=3, slice_rows=4)
+TINY = SkewPolicy(hot_rows=3, slice_rows=4, max_hot=2)
 
 
 def readings(spark, data):
@@ -170,3 +170,5 @@ def test_bytes_become_text(spark, rows):
                                 "key binary, value binary, timestamp timestamp, offset bigint")
     assert rows(topics.text_rows(raw), "key", "value") == [("k", "é")]
     assert topics.kafka_options("h:1", "t")["startingOffsets"] == "earliest"
+    parts = spark.createDataFrame([(0, 1), (1, 1), (0, 2)], "partition int, offset bigint")
+    assert rows(topics.unique_offsets(parts, 2), "offset") == [(2,), (3,), (4,)]

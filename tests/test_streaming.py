@@ -10,7 +10,7 @@ from feedloom.operators import stations, tables, transit
 from feedloom.plans import bikeshare
 from feedloom.plans import trains as train_plan
 from feedloom.sinks import writers
-from feedloom.sources import topics
+from feedloom.sources import files, topics
 from feedloom.streaming import run, streams
 
 
@@ -151,3 +151,12 @@ def test_station_counts_are_observed(spark, tmp_path):
     metrics = [p.observedMetrics["feed"].stations for p in query.recentProgress
                if "feed" in (p.observedMetrics or {})]
     assert sum(metrics) == 2
+
+
+def test_snapshot_files_stream(spark, rows, tmp_path):
+    (tmp_path / "feed").mkdir()
+    for i in (1, 2):
+        (tmp_path / "feed" / f"{i}.json").write_text(
+            '{"ttl": 10,\n "data": {"stations": [\n{"station_id": "%d", "num_bikes_available": 3}]}}' % i)
+    stream = bikeshare.publish_status(files.status_feed(spark, str(tmp_path / "feed"), stream=True))
+    assert rows(_run(spark, stream, tmp_path), "key") == [("1",), ("2",)]

@@ -41,3 +41,10 @@ def test_slices_bound_the_rows_of_a_hot_key(spark):
     sliced = with_slices(df, ["k"], "seq", policy)
     assert sliced.groupBy("k", "_slice").count().agg({"count": "max"}).first()[0] <= 60
     assert sliced.where("not _hot and _slice <> 0").count() == 0
+
+
+def test_only_the_largest_keys_are_listed(spark):
+    df = spark.range(60).selectExpr("case when id < 30 then 'a' when id < 50 then 'b' else 'c' end k",
+                                    "id seq")
+    policy = SkewPolicy(hot_rows=5, slice_rows=5, max_hot=2)
+    assert sorted(r["k"] for r in hot_keys(df, ["k"], policy).collect()) == ["a", "b"]
