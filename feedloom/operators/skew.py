@@ -49,7 +49,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: str,
                 policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """Add ``_hot`` and ``_slice``; slices follow ``order`` within each hot key."""
+    """Add ``_hot`` and ``_slice``; slices follow ``order`` within each hot key.
+
+    Keys must not be null: the operators leave such rows out first.
+    """
     marked = df.join(F.broadcast(hot_keys(df, keys, policy)), list(keys), "left")
     return (marked
             .withColumn(HOT, F.coalesce(HOT, F.lit(False)))

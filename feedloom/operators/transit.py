@@ -81,11 +81,11 @@ def decode_trip_updates(topic: DataFrame, on_error: str = "quarantine",
 def stop_times(updates: DataFrame) -> DataFrame:
     """One arrival per stop time that names a stop and has an arrival.
 
-    Updates without a trip or without stop times give nothing.
+    Updates without a trip, its route or stop times give nothing.
     """
     kept = [c for c in updates.columns if c not in ("trip", "stopTimeUpdate")]
     exploded = (updates
-                .where(F.col("trip").isNotNull() & (F.size("stopTimeUpdate") > 0))
+                .where(F.col("trip.routeId").isNotNull() & (F.size("stopTimeUpdate") > 0))
                 .select(*kept, F.col("trip.routeId").alias("route_id"),
                         F.explode("stopTimeUpdate").alias("_s"))
                 .where(F.col("_s.arrival").isNotNull() & F.col("_s.stopId").isNotNull()))
@@ -118,8 +118,8 @@ def arrival_improvements(arrivals: DataFrame, now: Column,
     A stored arrival does not expire: once a train has passed, only an even
     earlier upcoming one would count.
     """
-    rows = skew.with_slices(upcoming(arrivals, now).select("seq", *TRACK, "arrival"),
-                            TRACK, "seq", policy)
+    known = upcoming(arrivals, now).dropna(subset=TRACK).select("seq", *TRACK, "arrival")
+    rows = skew.with_slices(known, TRACK, "seq", policy)
     before = (skew.slice_window(TRACK, "seq")
               .rowsBetween(Window.unboundedPreceding, -1))
     arrival, best = F.col("arrival"), F.min("arrival").over(before)
@@ -193,7 +193,7 @@ def delay_propagation(schedule: DataFrame, policy: skew.SkewPolicy = skew.DEFAUL
     speaks = F.col("relationship").isNotNull() & (F.col("relationship") != "SKIPPED")
     delay = F.when(F.col("relationship") != "NO_DATA", F.col("delay"))
     rows = skew.with_slices(
-        schedule.withColumn("_update", F.when(speaks, F.struct(delay.alias("d")))),
+        schedule.dropna(subset=["trip_id"]).withColumn("_update", F.when(speaks, F.struct(delay.alias("d")))),
         ["trip_id"], "stop_sequence", policy)
     upto = (skew.slice_window(["trip_id"], "stop_sequence")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
