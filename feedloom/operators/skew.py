@@ -26,7 +26,11 @@ HOT, SLICE = "_hot", "_slice"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot, and how wide its slices are."""
+    """When a key counts as hot, and how wide its slices are.
+
+    ``slice_rows`` is a width in units of the order column: a number of rows
+    where that counts arrivals.
+    """
 
     hot_rows: int = 4_000_000
     slice_rows: int = 1_000_000

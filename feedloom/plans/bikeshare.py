@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators import stations, tables
 from feedloom.session import materialize
+from feedloom.streaming import streams
 
 
 def publish_status(feed: DataFrame) -> DataFrame:
@@ -46,3 +47,15 @@ def turnover(status_topic: DataFrame, info_topic: DataFrame,
     readings = materialize(stations.decode_status(status_topic), "readings")
     net = stations.net_delta(readings, window)
     return stations.turnover_ratio(net, info_table(info_topic))
+
+
+def turnover_updates(status_topic: DataFrame, info: DataFrame, window: str = "60 minutes",
+                     lateness: str = streams.LATENESS) -> DataFrame:
+    """Turnover messages of a stream: one for every update of a window's total.
+
+    ``info`` is a table; see :func:`feedloom.streaming.streams.refreshed_lookup`
+    for one that changes while the stream runs.
+    """
+    updates = streams.net_delta_updates(stations.decode_status(status_topic), window,
+                                        lateness=lateness)
+    return stations.turnover_lines(stations.turnover_ratio(updates, info))

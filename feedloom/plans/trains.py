@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from feedloom.operators import transit
 from feedloom.session import materialize
+from feedloom.streaming import streams
 
 
 def arrivals(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
@@ -23,3 +24,9 @@ def countdown(topic: DataFrame, stops: DataFrame, now: Column) -> DataFrame:
     decoded = materialize(transit.upcoming(arrivals(topic), now), "arrivals")
     better = transit.arrival_improvements(decoded, now)
     return transit.arrival_messages(better, stops, now)
+
+
+def countdown_updates(topic: DataFrame, stops: DataFrame, now: Column) -> DataFrame:
+    """Countdown messages of a stream, as arrivals improve."""
+    return transit.arrival_messages(
+        streams.arrival_improvement_updates(arrivals(topic), now), stops, now)

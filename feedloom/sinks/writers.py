@@ -82,14 +82,19 @@ def compact_entries(spark: SparkSession, source: str, target: str, key: str, val
 def jdbc(url: str, table: str, key: str | None = None, **properties: str) -> BatchWriter:
     """Append rows in one job per batch.
 
-    With ``key``, rows whose key the table already holds are left out, which
-    makes a replayed batch harmless.
+    With ``key``, an integer column, rows whose key the table already holds are
+    left out, which makes a replayed batch harmless.  Only the batch's own key
+    range is read back.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         rows = df
         if key is not None:
-            held = df.sparkSession.read.jdbc(url, f"(select {key} from {table}) held",
-                                             properties=properties)
+            low, high = df.agg(F.min(key), F.max(key)).first()
+            if low is None:
+                return
+            held = df.sparkSession.read.jdbc(
+                url, f"(select {key} from {table} where {key} between {int(low)} and {int(high)}) held",
+                properties=properties)
             rows = df.dropDuplicates([key]).join(held, key, "left_anti")
         rows.write.jdbc(url, table, mode="append", properties=properties)
     return write

@@ -160,3 +160,29 @@ def test_snapshot_files_stream(spark, rows, tmp_path):
             '{"ttl": 10,\n "data": {"stations": [\n{"station_id": "%d", "num_bikes_available": 3}]}}' % i)
     stream = bikeshare.publish_status(files.status_feed(spark, str(tmp_path / "feed"), stream=True))
     assert rows(_run(spark, stream, tmp_path), "key") == [("1",), ("2",)]
+
+
+def test_turnover_messages_of_a_stream(spark, rows, feed, tmp_path):
+    info = spark.createDataFrame([("hot", 30), ("c", 0)], "station_id string, capacity int")
+    stream = topics.topic_files(spark, feed, stream=True, max_files=2)
+    got = _run(spark, bikeshare.turnover_updates(stream, info), tmp_path, "update")
+    changelog = stations.net_delta_changelog(stations.decode_status(topics.topic_files(spark, feed)))
+    want = stations.turnover_lines(stations.turnover_ratio(changelog, info))
+    assert rows(got, "key", "value") == rows(want, "key", "value")
+    assert want.where("value like '%NA%%'").count() > 0
+
+
+def test_countdown_messages_of_a_stream(spark, rows, tmp_path):
+    path = str(tmp_path / "trips")
+    data = [(None, f'{{"trip":{{"routeId":"1"}},"stopTimeUpdate":[{{"stopId":"101N",'
+                   f'"arrival":{{"time":"{t}"}}}}]}}', at("2024-01-01"), q)
+            for q, t in enumerate([900, 800, 850, 700, 90])]
+    schema = "key string, value string, timestamp timestamp, offset bigint"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(path)
+    stops = spark.createDataFrame([("101", "Elm")], "stop_id string, stop_name string")
+    now = F.lit(100)
+    got = _run(spark, train_plan.countdown_updates(
+        topics.topic_files(spark, path, stream=True), stops, now), tmp_path, "update")
+    want = train_plan.countdown(topics.topic_files(spark, path), stops, now)
+    assert rows(got, "seq", "message") == rows(want, "seq", "message")
+    assert [r[0] for r in rows(want, "seq")] == [0, 1, 3]
