@@ -26,7 +26,9 @@ def decode_json(value: Column, schema: T.StructType, on_error: str = "quarantine
     keeps the raw text of such a record in the struct field ``_corrupt_record``.
     """
     if on_error == "fail":
-        return F.from_json(value, schema, {"mode": "FAILFAST"})
+        # A missing or empty value parses to null; it is no record either.
+        return F.coalesce(F.from_json(value, schema, {"mode": "FAILFAST"}),
+                          F.raise_error(F.lit("malformed record: no value")))
     if on_error != "quarantine":
         raise ValueError(f"on_error must be 'quarantine' or 'fail', not {on_error!r}")
     kept = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])

@@ -66,15 +66,13 @@ def decode_status(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
 
 def decode_info(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """Station information per record; a null value is a deletion and is kept as such."""
-    deleted = topic.where(F.col("value").isNull()) if on_error == "quarantine" else None
     rows = _decode(topic.where(F.col("value").isNotNull()), schemas.INFO_VALUE, on_error)
     fields = [F.col("_v.name"), F.col("_v.latitude"), F.col("_v.longitude"),
               F.coalesce("_v.capacity", F.lit(0)).alias("capacity")]
     ids = [F.col("key").alias("station_id"), F.col("timestamp").alias("ts"),
            F.col("offset").alias("seq")]
     decoded = rows.select(*ids, *fields, F.lit(False).alias("deleted"))
-    if deleted is None:
-        return decoded
+    deleted = topic.where(F.col("value").isNull())
     nothing = [F.lit(None).cast(kind).alias(name) for name, kind in
                (("name", "string"), ("latitude", "float"), ("longitude", "float"),
                 ("capacity", "int"))]

@@ -128,6 +128,21 @@ def test_decoding_policies(spark, rows):
         stations.decode_status(t, on_error="ignore")
 
 
+@pytest.mark.parametrize("value", [None, "", "{oops"])
+def test_failing_policy_lets_nothing_through(spark, value):
+    t = topic(spark, [("a", '{"num_bikes_available":3}', 1), ("b", value, 2)])
+    with pytest.raises(Exception):
+        stations.decode_status(t, on_error="fail").collect()
+    assert stations.decode_status(t).count() == 1
+
+
+@pytest.mark.parametrize("on_error", ["quarantine", "fail"])
+def test_deletions_pass_under_both_policies(spark, rows, on_error):
+    t = topic(spark, [("a", '{"name":"a","capacity":1}', 1), ("a", None, 2),
+                      ("b", '{"name":"b"}', 3)])
+    assert rows(bikeshare.info_table(t, on_error), "station_id", "capacity") == [("b", 0)]
+
+
 def test_info_table_takes_last_version_and_deletes(spark, rows):
     t = topic(spark, [("a", '{"name":"old","capacity":1}', 1), ("a", '{"name":"new","capacity":2}', 2),
                       ("b", '{"name":"b","capacity":1}', 3), ("b", None, 4)])
