@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -56,11 +57,14 @@ def use_rocksdb(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory that every executor can reach.
 
-    Taken below ``spark.checkpoint.dir`` as the cluster names it.  Only where
-    that is unset, as in local tests, is a machine-local folder made.
+    Taken below ``spark.checkpoint.dir`` as the cluster names it.  A folder of
+    this machine serves only a session that runs within it, as in tests; any
+    other session has to name a shared one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="feedloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
