@@ -33,3 +33,14 @@ def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     """Short pieces of a batch, so that a task never holds many long texts at once."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def decoded_texts(column: pa.Array) -> list[str]:
+    """The texts of a binary column: nulls are empty, what is not UTF-8 is replaced."""
+    return ["" if x is None else x.decode("utf-8", "replace") for x in column.to_pylist()]
+
+
+def with_columns(batch: pa.RecordBatch, without: list[str], made: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch without some of its columns and with the new ones at its end."""
+    kept = [n for n in batch.schema.names if n not in without]
+    return pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], *made.values()], [*kept, *made])

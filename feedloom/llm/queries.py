@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, sharding, warc
+from feedloom.llm import bpe, chat, sharding, warc
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
 
@@ -28,6 +28,20 @@ def op4_chat_rotation(spark: SparkSession, sf: str) -> DataFrame:
                                      "offset", "text", spans.alias("loss_spans"))
 
 
+def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return token_digests(docs)
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Encode, decode, and digest both."""
+    coded = bpe.decode(bpe.encode(docs, offsets=False).drop("text"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "warc")
     warc.write(table(spark, sf, "pages", "page_id", "url", "html"), folder)
@@ -37,7 +51,8 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op4_chat_rotation, op9_warc)}
+    f.__name__: f for f in (
+        op1_sharding, op4_chat_rotation, op5_bpe, op9_warc)}
 
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """
