@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, sharding, warc
+from feedloom.llm import bpe, chat, sharding, simhash, warc
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
 
@@ -50,9 +50,15 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", simhash.printed_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op4_chat_rotation, op5_bpe, op9_warc)}
+        op1_sharding, op4_chat_rotation, op5_bpe, op9_warc, op10_simhash)}
 
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """
