@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, sharding, simhash, warc
+from feedloom.llm import bpe, chat, decontaminate, line_dedup, sharding, simhash, warc
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
 
@@ -42,6 +42,20 @@ def token_digests(docs: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    items = table(spark, sf, "benchmark", "item_id", "text")
+    hit = decontaminate.find(docs, items, keep=["doc_id"]).select("doc_id", F.explode("hits").alias("hit"))
+    spans = F.array_join(F.transform("hit.spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return hit.select("doc_id", "hit.item_id", "hit.coverage", "hit.longest",
+                      F.size("hit.spans").alias("n_tiles"), spans.alias("spans"))
+
+
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text", "source")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "warc")
     warc.write(table(spark, sf, "pages", "page_id", "url", "html"), folder)
@@ -58,7 +72,8 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op4_chat_rotation, op5_bpe, op9_warc, op10_simhash)}
+        op1_sharding, op4_chat_rotation, op5_bpe, op7_decontamination,
+        op8_line_dedup, op9_warc, op10_simhash)}
 
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """
@@ -91,6 +106,23 @@ SELECT conv_id, participant, part, n_turns, n_own_turns,
   (sum(n_chars) OVER (PARTITION BY conv_id, participant ORDER BY part) - n_chars)::BIGINT AS "offset",
   text, loss_spans
 FROM a""",
+    "op8_line_dedup": """
+WITH l AS (
+  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL),
+b AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM l),
+w AS (SELECT bare FROM b WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT site) >= 10),
+m AS (SELECT doc_id, pos, line, bare, w.bare IS NOT NULL AS wide FROM b LEFT JOIN w USING (bare)),
+d AS (
+  SELECT doc_id, count(*)::INT AS n_lines, (count(*) FILTER (WHERE wide))::INT AS n_wide,
+    count(*) FILTER (WHERE bare <> '') AS n_content,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT wide), '') AS left_over
+  FROM m GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines,
+  CASE WHEN n_wide < n_content THEN n_wide ELSE 0 END AS n_removed,
+  CASE WHEN n_wide < n_content THEN left_over ELSE text END AS text
+FROM documents LEFT JOIN d USING (doc_id)""",
     "op9_warc": """
 SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
   CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
