@@ -25,11 +25,12 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,9 @@ from feedloom.llm.common import decoded_texts, slices, with_columns
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces that a Python worker keeps with their ids, and the longest such piece.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 600_000
 KEPT_CHARS = 32
-ROWS_AT_ONCE = 256
+TOKENS_AT_ONCE = 262_144
 
 
 def byte_characters() -> list[str]:
@@ -91,52 +92,68 @@ class Coder:
         self.tokenizer = Tokenizer(models.BPE(vocab=vocab, merges=merges))
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.split = regex.compile(pattern)
+        self.offsets = offsets
+        #: Of each known piece its ids and, for offsets, its spans, as bytes of 32-bit integers.
+        self.ids_of: dict[str, bytes] = {}
+        self.spans_of: dict[str, bytes] = {}
         byte = {c: b for b, c in enumerate(byte_characters())}
-        self.bytes_of = [b""] * (max(vocab.values(), default=-1) + 1)
+        table = [b""] * (max(vocab.values(), default=-1) + 1)
         for token, i in vocab.items():
-            self.bytes_of[i] = bytes(byte[c] for c in token)
-        self.offsets = offsets
-        self.kept: dict[str, tuple[list[int], list[tuple[int, int]]]] = {}
-
-    def _encoded(self, pieces: list[str]) -> dict:
-        """Ids and character offsets of each piece."""
-        out = {p: ([], []) for p in pieces}
+            table[i] = bytes(byte[c] for c in token)
+        self.bytes_of = table
+        self.flat = np.frombuffer(b"".join(table), np.uint8)
+        self.length = np.fromiter(map(len, table), np.int64, len(table))
+        self.start = np.cumsum(self.length) - self.length
+
+    def _learn(self, pieces: list[str]) -> None:
+        if not pieces:
+            return
         encoding = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        for word, i in zip(encoding.word_ids, encoding.ids):
-            out[pieces[word]][0].append(i)
+        cuts = np.searchsorted(np.array(encoding.word_ids), np.arange(len(pieces) + 1)).tolist()
+        ids = np.array(encoding.ids, np.int32).tobytes()
+        self.ids_of.update((p, ids[4 * a:4 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
         if self.offsets:
-            for word, span in zip(encoding.word_ids, encoding.offsets):
-                out[pieces[word]][1].append(span)
-        return out
-
-    def encode(self, texts: list[str]) -> tuple[list[list[str]], dict]:
-        """The pieces of each text, and what every piece is encoded to."""
+            spans = np.array(encoding.offsets, np.int32).tobytes()
+            self.spans_of.update((p, spans[8 * a:8 * b]) for p, a, b in zip(pieces, cuts, cuts[1:]))
+
+    def _forget(self, pieces: list[str]) -> None:
+        """Long pieces go, and as many of the others as there is no room for."""
+        over = len(self.ids_of) - KEPT_PIECES
+        for p in pieces:
+            if over > 0 or len(p) > KEPT_CHARS:
+                del self.ids_of[p]
+                self.spans_of.pop(p, None)
+                over -= 1
+
+    def _spans(self, pieces: list[str]) -> np.ndarray:
+        """The code points that each token of a text touches."""
+        lengths = np.fromiter(map(len, pieces), np.int32, len(pieces))
+        counts = np.fromiter((len(self.ids_of[p]) // 4 for p in pieces), np.int64, len(pieces))
+        spans = np.frombuffer(b"".join(map(self.spans_of.__getitem__, pieces)), np.int32).reshape(-1, 2)
+        return spans + np.repeat(np.cumsum(lengths) - lengths, counts)[:, None]
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of each text, and its tokens' (start, end) if offsets are asked for."""
         pieces = [self.split.findall(t) for t in texts]
-        known = self.kept
-        new = [p for p in dict.fromkeys(chain.from_iterable(pieces)) if p not in known]
-        if not new:
-            return pieces, known
-        fresh = self._encoded(new)
-        room = KEPT_PIECES - len(known)
-        for p in new[:max(room, 0)]:
-            if len(p) <= KEPT_CHARS:
-                known[p] = fresh[p]
-        needed = set(fresh).difference(known)
-        return pieces, (known if not needed else _Both(known, fresh))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
-
-class _Both(dict):
-    """Pieces of this batch in front of the kept ones."""
-
-    def __init__(self, kept: dict, fresh: dict) -> None:
-        super().__init__(fresh)
-        self.kept = kept
-
-    def __missing__(self, piece: str):
-        return self.kept[piece]
+        new = list(set(filterfalse(self.ids_of.__contains__, chain.from_iterable(pieces))))
+        self._learn(new)
+        ids = [np.frombuffer(b"".join(map(self.ids_of.__getitem__, ps)), np.int32) for ps in pieces]
+        spans = [self._spans(ps) for ps in pieces] if self.offsets else []
+        self._forget(new)
+        return ids, spans
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of a run of tokens."""
+        if len(ids) and ids.min() < 0:
+            raise IndexError("negative token id")
+        out = []
+        for at in range(0, len(ids), TOKENS_AT_ONCE):
+            some = ids[at:at + TOKENS_AT_ONCE]
+            size = self.length[some]
+            ends = np.cumsum(size)
+            place = np.repeat(self.start[some] - (ends - size), size) + np.arange(ends[-1])
+            out.append(self.flat[place].tobytes())
+        return b"".join(out)
 
 
 _coders: dict[tuple[str, bool], Coder] = {}
@@ -159,19 +176,19 @@ def shared_vocabulary(docs: DataFrame, ranks_path: str | None, pattern: str | No
     return docs.sparkSession.sparkContext.broadcast((name, vocab, merges, pattern))
 
 
-def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    lengths = np.fromiter((len(r) for r in rows), np.int64, len(rows))
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    values = np.concatenate(rows) if rows else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32), kind))
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    values = np.concatenate([*rows, np.empty(0, np.int32)])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def _starts(pieces: list[str], found: dict) -> Iterator[tuple[int, int]]:
-    at = 0
-    for p in pieces:
-        for start, end in found[p][1]:
-            yield at + start, at + end
-        at += len(p)
+def _decoded(coder: Coder, lists: pa.ListArray) -> list[bytes]:
+    """The bytes of each list of ids: all tokens at once, then cut by row."""
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    data = coder.decode(ids)
+    cuts = np.concatenate([[0], np.cumsum(coder.length[ids])])[np.concatenate([[0], ends])].tolist()
+    return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", offsets: bool = True,
@@ -186,14 +203,9 @@ def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", off
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared, offsets)
         for batch in batches:
-            for part in slices(batch, ROWS_AT_ONCE):
-                pieces, found = coder.encode(decoded_texts(part.column("_bpe_text")))
-                made = [_lists([np.fromiter(chain.from_iterable(found[p][0] for p in ps), np.int32)
-                                for ps in pieces], pa.int32())]
-                if offsets:
-                    spans = [np.fromiter(chain.from_iterable(_starts(ps, found)), np.int32).reshape(-1, 2)
-                             for ps in pieces]
-                    made += [_lists([s[:, k] for s in spans], pa.int32()) for k in (0, 1)]
+            for part in slices(batch, "_bpe_text"):
+                ids, spans = coder.encode(decoded_texts(part.column("_bpe_text")))
+                made = [_lists(ids), *([_lists([s[:, k] for s in spans]) for k in (0, 1)] if offsets else [])]
                 yield with_columns(part, ["_bpe_text"], dict(zip(names, made)))
 
     kind = T.ArrayType(T.IntegerType(), False)
@@ -210,8 +222,8 @@ def decode(tokens: DataFrame, *, ids_col: str = "ids", bytes_col: str = "decoded
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared, False)
         for batch in batches:
-            for part in slices(batch, ROWS_AT_ONCE):
-                rows = [coder.decode(ids or ()) for ids in part.column(ids_col).to_pylist()]
+            for part in slices(batch):
+                rows = _decoded(coder, part.column(ids_col))
                 made = {bytes_col: pa.array(rows, pa.binary())}
                 if text_col:
                     made[text_col] = pa.array([r.decode("utf-8", "replace") for r in rows], pa.string())

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +31,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
-    """Short pieces of a batch, so that a task never holds many long texts at once."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batch: pa.RecordBatch, texts: str | None = None, rows: int = 512,
+           size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Short pieces of a batch, of at most ``size`` bytes in the column ``texts``
+    (or one row), so that a task never holds the work of many long texts at once."""
+    n, at = batch.num_rows, 0
+    total = np.arange(n) * 0 if texts is None else np.cumsum(
+        pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while at < n:
+        before = int(total[at - 1]) if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(total, before + size, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def decoded_texts(column: pa.Array) -> list[str]:

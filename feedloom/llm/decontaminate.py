@@ -36,7 +36,6 @@ from feedloom.llm.common import decoded_texts, slices, with_columns
 
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 BLOCK_BYTES = 16 << 20
-ROWS_AT_ONCE = 256
 WORD = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -196,7 +195,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = _block(shared, min_match)
             for batch in batches:
-                for part in slices(batch, ROWS_AT_ONCE):
+                for part in slices(batch, "_tiled_text"):
                     before = part.column(hits_col).to_pylist()
                     hits = [b + items.hits(t, min_coverage)
                             for b, t in zip(before, decoded_texts(part.column("_tiled_text")))]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, decontaminate, line_dedup, sharding, simhash, warc
+from feedloom.llm import bpe, chat, decontaminate, language_id, line_dedup, sharding, simhash, warc
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
 
@@ -21,6 +21,13 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang")
+    model = language_id.train(docs.where(~language_id.held_out()).select("text", "lang"))
+    return language_id.predict(docs, model, keep=["doc_id"]).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_chat_rotation(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     spans = F.array_join(F.transform("loss_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
@@ -72,7 +79,7 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op4_chat_rotation, op5_bpe, op7_decontamination,
+        op1_sharding, op2_language_id, op4_chat_rotation, op5_bpe, op7_decontamination,
         op8_line_dedup, op9_warc, op10_simhash)}
 
 ORACLES: dict[str, str] = {

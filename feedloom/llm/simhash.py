@@ -43,7 +43,7 @@ from feedloom.llm.graph import components
 WORDS, SEED, BITS = 3, 42, 3
 SHARED = 8 - BITS
 PAIR_LIMIT = 256
-ROWS_AT_ONCE, HASHES_AT_ONCE = 256, 65_536
+HASHES_AT_ONCE = 65_536
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, ROWS_AT_ONCE):
+            for part in slices(batch, "t"):
                 fps = np.array([fingerprint(t or b"", words) for t in part.column("t").to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))],
                                                  ["doc_id", "fp"])

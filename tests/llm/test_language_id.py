@@ -1,0 +1,68 @@
+"""Language id: held-out accuracy, counts over all rows, backoff, defined cases."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.llm import language_id, queries
+
+DOCS = "doc_id long, text string, lang string"
+ROWS = [(1, "the cat and the dog", "en"), (2, "The end of the day", "en"), (3, "le chat et le chien", "fr"),
+        (4, "la fin du jour", "fr"), (5, None, "de"), (6, "ohne", None)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return language_id.train(spark.createDataFrame(ROWS, DOCS))
+
+
+def test_held_out_accuracy(spark, sf):
+    rows = queries.op2_language_id(spark, sf).collect()
+    truth = {r["doc_id"]: (r["text"], r["lang"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert len(rows) == len(truth)
+    test = [r for r in rows if r["held_out"] and len(truth[r["doc_id"]][0] or "") > 20]
+    right = sum(r["lang_pred"] == truth[r["doc_id"]][1] for r in test)
+    assert len(test) > 20 and right / len(test) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_counts_cover_all_words_and_grams(spark):
+    df = spark.createDataFrame(ROWS, DOCS).repartition(3)
+    words = language_id.word_counts(df, "text", "lang")
+    want = Counter((lang, w) for _, t, lang in ROWS if t and lang for w in language_id.words_of(t))
+    assert {(r["lang"], r["token"]): r["n"] for r in words.collect()} == want
+    grams = Counter()
+    for (lang, w), n in want.items():
+        for size in (1, 2, 3):
+            for g in language_id.grams_of(w, size):
+                grams[lang, g] += n
+    assert {(r["lang"], r["token"]): r["n"] for r in language_id.gram_counts(words, 3).collect()} == grams
+
+
+def test_words_come_first_then_shorter_grams(model):
+    assert model.langs == ["en", "fr"]
+    assert (model.score("the") == model.word_scores[model.words["the"]]).all()
+    assert "there" not in model.words
+    longest = [g for g in language_id.grams_of("there", 4) if g in model.grams]
+    assert longest and (model.score("there") == model.gram_scores[[model.grams[g] for g in longest]].mean(axis=0)).all()
+    assert (model.score("tz") == model.gram_scores[model.grams[" t"]]).all()  # its longest known n-gram
+    assert model.score("漢字") is None
+    assert model.predict("there the")[0] == "en" and model.predict("chien")[0] == "fr"
+
+
+def test_nulls_no_letters_unknown_scripts_and_long_texts(spark, model):
+    texts = [None, "", "123 !? ½", "漢字", "the " * 100_000, "THE CAT", "THE CAT"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn(
+        "score", F.lit("own")).withColumn("lang", F.lit("zz"))
+    got = [tuple(r) for r in language_id.predict(df, model).orderBy("doc_id").select("lang_pred", "score").collect()]
+    assert got[:3] == [("und", 0.0)] * 3
+    assert got[3][0] == "en" and 0 < got[3][1] < 1
+    assert [g[0] for g in got[4:]] == ["en"] * 3 and got[5] == got[6]
+
+
+def test_nothing_to_learn_and_empty_table(spark):
+    none = spark.createDataFrame([], DOCS)
+    model = language_id.train(none)
+    assert language_id.predict(none, model).collect() == []
+    assert model.predict("the") == ("und", 0.0)
