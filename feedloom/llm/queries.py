@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, decontaminate, language_id, line_dedup, sharding, simhash, warc
+from feedloom.llm import bpe, chat, decontaminate, language_id, line_dedup, pii, sharding, simhash, warc
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
 
@@ -28,6 +28,18 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = pii.find(docs, pii.fit(docs.select("text")), keep=["doc_id"])
+    base = F.filter("pii", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.joined(F.col("pii")).alias("spans"))
+
+
 def op4_chat_rotation(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     spans = F.array_join(F.transform("loss_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
@@ -79,8 +91,8 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_language_id, op4_chat_rotation, op5_bpe, op7_decontamination,
-        op8_line_dedup, op9_warc, op10_simhash)}
+        op1_sharding, op2_language_id, op3_pii, op4_chat_rotation, op5_bpe,
+        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash)}
 
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """
