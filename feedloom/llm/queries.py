@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, chat, decontaminate, language_id, line_dedup, pii, sharding, simhash, warc
+from feedloom.llm import (bpe, chat, decontaminate, language_id, line_dedup, pii, sharding, simhash,
+                          syncmers, warc)
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
 
@@ -61,6 +62,10 @@ def token_digests(docs: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    return syncmers.compare_with_edits(table(spark, sf, "documents", "doc_id", "text"))
+
+
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
     items = table(spark, sf, "benchmark", "item_id", "text")
@@ -91,7 +96,7 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_language_id, op3_pii, op4_chat_rotation, op5_bpe,
+        op1_sharding, op2_language_id, op3_pii, op4_chat_rotation, op5_bpe, op6_syncmers,
         op7_decontamination, op8_line_dedup, op9_warc, op10_simhash)}
 
 ORACLES: dict[str, str] = {
