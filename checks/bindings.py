@@ -18,8 +18,6 @@ from feedloom.operators import ticks as tick_ops
 
 #: 2024-01-15 00:00:00 UTC, the instant the batch forms take for "now".
 NOW = 1705276800
-TICKERS = ["click", "error", "purchase", "signup", "view"]
-PAIRS = tick_ops.pairs_of(TICKERS)
 
 c = F.col
 
@@ -122,6 +120,15 @@ def raw_ticks(ev: DataFrame) -> DataFrame:
                      c("value").alias("price"))
 
 
+def tickers(ev: DataFrame) -> list[str]:
+    """All tickers that the table holds, in order."""
+    return sorted(r[0] for r in ev.select("event_type").distinct().collect())
+
+
+def pairs(ev: DataFrame) -> list[tuple[str, str]]:
+    return tick_ops.pairs_of(tickers(ev))
+
+
 def ticks(ev: DataFrame) -> DataFrame:
     """One price per (ticker, day)."""
     return tick_ops.daily_prices(raw_ticks(ev))
@@ -209,7 +216,10 @@ def stops(spark: SparkSession, sf: str) -> DataFrame:
 def entities(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.concat_ws("/", c("event_type"), _stop_code()).alias("id"), c("event_id").alias("seq"),
-        (c("value") < 10).alias("is_deleted"), _arrival().alias("arrival"))
+        (c("value") < 10).alias("is_deleted"), _arrival().alias("arrival"),
+        F.expr("event_id div 100").alias("snapshot"),
+        F.when(F.expr("event_id div 100 % 4") == 0, "FULL_DATASET").otherwise("DIFFERENTIAL")
+        .alias("incrementality"))
 
 
 def schedule(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,7 +234,7 @@ def schedule(spark: SparkSession, sf: str) -> DataFrame:
     return (rows.groupBy("trip_id", "stop_sequence")
             .agg(F.min("sched").alias("sched"), F.max("delay").alias("delay"),
                  F.max("time").alias("time"), F.max("silent").alias("_silent"))
-            .withColumn("relationship", F.when(c("delay").isNotNull(), "SCHEDULED")
+            .withColumn("relationship", F.when(c("delay").isNotNull() | c("time").isNotNull(), "SCHEDULED")
                         .when(c("_silent"), "NO_DATA")).drop("_silent"))
 
 
@@ -254,8 +264,25 @@ def alerts(ev: DataFrame) -> DataFrame:
         .alias("stop_id"))
 
 
+def selectors(ev: DataFrame) -> DataFrame:
+    """The selectors of the alerts: an even alert also names its stop by itself."""
+    first = alerts(ev).select("id", "route_id", "stop_id")
+    second = ev.where(c("event_id") % 2 == 0).select(
+        c("event_id").alias("id"), F.lit(None).cast("string").alias("route_id"),
+        F.lpad((c("user_id") % 1000).cast("string"), 3, "0").alias("stop_id"))
+    return first.unionByName(second)
+
+
 # --- posts, logs, messages --------------------------------------------------
 
+def post_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts as JSON lines; every seventh is cut off after its id."""
+    rows = post_json(spark, sf).drop("ingest_ts")
+    line = F.to_json(F.struct(*rows.columns))
+    return rows.select(F.when(c("id") % 7 == 0, F.concat(F.lit('{"id":'), c("id").cast("string")))
+                       .otherwise(line).alias("value"))
+
+
 def posts(spark: SparkSession, sf: str, documents: DataFrame | None = None) -> DataFrame:
     """Forms with repeated titles, bad dates and missing authors."""
     labels = table(spark, sf, "labels")

@@ -45,7 +45,7 @@ VIEWS = {
         max(case when l_quantity % 5 = 0 then (l_quantity * 60)::bigint end) delay,
         max(case when l_discount = 0
           then epoch(l_shipdate)::bigint + (l_quantity * 30)::bigint end) "time",
-        case when max(case when l_quantity % 5 = 0 then 1 end) = 1 then 'SCHEDULED'
+        case when max(case when l_quantity % 5 = 0 or l_discount = 0 then 1 end) = 1 then 'SCHEDULED'
           when bool_or(l_tax > 0.07) then 'NO_DATA' end relationship
         from lineitem group by 1, 2""",
     "trips": """select o_orderkey trip_id, o_orderpriority route_id,
@@ -183,20 +183,24 @@ ORACLES = {
     "feed_merge": _with("updates", """
         select id, seq, arrival from (
           select *, row_number() over (partition by id order by seq desc) n
-          from (select route_id || '/' || stop_id || direction id, seq, arrival, value from updates))
+          from (select route_id || '/' || stop_id || direction id, seq, arrival, value from updates
+            where seq // 100 >= (select max(event_id // 100) from events where event_id // 100 % 4 = 0)))
         where n = 1 and value >= 10"""),
     "effective_arrival": _with("schedule", """
         select trip_id, stop_sequence, sched, coalesce("time", sched + delay) effective_arrival
         from schedule"""),
     "delay_propagation": _with("schedule", """
+        , given as (select *, case when relationship <> 'NO_DATA'
+            then coalesce("time" - sched, delay) end v from schedule)
         select trip_id, stop_sequence, sched, d effective_delay, sched + d expected from (
-          select s.*, case when last_update is null
+          select s.*, case when valued = 0
               then case when o_orderstatus = 'P' then 120 end::bigint
-              else (select u.delay from schedule u
+              else (select u.v from given u
                 where u.trip_id = s.trip_id and u.stop_sequence = s.last_update) end d
-          from (select *, max(case when relationship is not null then stop_sequence end) over (
-              partition by trip_id order by stop_sequence
-              rows between unbounded preceding and current row) last_update from schedule) s
+          from (select *, max(case when relationship is not null then stop_sequence end) over w last_update,
+              count(v) over w valued from given
+              window w as (partition by trip_id order by stop_sequence
+                rows between unbounded preceding and current row)) s
           left join orders on o_orderkey = trip_id)"""),
     "trip_completed": _with("schedule", """
         select trip_id, stop_sequence last_sequence, last_time,
@@ -268,6 +272,33 @@ ORACLES = {
           and (s.route_id is null or s.route_id = t.route_id)
           and (s.stop_id is null or s.stop_id = t.stop_id)
         group by 1, 2""",
+    "alert_targets_selectors": """
+        with selectors as (select event_id id,
+            case when event_id % 3 <> 0 then event_type end route_id,
+            case when event_id % 5 <> 0 then lpad((user_id % 1000)::varchar, 3, '0') end stop_id
+          from events
+          union all select event_id, null, lpad((user_id % 1000)::varchar, 3, '0') from events
+          where event_id % 2 = 0),
+        targets as (select distinct event_type route_id,
+            lpad((user_id % 1000)::varchar, 3, '0') stop_id from events)
+        select t.route_id, t.stop_id, count(distinct id) alerts, max(id) last_id
+        from targets t join selectors s
+          on coalesce(s.route_id, s.stop_id) is not null
+          and (s.route_id is null or s.route_id = t.route_id)
+          and (s.stop_id is null or s.stop_id = t.stop_id)
+        group by 1, 2""",
+    "posts_load_malformed": """
+        select case when doc_id % 7 <> 0 then doc_id::int end id,
+          case when doc_id % 7 = 0 then '{"id":' || doc_id end "value" from documents""",
+    "feed_malformed": "select event_id seq, event_id % 9 = 0 malformed from events",
+    "source_stops": _with("stops", "select stop_id, stop_name from stops"),
+    "source_tick_files": """select event_type ticker, date_trunc('day', ts)::timestamp trade_date,
+        value price from events""",
+    "source_status_feed": _with("status", """
+        select station_id, num_bikes_available,
+          num_bikes_available % 3 num_bikes_disabled, num_bikes_available % 5 num_docks_available,
+          0 num_docks_disabled, 1 is_installed, 1 is_renting, 1 is_returning from status"""),
+    "decode_quarantine": f"select event_id seq, {_MALFORMED} malformed from events",
     "posts_load": """select doc_id::int id, substr(source, 4)::int "userId",
         source || '/' || lang title, text body from documents""",
     "manifest_load": """select doc_id::int id, substr(source, 4)::int "userId",
@@ -306,7 +337,7 @@ ORACLES = {
     "reply_words": """
         select conv_id, messages, (i - 1)::int position, words[i] word
         from (select conv_id, count(*) messages,
-            string_split('Live on Mars is great!', ' ') words from conversations group by 1) m,
+            string_split('Five words make one answer', ' ') words from conversations group by 1) m,
           range(1, 6) r(i)""",
 }
 
@@ -317,10 +348,7 @@ ORACLES |= {
     "stream_net_delta": _with("status net_hour",
                               "select station_id, window_start, window_end, net from net_hour"),
     "stream_ktable_latest": ORACLES["ktable_latest"],
-    # A stream emits the windows that the watermark, a day behind, has closed.
-    "stream_pair_correlation": _with("ticks tickers pairs days day_windows correlations", """
-        select t1, t2, window_start, window_end, round(corr, 6) corr from correlations
-        where window_end <= (select max(ts) from events) - interval 1 day"""),
+    "stream_pair_correlation": ORACLES["pair_correlation"],
     "stream_next_arrival": ORACLES["next_arrival"],
     "stream_arrival_improvements": _with("updates arrivals all_upcoming improvements",
                                          "select * from improvements").replace(
@@ -335,3 +363,30 @@ ORACLES |= {
           hour(ts)::varchar "hour", count(*) records, 'objects' sink from events group by 1, 2, 3, 4
         union all select null, null, null, null, count(*), 'log-messages' from events""",
 }
+
+# End-to-end plans: topics as they arrive, malformed records aside.
+VIEWS |= {
+    "good_status": f"select * from status where not {_MALFORMED}",
+    "table_info": """select station_id, capacity from (select station_id, capacity, row_number() over (
+        partition by station_id order by seq desc) n from versions) where n = 1 and capacity is not null""",
+    "good_day": _NET.format(span="'1 day'").replace("from status", "from good_status"),
+    "better": VIEWS["improvements"].replace("all_upcoming", "upcoming"),
+}
+_TURNOVER = """select station_id, window_start, net, capacity, net::double / nullif(capacity, 0) * 100.0 turnover
+    from good_day join table_info using (station_id)"""
+_COUNTDOWN = f"""select seq, route_id, stop_id, direction, arrival, (arrival - {NOW}) // 60 total_minutes,
+    'Next ' || direction || ' bound ' || route_id || ' train will arrive at station '
+      || stop_name || ' in ' || (arrival - {NOW}) % 3600 // 60 || ' minutes' message
+    from better join stops using (stop_id)"""
+ORACLES |= {
+    "plan_signals": ORACLES["pair_signals"],
+    "plan_low_availability": _with("status versions good_status table_info", """
+        select station_id "key", station_id, num_bikes_available::varchar bikes, capacity::varchar capacity
+        from good_status join table_info using (station_id)
+        where num_bikes_available::double / capacity < 0.1"""),
+    "plan_turnover": _with("status versions good_status table_info good_day", _TURNOVER),
+    "plan_countdown": _with("updates arrivals upcoming better stops", _COUNTDOWN),
+    "stream_countdown": _with("updates arrivals upcoming better stops",
+                              f"select seq, message from ({_COUNTDOWN})"),
+    "stream_top_turnover": ORACLES["top_turnover"],
+}

@@ -16,7 +16,8 @@ from feedloom import schemas, session
 from feedloom.functions import times, trains
 from feedloom.operators import (alerts, landing, logs, messages, posts, quality, stations, tables,
                                 ticks, transit)
-from feedloom.plans import bikeshare, trains as train_plan
+from feedloom.plans import bikeshare, publishing, trading, trains as train_plan
+from feedloom.sinks import landing as landing_sink
 from feedloom.sinks import writers
 from feedloom.sources import files, tables as table_sources
 
@@ -24,7 +25,7 @@ c = F.col
 LOG_ROUTES = [("error.*", "log-errors"), ("{click,view}.access", "log-web"),
               ("*.**", "log-messages")]
 UI_LANGUAGE, DEFAULT_LANGUAGE = "fr", "en"
-REPLY = "Live on Mars is great!"
+REPLY = "Five words make one answer"
 
 _registry: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -72,6 +73,39 @@ def to_topic_json(spark, sf):
     return status.unionByName(info)
 
 
+@query
+def source_status_feed(spark, sf):
+    path = session.shared_dir(spark, "status")
+    # One file per snapshot, as a poller leaves them.
+    b.status_snapshots(b.events(spark, sf), 1000).write.partitionBy("snapshot").json(path)
+    return stations.flatten_feed(files.status_feed(spark, path)).drop("snapshot")
+
+
+@query
+def decode_quarantine(spark, sf):
+    topic = b.status_topic(b.events(spark, sf))
+    good = stations.decode_status(topic).select("seq", F.lit(False).alias("malformed"))
+    bad = bikeshare.set_aside(topic, b.info_topic(b.events(spark, sf))).where("topic = 'status'")
+    return good.unionByName(bad.select(c("offset").alias("seq"), F.lit(True).alias("malformed")))
+
+
+@query
+def plan_low_availability(spark, sf):
+    ev = b.events(spark, sf)
+    sent = bikeshare.low_availability(b.status_topic(ev), b.info_topic(ev))
+    # The ratio's rounding differs between engines; its terms do not.
+    line = r"^station_id: (.*), longitude null, latitude null, bikes: (\d+), capacity: (\d+), ratio: [\d.]+%$"
+    return sent.select("key", *[F.regexp_extract("value", line, n).alias(name) for n, name in
+                                ((1, "station_id"), (2, "bikes"), (3, "capacity"))])
+
+
+@query
+def plan_turnover(spark, sf):
+    ev = b.events(spark, sf)
+    return bikeshare.turnover(b.status_topic(ev), b.info_topic(ev), "1 day").select(
+        "station_id", "window_start", "net", "capacity", "turnover")
+
+
 @query
 def decode_status(spark, sf):
     return stations.decode_status(b.status_topic(b.events(spark, sf))).select(
@@ -142,22 +176,31 @@ def top_turnover(spark, sf):
 @query
 def ticks_scan(spark, sf):
     ev = b.events(spark, sf)
-    return ticks.union_ticks([ticks.parse_ticks(b.tick_lines(ev, t), t) for t in b.TICKERS])
+    return ticks.union_ticks([ticks.parse_ticks(b.tick_lines(ev, t), t) for t in b.tickers(ev)])
+
+
+@query
+def source_tick_files(spark, sf):
+    ev, path = b.events(spark, sf), session.shared_dir(spark, "ticks")
+    paths = {t: f"{path}/{t}" for t in b.tickers(ev)}
+    for ticker, target in paths.items():
+        b.tick_lines(ev, ticker).write.text(target)
+    return files.tick_files(spark, paths)
 
 
 @query
 def pair_fanout(spark, sf):
-    return ticks.pair_fanout(b.ticks(b.events(spark, sf)), b.PAIRS).select(
+    return ticks.pair_fanout(b.ticks(b.events(spark, sf)), b.pairs(b.events(spark, sf))).select(
         "t1", "t2", "ticker", "trade_date", F.round("price", 6).alias("price"))
 
 
 @query
 def cogroup_counts(spark, sf):
-    return ticks.cogroup_counts(b.ticks(b.events(spark, sf)), b.PAIRS)
+    return ticks.cogroup_counts(b.ticks(b.events(spark, sf)), b.pairs(b.events(spark, sf)))
 
 
 def _correlations(spark, sf):
-    return ticks.pair_correlation(b.ticks(b.events(spark, sf)), b.PAIRS)
+    return ticks.pair_correlation(b.ticks(b.events(spark, sf)), b.pairs(b.events(spark, sf)))
 
 
 @query
@@ -165,6 +208,13 @@ def pair_correlation(spark, sf):
     return _correlations(spark, sf).withColumn("corr", F.round("corr", 6))
 
 
+@query
+def plan_signals(spark, sf):
+    ev = b.events(spark, sf)
+    signals = trading.signals(b.ticks(ev), b.tickers(ev))
+    return signals.withColumn("corr", F.round("corr", 6))
+
+
 @query
 def pair_signals(spark, sf):
     return ticks.pair_signals(_correlations(spark, sf)).withColumn("corr", F.round("corr", 6))
@@ -225,7 +275,30 @@ def stop_unmatched(spark, sf):
 
 @query
 def feed_merge(spark, sf):
-    return transit.feed_merge(b.entities(b.events(spark, sf)))
+    return transit.feed_merge(b.entities(b.events(spark, sf)), snapshot="snapshot").drop("snapshot")
+
+
+@query
+def feed_malformed(spark, sf):
+    sent = b.transit_feed_json(b.events(spark, sf)).withColumn(
+        "value", F.when(c("seq") % 9 == 0, F.substring("value", 1, 30)).otherwise(c("value")))
+    good = transit.decode_feed(sent).select("seq", F.lit(False).alias("malformed"))
+    return good.unionByName(transit.malformed_feed(sent).select("seq", F.lit(True).alias("malformed")))
+
+
+@query
+def source_stops(spark, sf):
+    path = session.shared_dir(spark, "stops")
+    b.stops(spark, sf).select(c("stop_id").alias("GTFS Stop ID"), c("stop_name").alias("Stop Name")).write.option(
+        "header", True).csv(path)
+    return files.stops(spark, path)
+
+
+@query
+def plan_countdown(spark, sf):
+    topic = b.trip_topic(b.events(spark, sf))
+    return train_plan.countdown(topic, b.stops(spark, sf), now()).select(
+        "seq", "route_id", "stop_id", "direction", "arrival", "total_minutes", "message")
 
 
 @query
@@ -346,6 +419,14 @@ def alert_targets(spark, sf):
     return alerts.alert_targets(b.alerts(ev), targets, ["route_id", "stop_id"])
 
 
+@query
+def alert_targets_selectors(spark, sf):
+    ev = b.events(spark, sf)
+    targets = b.stop_updates(ev).select(
+        "route_id", F.substring("stop_code", 1, 3).alias("stop_id")).distinct()
+    return alerts.alert_targets(b.selectors(ev), targets, ["route_id", "stop_id"])
+
+
 # --- landing, posts, logs, messages -----------------------------------------
 
 def _land(spark, sf) -> str:
@@ -361,14 +442,26 @@ def posts_load(spark, sf):
         landing.RUN)
 
 
+@query
+def posts_load_malformed(spark, sf):
+    path = session.shared_dir(spark, "lines")
+    b.post_lines(spark, sf).write.text(path)
+    good = files.posts(spark, path, multi_line=False).select("id", F.lit(None).cast("string").alias("value"))
+    bad = files.corrupt_posts(spark, path, multi_line=False).select(
+        F.lit(None).cast("int").alias("id"), "value")
+    return good.unionByName(bad)
+
+
 @query
 def manifest_load(spark, sf):
-    path = _land(spark, sf)
-    # Every run but the German one is announced; one message has no path.
-    runs = b.table(spark, sf, "documents").select("lang").distinct()
-    manifest = runs.select(F.when(c("lang") != "de", F.concat(
-        F.lit(f"{path}/{landing.RUN}="), c("lang"))).alias("s3_path"), F.lit("post").alias("body"))
-    return landing.load_announced(files.posts(spark, path, multi_line=False), manifest)
+    path, notices = session.shared_dir(spark, "landing"), session.shared_dir(spark, "manifest")
+    rows = b.post_json(spark, sf)
+    # Every run is landed, every run but the German one announced; one message has no path.
+    for run in [r[0] for r in rows.select(landing.RUN).distinct().collect()]:
+        target = landing_sink.land_snapshot(rows.where(c(landing.RUN) == run).drop(landing.RUN), path, run)
+        sent = [(target if run != "de" else None,)]
+        landing_sink.notify(spark.createDataFrame(sent, "s3_path string"), notices)
+    return publishing.load_announced(files.manifest(spark, notices))
 
 
 @query

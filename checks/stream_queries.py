@@ -17,7 +17,7 @@ from feedloom.operators import logs, stations, tables, ticks, transit
 from feedloom.plans import log_shipping, publishing
 from feedloom.plans import trains as train_plan
 from feedloom.sinks import writers
-from feedloom.streaming import run, streams
+from feedloom.streaming import folds, run, streams
 
 c = F.col
 
@@ -62,22 +62,39 @@ def stream_low_availability(spark, sf):
         "seq", "station_id", "num_bikes_available", "capacity", "ratio")
 
 
+def _net_changes(spark, sf, window: str) -> DataFrame:
+    """All updates of the streamed change totals."""
+    out = session.shared_dir(spark, "stream")
+    write = folds.net_delta_writer(session.shared_dir(spark, "state"), writers.files(out), window)
+    _run(spark, b.station_status(_events(spark, sf)), write)
+    return spark.read.parquet(out)
+
+
 @query
 def stream_net_delta_changelog(spark, sf):
-    session.use_rocksdb(spark)
-    updates = streams.net_delta_updates(b.station_status(_events(spark, sf)), "1 day")
-    return _through_files(spark, updates, "update").select(
+    return _net_changes(spark, sf, "1 day").select(
         "station_id", "window_start", "seq", "num_bikes_available", "net")
 
 
 @query
 def stream_net_delta(spark, sf):
-    session.use_rocksdb(spark)
-    updates = streams.net_delta_updates(b.station_status(_events(spark, sf)), "60 minutes")
-    return tables.latest_per_key(_through_files(spark, updates, "update"),
+    return tables.latest_per_key(_net_changes(spark, sf, "60 minutes"),
                                  ["station_id", "window_start", "window_end"], "seq", ["net"])
 
 
+@query
+def stream_top_turnover(spark, sf):
+    out = session.shared_dir(spark, "stream")
+    write = folds.top_turnover_writer(session.shared_dir(spark, "state"), lambda: b.station_info(spark, sf),
+                                      writers.files(out), 10, "1 day")
+    _run(spark, b.station_status(_events(spark, sf)), write)
+    ranked = spark.read.parquet(out)
+    # The last ranking of a window is the valid one.
+    last = ranked.groupBy("window_start").agg(F.max(writers.BATCH).alias(writers.BATCH))
+    return ranked.join(last, ["window_start", writers.BATCH]).select(
+        "window_start", "rank", "station_id", "turnover")
+
+
 @query
 def stream_ktable_latest(spark, sf):
     info = stations.decode_info(b.info_topic(_events(spark, sf)))
@@ -89,28 +106,57 @@ def stream_ktable_latest(spark, sf):
 
 @query
 def stream_pair_correlation(spark, sf):
-    prices = b.raw_ticks(_events(spark, sf)).withWatermark("trade_date", "1 day")
-    correlations = ticks.pair_correlation(ticks.daily_prices(prices), b.PAIRS)
-    return _through_files(spark, correlations).select(
+    source, out = session.shared_dir(spark, "closing"), session.shared_dir(spark, "stream")
+    kind = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("trade_date", T.TimestampType()),
+                         T.StructField("price", T.DoubleType())])
+    spark.createDataFrame([], kind).write.parquet(source)
+    checkpoint = session.shared_dir(spark, "checkpoint")
+    pairs = b.pairs(b.events(spark, sf))
+
+    def start(prices: DataFrame) -> None:
+        correlations = ticks.pair_correlation(
+            ticks.daily_prices(prices.withWatermark("trade_date", "1 day")), pairs)
+        run.run_available(correlations, writers.files(out), checkpoint)
+
+    def close() -> None:
+        far = b.raw_ticks(b.events(spark, sf)).agg(F.max("trade_date") + F.expr("interval 1 year")).first()[0]
+        spark.createDataFrame([("", far, None)], kind).write.mode("append").parquet(source)
+
+    streams.until_closed(start, b.raw_ticks(_events(spark, sf)),
+                         spark.readStream.schema(kind).parquet(source), close)
+    return spark.read.parquet(out).select(
         "t1", "t2", "window_start", "window_end", F.round("corr", 6).alias("corr"))
 
 
 @query
 def stream_next_arrival(spark, sf):
     arrivals = train_plan.arrivals(b.trip_topic(_events(spark, sf)))
-    nearest = transit.next_arrival(arrivals, now()).select(*transit.TRACK, "arrival")
-    # The newest update of a track holds its earliest arrival.
-    final = _through_files(spark, nearest, "update").groupBy(*transit.TRACK).agg(
-        F.min("arrival").alias("arrival"))
-    return transit.with_countdown(final, now())
+    out = session.shared_dir(spark, "stream")
+    _run(spark, arrivals, folds.next_arrival_writer(session.shared_dir(spark, "state"), writers.files(out), now))
+    live = spark.read.parquet(out)
+    last = live.agg(F.max(writers.BATCH)).scalar()
+    return live.where(c(writers.BATCH) == last).drop(writers.BATCH)
+
+
+def _improvements(spark, sf, write) -> None:
+    arrivals = train_plan.arrivals(b.trip_topic(_events(spark, sf)))
+    _run(spark, arrivals, folds.improvements_writer(session.shared_dir(spark, "state"), write, now))
 
 
 @query
 def stream_arrival_improvements(spark, sf):
-    session.use_rocksdb(spark)
+    out = session.shared_dir(spark, "stream")
+    _improvements(spark, sf, writers.files(out))
+    return spark.read.parquet(out).drop(writers.BATCH)
+
+
+@query
+def stream_countdown(spark, sf):
+    out = session.shared_dir(spark, "stream")
     arrivals = train_plan.arrivals(b.trip_topic(_events(spark, sf)))
-    return _through_files(
-        spark, streams.arrival_improvement_updates(arrivals, now()), "update").drop(writers.BATCH)
+    _run(spark, arrivals, train_plan.countdown_updates(
+        session.shared_dir(spark, "state"), b.stops(spark, sf), now, writers.files(out)))
+    return spark.read.parquet(out).select("seq", "message")
 
 
 @query

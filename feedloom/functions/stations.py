@@ -26,10 +26,13 @@ def turnover_text(percent: Column) -> Column:
 
 def low_availability_line(station: Column, longitude: Column, latitude: Column,
                           bikes: Column, capacity: Column, ratio: Column) -> Column:
+    def place(c: Column) -> Column:
+        return F.coalesce(c.cast("string"), F.lit("null"))
+
     return F.concat(
         F.lit("station_id: "), station,
-        F.lit(", longitude "), longitude.cast("string"),
-        F.lit(", latitude "), latitude.cast("string"),
+        F.lit(", longitude "), place(longitude),
+        F.lit(", latitude "), place(latitude),
         F.lit(", bikes: "), bikes.cast("string"),
         F.lit(", capacity: "), capacity.cast("string"),
         F.lit(", ratio: "), F.format_string("%.2f", ratio * 100), F.lit("%"))

@@ -16,28 +16,52 @@ def active_alerts(alerts: DataFrame, now: Column) -> DataFrame:
     return alerts.where(is_active(F.col("active_period"), now))
 
 
+def informed_entities(entities: DataFrame) -> DataFrame:
+    """(id, agency_id, route_id, route_type, trip_id, stop_id): one row per selector of
+    the alerts among feed entities."""
+    listed = entities.where(F.col("alert").isNotNull()).select(
+        "id", F.explode("alert.informedEntity").alias("_s"))
+    return listed.select(
+        "id", F.col("_s.agencyId").alias("agency_id"), F.col("_s.routeId").alias("route_id"),
+        F.col("_s.routeType").alias("route_type"), F.col("_s.trip.tripId").alias("trip_id"),
+        F.col("_s.stopId").alias("stop_id"))
+
+
 def alert_targets(alerts: DataFrame, targets: DataFrame, specifiers: list[str]) -> DataFrame:
     """How many alerts inform each target, and the newest of them.
 
-    ``alerts`` is (id, one nullable column per specifier); a target must match
-    every specifier an alert gives, and an alert without any informs nobody.
-    Alerts are first combined per combination of given values, so that each
-    shape of selector becomes an equi-join against unique keys: no wildcard
-    comparison and no alert-times-target pairs.
+    ``alerts`` is (id, one nullable column per specifier), a row per selector; a
+    target must match every specifier that a selector gives, and a selector
+    without any informs nobody.  An alert counts once for a target, however many
+    of its selectors match.  ``targets`` are distinct rows.
+
+    Alerts with one selector are first combined per given values.  Each target
+    is listed once under every combination of its own values, so all shapes of
+    selectors meet it in one equi-join: no wildcard comparison.  Only alerts
+    with several selectors reach the join one by one, to be counted distinctly.
     """
-    counted = (alerts.groupBy(*specifiers)
-               .agg(F.count(F.lit(1)).alias("alerts"), F.max("id").alias("last_id")))
-    shapes = [list(s) for n in range(1, len(specifiers) + 1)
-              for s in combinations(specifiers, n)]
-    result, found = targets, []
-    for i, shape in enumerate(shapes):
-        given = reduce(Column.__and__, [
-            F.col(s).isNotNull() if s in shape else F.col(s).isNull() for s in specifiers])
-        side = counted.where(given).select(
-            *shape, F.col("alerts").alias(f"_n{i}"), F.col("last_id").alias(f"_id{i}"))
-        result = result.join(side, shape, "left")
-        found.append(i)
-    total = reduce(Column.__add__, [F.coalesce(f"_n{i}", F.lit(0)) for i in found])
-    newest = F.greatest(*[F.col(f"_id{i}") for i in found]) if len(found) > 1 else F.col("_id0")
-    return (result.select(*targets.columns, total.alias("alerts"), newest.alias("last_id"))
-            .where(F.col("alerts") > 0))
+    given = reduce(Column.__or__, [F.col(s).isNotNull() for s in specifiers])
+    selectors = alerts.where(given).select("id", *specifiers).distinct()
+    per_alert = selectors.groupBy("id").agg(
+        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*specifiers)).alias("_one"))
+    single = (per_alert.where("_n = 1").select("id", "_one.*").groupBy(*specifiers)
+              .agg(F.count(F.lit(1)).alias("_alerts"), F.max("id").alias("_newest"))
+              .withColumn("_id", F.lit(None).cast(dict(alerts.dtypes)["id"])))
+    several = selectors.join(per_alert.where("_n > 1").select("id"), "id", "left_semi").select(
+        *specifiers, F.lit(0).cast("bigint").alias("_alerts"), F.col("id").alias("_newest"),
+        F.col("id").alias("_id"))
+    entries = single.unionByName(several).select(
+        *[F.col(s).alias(f"_s_{s}") for s in specifiers], "_alerts", "_newest", "_id")
+
+    def shape(chosen: tuple[str, ...]) -> Column:
+        known = reduce(Column.__and__, [F.col(s).isNotNull() for s in chosen])
+        return F.when(known, F.struct(*[
+            (F.col(s) if s in chosen else F.lit(None).cast(dict(targets.dtypes)[s])).alias(s)
+            for s in specifiers]))
+
+    shapes = [shape(c) for n in range(1, len(specifiers) + 1) for c in combinations(specifiers, n)]
+    listed = targets.select("*", F.explode(F.array_compact(F.array(*shapes))).alias("_shape"))
+    match = reduce(Column.__and__, [F.col(f"_shape.{s}").eqNullSafe(F.col(f"_s_{s}")) for s in specifiers])
+    return (listed.join(entries, match).groupBy(*targets.columns)
+            .agg((F.sum("_alerts") + F.count_distinct("_id")).alias("alerts"),
+                 F.max("_newest").alias("last_id")))

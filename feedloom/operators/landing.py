@@ -21,18 +21,12 @@ def first_per_id(posts: DataFrame, order: str | Column = "userId") -> DataFrame:
         *[F.min_by(c, order).alias(c) for c in posts.columns if c != "id"])
 
 
-def notifications(manifest: DataFrame) -> DataFrame:
-    """Distinct runs named by notifications; messages without a path are ignored."""
-    # A comparison, not an inequality: only then is the pruning worth it to Catalyst.
-    run = F.regexp_extract("s3_path", rf"{RUN}=([^/]+)", 1)
-    return (manifest.where(F.col("s3_path").isNotNull())
-            .select(run.alias(RUN)).where(F.col(RUN) > "").distinct())
+def announced_paths(manifest: DataFrame) -> DataFrame:
+    """Distinct ``s3_path`` of the notifications; messages without a path are ignored."""
+    return manifest.where(F.length("s3_path") > 0).select("s3_path").distinct()
 
 
-def load_announced(landed: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Posts of the landed runs that a notification names.
-
-    ``landed`` is partitioned by run, so the semi-join prunes the directories
-    that are read; no path list passes through the driver.
-    """
-    return project_posts(landed.join(notifications(manifest), RUN, "left_semi"))
+def with_run(posts: DataFrame) -> DataFrame:
+    """Add the run that the directory of a row's file names, null where it names none."""
+    run = F.regexp_extract(F.input_file_name(), rf"{RUN}=([^/]+)", 1)
+    return posts.withColumn(RUN, F.nullif(run, F.lit("")))

@@ -34,8 +34,14 @@ def partition_counts(logs: DataFrame, rotate: int = 10_000) -> DataFrame:
 
 
 def index_documents(logs: DataFrame, topic: str = "log-messages", partition: int = 0) -> DataFrame:
-    """Search documents: an id that a replay repeats, and the record as its body."""
-    doc_id = F.concat_ws("+", F.lit(topic), F.lit(str(partition)), F.col("seq").cast("string"))
-    return (logs.where(F.try_parse_json("record").isNotNull())
-            .select(doc_id.alias("doc_id"), F.lit(topic).alias("index_name"),
-                    F.col("record").alias("source")))
+    """Search documents: an id that a replay repeats, and the record as its body.
+
+    The id names topic, partition and offset; rows with a ``partition`` column
+    use their own.  A record that is not JSON becomes the ``message`` of one.
+    """
+    place = F.col("partition") if "partition" in logs.columns else F.lit(partition)
+    doc_id = F.concat_ws("+", F.lit(topic), place.cast("string"), F.col("seq").cast("string"))
+    record = F.coalesce("record", F.lit(""))
+    body = F.when(F.try_parse_json(record).isNotNull(), record).otherwise(
+        F.to_json(F.struct(record.alias("message"))))
+    return logs.select(doc_id.alias("doc_id"), F.lit(topic).alias("index_name"), body.alias("source"))

@@ -1,67 +1,55 @@
 """Ordered work over keys of which one may hold a large share of all rows.
 
 ``lag``, running sums and fills need the rows of a key in order, and a plain
-window puts a whole key into one task.  Here the rows of a *hot* key are cut
-into slices by their arrival number; the window runs per slice, and what has to
-cross a slice border is carried over by a second, small step on one summary row
-per slice.  Keys below the limit stay in slice 0 and pay nothing.
-
-Bounds:
-* the list of hot keys that is broadcast holds at most ``max_hot`` keys, the
-  largest ones; any further key takes the plain path, which is exact as well;
-* arrival numbers are unique per key (a topic offset, an event id), so a slice
-  holds at most ``slice_rows`` rows of a key.
+window puts a whole key into one task.  The ordered operators take a table of
+*hot* keys for that case: rows of these keys are cut into slices, the window
+runs per slice, and what has to cross a slice border is carried over by a
+second, small step on one summary row per slice.  Without such a table an
+operator is one window over one shuffle; the result is the same either way.
+
+``hot_keys`` makes the table from the rows themselves, from a sample of them or
+from an earlier run.  It holds at most ``max_hot`` keys with ``slices`` borders
+each, so it may be broadcast.  Borders are quantiles of the key's own order
+column: a slice holds about an equal share of the key's rows, however its
+arrival numbers lie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT, SLICE = "_hot", "_slice"
+HOT, SLICE, BORDERS = "_hot", "_slice", "_borders"
 
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot, and how wide its slices are.
+def hot_keys(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = 4_000_000,
+             slices: int = 128, max_hot: int = 1000) -> DataFrame:
+    """(keys, borders) of the largest keys above ``hot_rows`` rows.
 
-    ``slice_rows`` is a width in units of the order column: a number of rows
-    where that counts arrivals.
+    The borders are fixed here, by one pass whose result is bounded: every
+    later reading of the table sees the same ones.
     """
+    known = df.where(F.col(order).isNotNull()).dropna(subset=list(keys))
+    largest = (known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+               .where(F.col("_rows") > hot_rows)
+               .orderBy(F.col("_rows").desc(), *keys).limit(max_hot).select(*keys))
+    cuts = [i / slices for i in range(1, slices)] or [1.0]
+    borders = (known.join(F.broadcast(largest), list(keys), "left_semi").groupBy(*keys)
+               .agg(F.percentile_approx(order, cuts, 20 * slices).alias(BORDERS)))
+    return df.sparkSession.createDataFrame(borders.collect(), borders.schema)
 
-    hot_rows: int = 4_000_000
-    slice_rows: int = 1_000_000
-    max_hot: int = 100_000
 
-
-DEFAULT = SkewPolicy()
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """The largest keys above ``hot_rows`` rows; counts combine map-side first.
-
-    The order is total, so every reading of the list gives the same keys.
-    """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > policy.hot_rows)
-            .orderBy(F.col("_rows").desc(), *keys).limit(policy.max_hot)
-            .select(*keys, F.lit(True).alias(HOT)))
-
-
-def with_slices(df: DataFrame, keys: Sequence[str], order: str,
-                policy: SkewPolicy = DEFAULT) -> DataFrame:
+def with_slices(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame) -> DataFrame:
     """Add ``_hot`` and ``_slice``; slices follow ``order`` within each hot key.
 
     Keys must not be null: the operators leave such rows out first.
     """
-    marked = df.join(F.broadcast(hot_keys(df, keys, policy)), list(keys), "left")
-    return (marked
-            .withColumn(HOT, F.coalesce(HOT, F.lit(False)))
-            .withColumn(SLICE, F.when(F.col(HOT), F.expr(f"`{order}` div {policy.slice_rows}"))
-                        .otherwise(F.lit(0).cast("bigint"))))
+    marked = df.join(F.broadcast(hot.select(*keys, BORDERS)), list(keys), "left")
+    passed = F.size(F.filter(BORDERS, lambda x: x < F.col(order)))
+    return (marked.withColumn(HOT, F.col(BORDERS).isNotNull())
+            .withColumn(SLICE, F.when(F.col(HOT), passed).otherwise(F.lit(0))).drop(BORDERS))
 
 
 def slice_window(keys: Sequence[str], order: str):

@@ -15,6 +15,8 @@ from feedloom.functions import stations as st
 from feedloom.operators import quality, skew
 
 LOW_RATIO = 0.1
+#: What the operators read of a status record; the parser skips the rest.
+STATUS_READ = T.StructType([schemas.STATUS_VALUE["num_bikes_available"]])
 
 
 def flatten_feed(feed: DataFrame) -> DataFrame:
@@ -52,13 +54,30 @@ def _decode(topic: DataFrame, schema: T.StructType, on_error: str):
     return rows
 
 
+def malformed(topic: DataFrame, schema: T.StructType) -> DataFrame:
+    """The topic rows that decoding under ``quarantine`` leaves out, as they came.
+
+    Deletions, rows without a value, are no malformed information records.
+    """
+    return quality.quarantine_split(topic, schema)[1]
+
+
+def malformed_status(topic: DataFrame) -> DataFrame:
+    """What :func:`decode_status` sets aside."""
+    return malformed(topic, STATUS_READ)
+
+
+def malformed_info(topic: DataFrame) -> DataFrame:
+    """What :func:`decode_info` sets aside."""
+    return malformed(topic.where(F.col("value").isNotNull()), schemas.INFO_VALUE)
+
+
 def decode_status(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
     """(station_id, ts, seq, num_bikes_available) of keyed status records.
 
     The key names the station.  A count missing from a valid record is 0.
     """
-    schema = T.StructType([schemas.STATUS_VALUE["num_bikes_available"]])
-    return _decode(topic, schema, on_error).select(
+    return _decode(topic, STATUS_READ, on_error).select(
         F.col("key").alias("station_id"), F.col("timestamp").alias("ts"),
         F.col("offset").alias("seq"),
         F.coalesce("_v.num_bikes_available", F.lit(0)).alias("num_bikes_available"))
@@ -113,51 +132,65 @@ def low_availability_lines(alerts: DataFrame) -> DataFrame:
 _KEYS = ["station_id", "window_start"]
 
 
-def _windowed(readings: DataFrame, window: str, policy: skew.SkewPolicy) -> DataFrame:
+def _windowed(readings: DataFrame, window: str, hot: DataFrame | None) -> DataFrame:
     rows = (readings
             .where(F.col("station_id").isNotNull() & F.col("num_bikes_available").isNotNull())
             .select("station_id", F.window("ts", window)["start"].alias("window_start"), "seq",
                     F.col("num_bikes_available").alias("_v")))
-    return skew.with_slices(rows, ["station_id"], "seq", policy)
+    return rows if hot is None else skew.with_slices(rows, ["station_id"], "seq", hot)
 
 
-def _steps(rows: DataFrame) -> DataFrame:
-    """Absolute change to the previous reading of the same slice; null at its first."""
+def _steps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Absolute change to the previous reading of the same keys; null at their first."""
     return rows.withColumn("_step", F.abs(
-        F.col("_v") - F.lag("_v").over(skew.slice_window(_KEYS, "seq"))))
+        F.col("_v") - F.lag("_v").over(Window.partitionBy(*keys).orderBy("seq"))))
 
 
-def _summaries(stepped: DataFrame) -> DataFrame:
-    return stepped.groupBy(*_KEYS, skew.SLICE).agg(
+def _summaries(stepped: DataFrame, keys: list[str]) -> DataFrame:
+    return stepped.groupBy(*keys).agg(
         F.coalesce(F.sum("_step"), F.lit(0)).alias("_inner"),
         F.min_by("_v", "seq").alias("_first"), F.max_by("_v", "seq").alias("_last"),
         F.count(F.lit(1)).alias("_n"))
 
 
-def _entry(previous_last, first, baseline: str):
-    """The value the first reading of a slice is compared with."""
+def entry_value(previous_last, first, baseline: str):
+    """The value that the first reading of a window or slice is compared with."""
     if baseline not in ("zero", "first"):
         raise ValueError(f"baseline must be 'zero' or 'first', not {baseline!r}")
     return F.coalesce(previous_last, F.lit(0) if baseline == "zero" else first)
 
 
+def _nothing():
+    return F.lit(None).cast("int")
+
+
 def _with_window_end(df: DataFrame, window: str) -> DataFrame:
     return df.withColumn("window_end", F.col("window_start") + F.expr(f"interval {window}"))
 
 
 def net_delta(readings: DataFrame, window: str = "60 minutes", baseline: str = "zero",
-              policy: skew.SkewPolicy = skew.DEFAULT) -> DataFrame:
+              hot: DataFrame | None = None) -> DataFrame:
     """Sum of absolute changes between successive readings, per station and window.
 
     Readings count in arrival order.  With ``baseline='zero'`` the first
     reading of a window counts as its distance from 0; with ``'first'`` it
-    counts nothing.
+    counts nothing.  The input is read and shuffled once; ``hot`` (see
+    :func:`feedloom.operators.skew.hot_keys`) spreads the stations it names.
     """
-    summary = _summaries(_steps(_windowed(readings, window, policy)))
+    rows = _windowed(readings, window, hot)
+    first = F.col("_first")
+    if hot is None:
+        folded = _summaries(_steps(rows, _KEYS), _KEYS).select(
+            *_KEYS, (F.col("_inner") + F.abs(first - entry_value(_nothing(), first, baseline))
+                     ).cast("bigint").alias("net"),
+            F.col("_last").alias("last_bikes"), F.col("_n").alias("readings"))
+        return _with_window_end(folded, window)
+    keys = [*_KEYS, skew.SLICE]
+    summary = _summaries(_steps(rows, keys), keys)
     slices = Window.partitionBy(*_KEYS).orderBy(skew.SLICE)
-    entry = _entry(F.lag("_last").over(slices), F.col("_first"), baseline)
+    entry = entry_value(F.lag("_last").over(slices), first, baseline)
     folded = (summary
-              .withColumn("_net", F.col("_inner") + F.abs(F.col("_first") - entry))
+              .withColumn("_net", F.col("_inner") + F.abs(first - entry))
               .groupBy(*_KEYS)
               .agg(F.sum("_net").cast("bigint").alias("net"),
                    F.max_by("_last", skew.SLICE).alias("last_bikes"),
@@ -166,27 +199,30 @@ def net_delta(readings: DataFrame, window: str = "60 minutes", baseline: str = "
 
 
 def net_delta_changelog(readings: DataFrame, window: str = "60 minutes", baseline: str = "zero",
-                        policy: skew.SkewPolicy = skew.DEFAULT) -> DataFrame:
+                        hot: DataFrame | None = None) -> DataFrame:
     """Every update of :func:`net_delta`: one row per reading with the total so far."""
-    rows = _windowed(readings, window, policy)
-    frame = (skew.slice_window(_KEYS, "seq")
+    rows = _windowed(readings, window, hot)
+    keys = _KEYS if hot is None else [*_KEYS, skew.SLICE]
+    frame = (Window.partitionBy(*keys).orderBy("seq")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (_steps(rows)
-             .withColumn("_running", F.coalesce(F.sum("_step").over(frame), F.lit(0)))
-             .withColumn("_first", F.first("_v").over(frame)))
-
-    summary = _summaries(_steps(rows.where(skew.HOT)))
-    # Full contribution of a slice needs the last value of the one before it.
-    slices = Window.partitionBy(*_KEYS).orderBy(skew.SLICE)
-    summary = summary.withColumn("_net", F.col("_inner") + F.abs(
-        F.col("_first") - _entry(F.lag("_last").over(slices), F.col("_first"), baseline)))
-    carried = skew.with_carry(
-        local, _KEYS, summary.withColumnRenamed("_last", "_s_last").select(
-            *_KEYS, skew.SLICE, "_s_last", "_net"),
-        {"_prev_last": lambda ordered, earlier: F.lag("_s_last").over(ordered),
-         "_carry_net": lambda ordered, earlier: F.sum("_net").over(earlier)})
-    net = (F.coalesce("_carry_net", F.lit(0)) + F.col("_running")
-           + F.abs(F.col("_first") - _entry(F.col("_prev_last"), F.col("_first"), baseline)))
+    carried = (_steps(rows, keys)
+               .withColumn("_running", F.coalesce(F.sum("_step").over(frame), F.lit(0)))
+               .withColumn("_first", F.first("_v").over(frame)))
+    previous, before = _nothing(), F.lit(0)
+    if hot is not None:
+        summary = _summaries(_steps(rows.where(skew.HOT), keys), keys)
+        # Full contribution of a slice needs the last value of the one before it.
+        slices = Window.partitionBy(*_KEYS).orderBy(skew.SLICE)
+        summary = summary.withColumn("_net", F.col("_inner") + F.abs(
+            F.col("_first") - entry_value(F.lag("_last").over(slices), F.col("_first"), baseline)))
+        carried = skew.with_carry(
+            carried, _KEYS, summary.withColumnRenamed("_last", "_s_last").select(
+                *_KEYS, skew.SLICE, "_s_last", "_net"),
+            {"_prev_last": lambda ordered, earlier: F.lag("_s_last").over(ordered),
+             "_carry_net": lambda ordered, earlier: F.sum("_net").over(earlier)})
+        previous, before = F.col("_prev_last"), F.coalesce("_carry_net", F.lit(0))
+    net = (before + F.col("_running")
+           + F.abs(F.col("_first") - entry_value(previous, F.col("_first"), baseline)))
     return carried.select("station_id", "window_start", "seq",
                           F.col("_v").alias("num_bikes_available"),
                           net.cast("bigint").alias("net"))

@@ -39,14 +39,14 @@ def upsert_entries(df: DataFrame, key: str, value: str, order: str) -> DataFrame
 
 
 def asof_lookup(facts: DataFrame, versions: DataFrame, key: str, order: str,
-                values: Sequence[str], policy: skew.SkewPolicy = skew.DEFAULT) -> DataFrame:
+                values: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
     """For each fact, the version of its key that was valid when it arrived.
 
     A left lookup: facts before the first version, or after a deletion (a
     version whose values are all null), get nulls.  A version with the same
     order value as the fact is already valid.  Facts and versions are merged
-    into one ordered sequence per key, so each row is shuffled once and no
-    range join is formed.
+    into one ordered sequence per key, so each row is read and shuffled once and
+    no range join is formed; ``hot`` spreads the keys it names.
     """
     version = F.struct(*[F.col(v) for v in values])
     fact_cols = [c for c in facts.columns if c not in (key, order)]
@@ -55,17 +55,20 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, key: str, order: str,
     ).unionByName(
         versions.where(F.col(key).isNotNull()).select(key, order, version.alias("_version")),
         allowMissingColumns=True)
-    rows = skew.with_slices(sequence, [key], order, policy)
-    upto = (skew.slice_window([key], order)
+    rows = sequence if hot is None else skew.with_slices(sequence, [key], order, hot)
+    slice_keys = [key] if hot is None else [key, skew.SLICE]
+    upto = (Window.partitionBy(*slice_keys).orderBy(order)
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rows.withColumn("_local", F.last("_version", ignorenulls=True).over(upto))
-    seen = F.when(F.col("_version").isNotNull(), F.col(order))
-    summary = (rows.where(skew.HOT).groupBy(key, skew.SLICE)
-               .agg(F.max_by("_version", seen).alias("_last")))
-    filled = skew.with_carry(
-        local.where(F.col("_fact").isNotNull()), [key], summary,
-        {"_carry": lambda ordered, earlier: F.last("_last", ignorenulls=True).over(earlier)})
-    found = F.coalesce("_local", "_carry")
+    filled = (rows.withColumn("_found", F.last("_version", ignorenulls=True).over(upto))
+              .where(F.col("_fact").isNotNull()))
+    found = F.col("_found")
+    if hot is not None:
+        seen = F.when(F.col("_version").isNotNull(), F.col(order))
+        summary = (rows.where(skew.HOT).groupBy(key, skew.SLICE)
+                   .agg(F.max_by("_version", seen).alias("_last")))
+        filled = skew.with_carry(filled, [key], summary, {
+            "_carry": lambda ordered, earlier: F.last("_last", ignorenulls=True).over(earlier)})
+        found = F.coalesce("_found", "_carry")
     return filled.select(
         key, order, *[F.col(f"_fact.{c}").alias(c) for c in fact_cols],
         *[found[v].alias(v) for v in values])

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIGNAL_THRESHOLD = -0.75
@@ -22,11 +22,13 @@ def pairs_of(tickers: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(tickers, 2))
 
 
-def parse_ticks(lines: DataFrame, ticker: str, value: str = "value") -> DataFrame:
+def parse_ticks(lines: DataFrame, ticker: str, value: str = "value",
+                keep: Sequence[str] = ()) -> DataFrame:
     """(ticker, trade_date, price) of one ticker's lines, header lines removed.
 
     Lines may arrive as text or as UTF-8 bytes.  Only the first two positional
-    fields count.
+    fields count.  A line whose date cannot be read keeps a null date; see
+    :func:`undated_lines`.
     """
     text = F.col(value).cast("string")
     field = F.split(text, ",", 3)
@@ -34,8 +36,15 @@ def parse_ticks(lines: DataFrame, ticker: str, value: str = "value") -> DataFram
     header = (text == "date") | text.startswith("date,")
     return lines.where(~header).select(
         F.lit(ticker).alias("ticker"),
-        F.try_to_timestamp(date, F.lit("yyyy/MM/dd")).alias("trade_date"),
-        F.get(field, F.lit(1)).try_cast("double").alias("price"))
+        F.try_to_timestamp(date, F.lit("y/M/d")).alias("trade_date"),
+        F.get(field, F.lit(1)).try_cast("double").alias("price"), *keep)
+
+
+def undated_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The lines, headers aside, whose date :func:`parse_ticks` cannot read."""
+    parsed = parse_ticks(lines.select(F.col(value).alias("value"), F.col(value).alias("_line")), "", "value",
+                         keep=["_line"])
+    return parsed.where(F.col("trade_date").isNull()).select(F.col("_line").cast("string").alias(value))
 
 
 def union_ticks(inputs: Sequence[DataFrame]) -> DataFrame:
@@ -55,15 +64,18 @@ def daily_prices(ticks: DataFrame) -> DataFrame:
     return daily.select("ticker", at.alias("trade_date"), "price")
 
 
-def _pair_array(pairs: Sequence[tuple[str, str]]) -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("t1"), F.lit(b).alias("t2")) for a, b in pairs])
+def pair_sides(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(ticker, t1, t2): each pair once under either of its tickers."""
+    rows = [(t, a, b) for a, b in pairs for t in dict.fromkeys((a, b))]
+    return spark.createDataFrame(rows, "ticker string, t1 string, t2 string")
 
 
 def pair_fanout(ticks: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Each tick once per configured pair that contains its ticker.  Narrow."""
-    mine = F.filter(_pair_array(pairs), lambda p: (p["t1"] == F.col("ticker"))
-                    | (p["t2"] == F.col("ticker")))
-    return ticks.select("*", F.inline(mine))
+    """Each tick once per configured pair that contains its ticker.
+
+    An equi-join on the ticker: the plan does not grow with the pairs.
+    """
+    return ticks.join(pair_sides(ticks.sparkSession, pairs), "ticker").select(*ticks.columns, "t1", "t2")
 
 
 def aligned_days(ticks: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

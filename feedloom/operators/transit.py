@@ -36,11 +36,25 @@ def decode_feed(messages: DataFrame, value: str = "value",
     """Snapshots that arrive as JSON text; columns next to the text are kept.
 
     A narrower schema makes the parser skip what a query does not read.
+    Messages that are no snapshot are left to :func:`malformed_feed`.
     """
     kept = [c for c in messages.columns if c != value]
-    decoded = messages.withColumn("_m", quality.once(
-        F.from_json(F.col(value).cast("string"), schema)))
-    return decoded.select(*kept, "_m.header", "_m.entity")
+    text = F.col(value).cast("string")
+    decoded = messages.withColumn("_m", quality.once(quality.decode_json(text, schema)))
+    good = decoded.where(~quality.is_malformed(F.col("_m"), text))
+    return good.select(*kept, *[F.col("_m")[f.name].alias(f.name) for f in schema])
+
+
+def malformed_feed(messages: DataFrame, value: str = "value",
+                   schema: T.StructType = schemas.FEED_MESSAGE) -> DataFrame:
+    """The messages that :func:`decode_feed` cannot read, as they came."""
+    return quality.quarantine_split(messages, schema, value)[1]
+
+
+def malformed_trip_updates(topic: DataFrame) -> DataFrame:
+    """What :func:`decode_trip_updates` sets aside; empty messages are no records."""
+    text = topic.withColumn("value", F.col("value").cast("string")).where(F.length("value") > 0)
+    return quality.quarantine_split(text, ARRIVAL_FIELDS)[1]
 
 
 def feed_entities(feed: DataFrame) -> DataFrame:
@@ -111,28 +125,27 @@ def next_arrival(arrivals: DataFrame, now: Column) -> DataFrame:
     return with_countdown(nearest, now)
 
 
-def arrival_improvements(arrivals: DataFrame, now: Column,
-                         policy: skew.SkewPolicy = skew.DEFAULT) -> DataFrame:
+def arrival_improvements(arrivals: DataFrame, now: Column, hot: DataFrame | None = None) -> DataFrame:
     """Upcoming arrivals earlier than every one seen before for their track.
 
     A stored arrival does not expire: once a train has passed, only an even
-    earlier upcoming one would count.
+    earlier upcoming one would count.  ``hot`` spreads the tracks it names.
     """
     known = upcoming(arrivals, now).dropna(subset=TRACK).select("seq", *TRACK, "arrival")
-    rows = skew.with_slices(known, TRACK, "seq", policy)
-    before = (skew.slice_window(TRACK, "seq")
+    rows = known if hot is None else skew.with_slices(known, TRACK, "seq", hot)
+    before = (Window.partitionBy(*TRACK, *([] if hot is None else [skew.SLICE])).orderBy("seq")
               .rowsBetween(Window.unboundedPreceding, -1))
     arrival, best = F.col("arrival"), F.min("arrival").over(before)
-    # Only improvements within a slice can be improvements over all.
-    local = (rows.withColumn("_best", best)
-             .where(F.col("_best").isNull() | (arrival < F.col("_best"))).drop("_best"))
-    summary = (rows.where(skew.HOT).groupBy(*TRACK, skew.SLICE)
-               .agg(F.min("arrival").alias("_slice_best")))
-    carried = skew.with_carry(
-        local, TRACK, summary,
-        {"_carry": lambda ordered, earlier: F.min("_slice_best").over(earlier)})
-    return (carried.where(F.col("_carry").isNull() | (arrival < F.col("_carry")))
-            .select("seq", *TRACK, "arrival"))
+    better = (rows.withColumn("_best", best)
+              .where(F.col("_best").isNull() | (arrival < F.col("_best"))).drop("_best"))
+    if hot is not None:
+        # Only improvements within a slice can be improvements over all.
+        summary = (rows.where(skew.HOT).groupBy(*TRACK, skew.SLICE)
+                   .agg(F.min("arrival").alias("_slice_best")))
+        better = skew.with_carry(better, TRACK, summary, {
+            "_carry": lambda ordered, earlier: F.min("_slice_best").over(earlier)})
+        better = better.where(F.col("_carry").isNull() | (arrival < F.col("_carry")))
+    return better.select("seq", *TRACK, "arrival")
 
 
 def stop_lookup(arrivals: DataFrame, stops: DataFrame) -> DataFrame:
@@ -155,16 +168,26 @@ def arrival_messages(arrivals: DataFrame, stops: DataFrame, now: Column) -> Data
 
 # --- documented rules of the feed -------------------------------------------
 
-def feed_merge(entities: DataFrame, policy_order: str = "seq") -> DataFrame:
-    """Current entities of a differential feed: last per id, deletions removed.
+def feed_merge(entities: DataFrame, order: str = "seq", snapshot: str | None = None) -> DataFrame:
+    """Current entities of a feed: last per id, deletions removed.
 
-    ``entities`` is (id, seq, is_deleted, value columns...).
+    ``entities`` is (id, seq, is_deleted, value columns...).  A differential
+    snapshot updates what is there.  Where the column ``incrementality`` is
+    given, the newest ``FULL_DATASET`` snapshot replaces all before it: entities
+    of older snapshots are gone even if it does not name them.  ``snapshot``
+    numbers the snapshots; without it, each ``order`` value is one.
     """
-    values = [c for c in entities.columns if c not in ("id", "is_deleted")]
-    order = F.col(policy_order)
-    return (entities.groupBy("id")
-            .agg(*[F.max_by(v, order).alias(v) for v in values],
-                 F.max_by(F.coalesce("is_deleted", F.lit(False)), order).alias("is_deleted"))
+    snapshot = snapshot or order
+    rows = entities
+    if "incrementality" in entities.columns:
+        full = F.coalesce("incrementality", F.lit("FULL_DATASET")) == "FULL_DATASET"
+        newest = entities.where(full).agg(F.max(snapshot)).scalar()
+        rows = entities.where(newest.isNull() | (F.col(snapshot) >= newest)).drop("incrementality")
+    values = [c for c in rows.columns if c not in ("id", "is_deleted")]
+    by = F.col(order)
+    return (rows.groupBy("id")
+            .agg(*[F.max_by(v, by).alias(v) for v in values],
+                 F.max_by(F.coalesce("is_deleted", F.lit(False)), by).alias("is_deleted"))
             .where(~F.col("is_deleted")).drop("is_deleted"))
 
 
@@ -180,33 +203,31 @@ def with_effective_arrival(stops: DataFrame) -> DataFrame:
                             F.coalesce("time", F.col("sched") + F.col("delay")))
 
 
-def delay_propagation(schedule: DataFrame, policy: skew.SkewPolicy = skew.DEFAULT) -> DataFrame:
+def delay_propagation(schedule: DataFrame) -> DataFrame:
     """The delay in force at each scheduled stop.
 
-    ``schedule`` is (trip_id, stop_sequence, sched, relationship, delay,
+    ``schedule`` is (trip_id, stop_sequence, sched, relationship, delay, time,
     trip_delay): the planned stops left-joined with their updates, where
-    ``relationship`` is null without an update.  A stop's delay holds for the
-    following stops until the next update; ``NO_DATA`` or an update without a
-    delay resets it to unknown.  The trip's own delay holds until the first
-    update.  ``SKIPPED`` stops pass the delay on.
+    ``relationship`` is null without an update.  A given time wins over a delay.
+    A stop's delay holds for the following stops until the next update;
+    ``NO_DATA`` or an update without time and delay resets it to unknown.
+    ``SKIPPED`` stops pass the delay on.  The trip's own delay holds until the
+    first stop whose update gives a time or a delay.
+
+    A trip has some tens of stops: one window on the trip, which also serves a
+    join on it.
     """
     speaks = F.col("relationship").isNotNull() & (F.col("relationship") != "SKIPPED")
-    delay = F.when(F.col("relationship") != "NO_DATA", F.col("delay"))
-    rows = skew.with_slices(
-        schedule.dropna(subset=["trip_id"]).withColumn("_update", F.when(speaks, F.struct(delay.alias("d")))),
-        ["trip_id"], "stop_sequence", policy)
-    upto = (skew.slice_window(["trip_id"], "stop_sequence")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = rows.withColumn("_local", F.last("_update", ignorenulls=True).over(upto))
-    seen = F.when(F.col("_update").isNotNull(), F.col("stop_sequence"))
-    summary = (rows.where(skew.HOT).groupBy("trip_id", skew.SLICE)
-               .agg(F.max_by("_update", seen).alias("_last")))
-    carried = skew.with_carry(
-        local, ["trip_id"], summary,
-        {"_carry": lambda ordered, earlier: F.last("_last", ignorenulls=True).over(earlier)})
-    update = F.coalesce("_local", "_carry")
-    in_force = F.when(update.isNull(), F.col("trip_delay")).otherwise(update["d"])
-    return carried.select(
+    delay = F.when(F.col("relationship") != "NO_DATA",
+                   F.coalesce(F.col("time") - F.col("sched"), F.col("delay")))
+    upto = (Window.partitionBy("trip_id").orderBy("stop_sequence")
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    updates = (schedule.dropna(subset=["trip_id"])
+               .withColumn("_update", F.when(speaks, F.struct(delay.alias("d"))))
+               .withColumn("_last", F.last("_update", ignorenulls=True).over(upto))
+               .withColumn("_given", F.count("_update.d").over(upto)))
+    in_force = F.when(F.col("_given") == 0, F.col("trip_delay")).otherwise(F.col("_last.d"))
+    return updates.select(
         *schedule.columns, in_force.cast("bigint").alias("effective_delay"),
         (F.col("sched") + in_force).cast("bigint").alias("expected"))
 

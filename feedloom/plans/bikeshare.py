@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators import stations, tables
-from feedloom.session import materialize
-from feedloom.streaming import streams
+from feedloom.sinks.writers import BatchWriter
+from feedloom.streaming import folds
 
 
 def publish_status(feed: DataFrame) -> DataFrame:
@@ -38,24 +40,26 @@ def low_availability(status_topic: DataFrame, info_topic: DataFrame,
     return stations.low_availability_lines(alerts)
 
 
+def set_aside(status_topic: DataFrame, info_topic: DataFrame) -> DataFrame:
+    """The malformed records that the plans of this module leave out, by topic."""
+    status = stations.malformed_status(status_topic).withColumn("topic", F.lit("status"))
+    return status.unionByName(stations.malformed_info(info_topic).withColumn("topic", F.lit("info")))
+
+
 def turnover(status_topic: DataFrame, info_topic: DataFrame,
              window: str = "60 minutes") -> DataFrame:
-    """Turnover per station and window.
-
-    Readings are decoded once into the shared folder; the fold reads them twice.
-    """
-    readings = materialize(stations.decode_status(status_topic), "readings")
-    net = stations.net_delta(readings, window)
+    """Turnover per station and window."""
+    net = stations.net_delta(stations.decode_status(status_topic), window)
     return stations.turnover_ratio(net, info_table(info_topic))
 
 
-def turnover_updates(status_topic: DataFrame, info: DataFrame, window: str = "60 minutes",
-                     lateness: str = streams.LATENESS) -> DataFrame:
-    """Turnover messages of a stream: one for every update of a window's total.
+def turnover_updates(path: str, read_info: Callable[[], DataFrame], write: BatchWriter,
+                     window: str = "60 minutes", lateness: str = folds.LATENESS) -> BatchWriter:
+    """For a stream of readings: turnover messages, one for every update of a window's total.
 
-    ``info`` is a table; see :func:`feedloom.streaming.streams.refreshed_lookup`
-    for one that changes while the stream runs.
+    ``path`` holds the fold's state; ``read_info`` reads the stored information table.
     """
-    updates = streams.net_delta_updates(stations.decode_status(status_topic), window,
-                                        lateness=lateness)
-    return stations.turnover_lines(stations.turnover_ratio(updates, info))
+    def messages(changes: DataFrame, batch_id: int) -> None:
+        write(stations.turnover_lines(stations.turnover_ratio(changes, read_info())), batch_id)
+
+    return folds.net_delta_writer(path, messages, window, lateness=lateness)

@@ -16,6 +16,12 @@ def ship(object_path: str, document_path: str, show: bool = False) -> writers.Ba
     return writers.fan_out(targets)
 
 
+def targets(object_path: str, document_path: str) -> dict[str, writers.BatchWriter]:
+    """The sinks by name, to be run as queries of their own."""
+    return {"objects": writers.time_partitioned_json(object_path),
+            "documents": writers.documents(document_path), "console": writers.console()}
+
+
 def collect(records: DataFrame, routes: list[tuple[str, str]] = logs.DEFAULT_ROUTES) -> DataFrame:
     """Tagged records as un-keyed topic messages."""
     return logs.route_tags(records, routes).selectExpr(

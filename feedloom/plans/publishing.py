@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from feedloom.operators import landing, posts
+from feedloom import schemas
+from feedloom.operators import landing, posts, quality
 from feedloom.sinks import landing as landing_sink
 from feedloom.sinks import writers
 from feedloom.sources import files
@@ -20,17 +23,56 @@ def import_snapshot(snapshot: DataFrame, path: str, manifest_path: str, at: date
     return target
 
 
-def load_announced(spark: SparkSession, path: str, manifest_path: str) -> DataFrame:
+#: Objects that one read names; a batch of notifications with more takes several reads.
+PATHS_AT_ONCE = 1000
+
+
+def announced_records(manifest: DataFrame) -> DataFrame:
+    """The records of exactly the announced objects, those that cannot be read included.
+
+    A path that ends in ``.json`` is one document, an array as fetched; any
+    other is a directory of JSON lines as landed here.  Nothing else is listed
+    or read, and an object that is missing fails the load.
+    """
+    spark = manifest.sparkSession
+    kinds = [*schemas.POST_JSON.fields, *(T.StructField(n, T.StringType()) for n in (quality.CORRUPT, landing.RUN))]
+    loaded = []
+
+    def load(paths: list[str]) -> None:
+        whole = [p for p in paths if p.endswith(".json")]
+        for group, multi_line in ((whole, True), ([p for p in paths if p not in set(whole)], False)):
+            if group:
+                loaded.append(landing.with_run(files.post_records(
+                    spark, group, multi_line=multi_line, runs=False)))
+
+    paths: list[str] = []
+    for row in landing.announced_paths(manifest).toLocalIterator():
+        paths.append(row["s3_path"])
+        if len(paths) == PATHS_AT_ONCE:
+            load(paths)
+            paths = []
+    load(paths)
+    return reduce(DataFrame.unionByName, loaded, spark.createDataFrame([], T.StructType(kinds)))
+
+
+def load_announced(manifest: DataFrame) -> DataFrame:
     """Posts of all announced snapshots."""
-    return landing.load_announced(files.posts(spark, path, multi_line=False),
-                                  files.manifest(spark, manifest_path))
+    return landing.project_posts(files.good(announced_records(manifest)))
+
 
+def load_on_notification(write: writers.BatchWriter, bad: writers.BatchWriter | None = None
+                         ) -> writers.BatchWriter:
+    """For a stream of notifications: load what each batch of them announces.
 
-def load_on_notification(path: str, write: writers.BatchWriter) -> writers.BatchWriter:
-    """For a stream of notifications: load what each batch of them announces."""
+    Records that cannot be read go to ``bad``; without it they fail the batch.
+    """
     def run(notices: DataFrame, batch_id: int) -> None:
-        landed = files.posts(notices.sparkSession, path, multi_line=False)
-        write(landing.load_announced(landed, notices), batch_id)
+        records = announced_records(notices)
+        if bad is not None:
+            bad(files.corrupt(records), batch_id)
+        elif files.corrupt(records).first() is not None:
+            raise ValueError("an announced object holds records that cannot be read")
+        write(landing.project_posts(files.good(records)), batch_id)
     return run
 
 

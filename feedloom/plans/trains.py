@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 
 from feedloom.operators import transit
-from feedloom.session import materialize
-from feedloom.streaming import streams
+from feedloom.sinks.writers import BatchWriter
+from feedloom.streaming import folds
 
 
 def arrivals(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
@@ -16,17 +18,14 @@ def arrivals(topic: DataFrame, on_error: str = "quarantine") -> DataFrame:
 
 
 def countdown(topic: DataFrame, stops: DataFrame, now: Column) -> DataFrame:
-    """Countdown messages of every improved arrival.
-
-    Arrivals are decoded once into the shared folder; finding improvements
-    reads them several times.
-    """
-    decoded = materialize(transit.upcoming(arrivals(topic), now), "arrivals")
-    better = transit.arrival_improvements(decoded, now)
+    """Countdown messages of every improved arrival."""
+    better = transit.arrival_improvements(arrivals(topic), now)
     return transit.arrival_messages(better, stops, now)
 
 
-def countdown_updates(topic: DataFrame, stops: DataFrame, now: Column) -> DataFrame:
-    """Countdown messages of a stream, as arrivals improve."""
-    return transit.arrival_messages(
-        streams.arrival_improvement_updates(arrivals(topic), now), stops, now)
+def countdown_updates(path: str, stops: DataFrame, now: Callable[[], Column], write: BatchWriter) -> BatchWriter:
+    """For a stream of arrivals: countdown messages as arrivals improve."""
+    def messages(better: DataFrame, batch_id: int) -> None:
+        write(transit.arrival_messages(better, stops, now()), batch_id)
+
+    return folds.improvements_writer(path, messages, now)

@@ -39,24 +39,16 @@ def _renamed(schema: T.StructType, names: dict[str, str]) -> T.StructType:
 STATUS_VALUE = _renamed(STATION_STATUS, STATUS_RENAMES)
 INFO_VALUE = _renamed(STATION_INFO, INFO_RENAMES)
 
-#: The status record declared for schema-registry producers also counts e-bikes.
-STATUS_RECORD = T.StructType(
-    STATION_STATUS.fields[:2] + [T.StructField("num_ebikes_available", _I)] + STATION_STATUS.fields[2:])
-INFO_RECORD = STATION_INFO
-
 # --- topics -----------------------------------------------------------------
 
 TOPIC_ROW = _struct(key=_S, value=_S, timestamp=T.TimestampType(), offset=_L)
 
 # --- ticks, posts, logs, messages -------------------------------------------
 
-TICK = _struct(ticker=_S, trade_date=T.TimestampType(), price=_D)
 POST_JSON = _struct(id=_I, userId=_I, title=_S, body=_S)
 POST_FORM = _struct(title=_S, body=_S, date=_S, author=_S, action=_S)
-BLOG_POST = _struct(id=_I, title=_S, body=_S, date=T.TimestampType(), author=_S)
 MANIFEST = _struct(s3_path=_S, body=_S)
 LOG_RECORD = _struct(tag=_S, ts=T.TimestampType(), record=_S)
-MESSAGE = _struct(message=_S)
 
 # --- transit feed, JSON rendering -------------------------------------------
 

@@ -95,7 +95,11 @@ def jdbc(url: str, table: str, key: str | None = None, **properties: str) -> Bat
             held = df.sparkSession.read.jdbc(
                 url, f"(select {key} from {table} where {key} between {int(low)} and {int(high)}) held",
                 properties=properties)
-            rows = df.dropDuplicates([key]).join(held, key, "left_anti")
+            # Of two rows of a batch with one key, the one that sorts first is written.
+            rest = [c for c in df.columns if c != key]
+            one = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(
+                *[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+            rows = (one if rest else df.distinct()).join(held, key, "left_anti")
         rows.write.jdbc(url, table, mode="append", properties=properties)
     return write
 
@@ -116,9 +120,14 @@ def kafka_options(servers: str, topic: str, compression: str | None = None) -> d
     return options
 
 
-def console(rows: int = 20) -> BatchWriter:
+def console(out: Callable[[str], None] = print) -> BatchWriter:
+    """Every row of a batch as one JSON line, whole.
+
+    Rows come to the driver one partition at a time.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
-        df.show(rows, truncate=False)
+        for line in df.toJSON().toLocalIterator():
+            out(line)
     return write
 
 

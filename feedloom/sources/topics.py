@@ -1,4 +1,7 @@
-"""Topic sources with one row contract: (key, value, timestamp, offset).
+"""Topic sources with one row contract: (key, value, timestamp, partition, offset).
+
+Records of one key share a partition, where offsets give their order.  Without
+keys, order is that of :func:`arrival_order`.
 
 ``kafka`` needs the connector package of the cluster.  ``topic_files`` reads
 the same rows from a directory, which also serves replays and tests.
@@ -6,7 +9,7 @@ the same rows from a directory, which also serves replays and tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom import schemas
@@ -25,30 +28,28 @@ def kafka_options(servers: str, topic: str, earliest: bool = True,
             "maxOffsetsPerTrigger": str(max_offsets)}
 
 
-def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True,
-          partitions: int = 1, **kwargs) -> DataFrame:
-    """Topic rows; name the topic's partitions where its messages carry no key."""
+def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True, **kwargs) -> DataFrame:
+    """Topic rows."""
     options = kafka_options(servers, topic, **kwargs)
     if not stream:
         del options["maxOffsetsPerTrigger"]
     source = spark.readStream if stream else spark.read
-    return text_rows(unique_offsets(source.format("kafka").options(**options).load(), partitions))
+    return text_rows(source.format("kafka").options(**options).load())
 
 
-def unique_offsets(raw: DataFrame, partitions: int) -> DataFrame:
-    """Offsets count per partition: make them unique over the topic, in the same order.
+def arrival_order(timestamp: str = "timestamp", partition: str = "partition", offset: str = "offset") -> Column:
+    """What orders un-keyed records: time, then partition, then offset.
 
-    Keyed messages of one key share a partition and need no change.
+    Unique over the topic.  A struct is an order column as good as a number.
     """
-    if partitions == 1:
-        return raw
-    return raw.withColumn("offset", F.col("offset") * partitions + F.col("partition"))
+    return F.struct(F.col(timestamp).alias("at"), F.col(partition).alias("partition"), F.col(offset).alias("offset"))
 
 
 def text_rows(raw: DataFrame) -> DataFrame:
-    """Byte keys and values as UTF-8 text."""
+    """Byte keys and values as UTF-8 text; a partition is kept where there is one."""
+    place = ["partition"] if "partition" in raw.columns else []
     return raw.select(F.col("key").cast("string").alias("key"),
-                      F.col("value").cast("string").alias("value"), "timestamp", "offset")
+                      F.col("value").cast("string").alias("value"), "timestamp", *place, "offset")
 
 
 def topic_files(spark: SparkSession, path: str, stream: bool = False,

@@ -1 +1 @@
-"""Streaming forms: keyed state, query starts and triggers."""
+"""Streaming forms: folds over micro-batches, query starts and triggers."""

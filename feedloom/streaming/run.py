@@ -54,7 +54,15 @@ def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str,
             .trigger(processingTime=every).start())
 
 
-def to_console(df: DataFrame, checkpoint: str, mode: str = "append",
-               every: str = FLUSH) -> StreamingQuery:
-    return (df.writeStream.format("console").option("checkpointLocation", checkpoint)
-            .outputMode(mode).trigger(processingTime=every).start())
+def to_console(df: DataFrame, checkpoint: str, mode: str = "append", every: str = FLUSH,
+               out: Callable[[str], None] = print) -> StreamingQuery:
+    """Every row of the stream on the console, whole."""
+    from feedloom.sinks.writers import console
+    return start(df, console(out), checkpoint, mode, every)
+
+
+def start_each(df: DataFrame, writers: dict[str, Callable[[DataFrame, int], None]], checkpoint: str,
+               every: str | None = None) -> dict[str, StreamingQuery]:
+    """One query and checkpoint per sink: a sink that fails stops no other."""
+    return {name: start(df, write, f"{checkpoint.rstrip('/')}/{name}", every=every)
+            for name, write in writers.items()}

@@ -1,21 +1,14 @@
-"""Streaming DataFrames of the operators whose batch form a stream cannot run."""
+"""Helpers of streaming queries: event time, lookups per micro-batch, closing a bounded stream."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators import stations, tables, transit
-from feedloom.streaming import processors
-from feedloom.streaming.processors import RunningMinimum, SuccessiveChange
-
-# Send the processors with the query: executors need no installed package.
-cloudpickle.register_pickle_by_value(processors)
-
-LATENESS = "1 day"
+from feedloom.operators import stations
+from feedloom.streaming.folds import LATENESS
 
 
 def with_event_time(df: DataFrame, column: str = "ts", lateness: str = LATENESS) -> DataFrame:
@@ -23,65 +16,31 @@ def with_event_time(df: DataFrame, column: str = "ts", lateness: str = LATENESS)
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, lateness)
 
 
-def net_delta_updates(readings: DataFrame, window: str = "60 minutes", baseline: str = "zero",
-                      lateness: str = LATENESS) -> DataFrame:
-    """Every update of the per-window change total, as readings arrive."""
-    span = F.window("ts", window)
-    rows = (with_event_time(readings.where(
-                F.col("station_id").isNotNull() & F.col("num_bikes_available").isNotNull()),
-                "ts", lateness)
-            .select("station_id", span["start"].alias("window_start"),
-                    span["end"].alias("window_end"), "ts", "seq", "num_bikes_available"))
-    return rows.groupBy("station_id", "window_start", "window_end").transformWithState(
-        SuccessiveChange(baseline), SuccessiveChange.OUTPUT, "Update", "EventTime")
-
-
-def arrival_improvement_updates(arrivals: DataFrame, now) -> DataFrame:
-    """Strict improvements of the next arrival, as updates arrive."""
-    rows = transit.upcoming(arrivals, now).select("seq", *transit.TRACK, "arrival")
-    return rows.groupBy(*transit.TRACK).transformWithState(
-        RunningMinimum(), RunningMinimum.OUTPUT, "Update", "None")
-
-
 def refreshed_lookup(read_info: Callable[[], DataFrame],
                      write: Callable[[DataFrame, int], None],
                      operator=stations.low_availability) -> Callable[[DataFrame, int], None]:
-    """A batch writer that looks readings up in information read anew for each batch."""
+    """A batch writer that looks readings up in information read anew for each batch.
+
+    ``read_info`` reads a stored table (see :func:`feedloom.sinks.writers.entries`),
+    not the topic that it was folded from.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         write(operator(batch, read_info()), batch_id)
     return run
 
 
-def top_turnover_writer(path: str, read_info: Callable[[], DataFrame],
-                        write: Callable[[DataFrame, int], None], n: int = 10
-                        ) -> Callable[[DataFrame, int], None]:
-    """A batch writer for :func:`net_delta_updates`: top stations of the touched windows.
+def until_closed(start: Callable[[DataFrame], None], stream: DataFrame, closing: DataFrame,
+                 close: Callable[[], None]) -> None:
+    """Run a bounded stream to its very end.
 
-    A micro-batch holds the changed stations only, so the last total of each
-    station is kept below ``path`` by day and micro-batch.  Ranking reads just
-    the days the batch touched.
+    A window appends once the watermark has passed its end, which the last rows
+    of a bounded stream never reach.  ``start`` runs the query to the end of its
+    input; then ``close`` puts one row far ahead in time into the source of
+    ``closing``, and a second run from the same checkpoint closes what is open.
+    That row's key is one that belongs to no result (an empty ticker, say); it must
+    not be null, as rows with null keys are filtered away before the watermark sees them.
     """
-    keys = ["station_id", "window_start", "window_end"]
-
-    def ranked(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.groupBy(*keys).agg(F.max_by("net", "seq").alias("net"),
-                                           F.max("seq").alias("seq"))
-        (changed.withColumn("day", F.to_date("window_start"))
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day", "batch_id").parquet(path))
-        first_day = batch.agg(F.to_date(F.min("window_start"))).first()[0]
-        if first_day is None:
-            return
-        held = (batch.sparkSession.read.parquet(path).where(F.col("day") >= F.lit(first_day))
-                .join(batch.select("window_start").distinct(), "window_start", "left_semi"))
-        totals = tables.latest_per_key(held, keys, "seq", ["net"])
-        write(stations.top_turnover(stations.turnover_ratio(totals, read_info()), n), batch_id)
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            ranked(batch, batch_id)
-        finally:
-            batch.unpersist()
-    return run
+    both = stream.unionByName(closing)
+    start(both)
+    close()
+    start(both)

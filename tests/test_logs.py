@@ -1,4 +1,5 @@
 import glob
+import json
 import os
 
 import pytest
@@ -71,7 +72,9 @@ def test_documents_have_repeatable_ids(spark, rows):
     docs = logs.index_documents(records(spark, *SOME), "log-messages", 2)
     assert rows(docs, "doc_id", "source") == [
         ("log-messages+2+0", '{"a":1}'), ("log-messages+2+1", '{"a":2}'),
-        ("log-messages+2+2", '{"a":3}')]
+        ("log-messages+2+2", '{"a":3}'), ("log-messages+2+3", '{"message":"{broken"}')]
+    parts = records(spark, SOME[0], SOME[1]).withColumn("partition", F.col("seq") % 2).withColumn("seq", F.lit(0))
+    assert rows(logs.index_documents(parts), "doc_id") == [("log-messages+0+0",), ("log-messages+1+0",)]
 
 
 def test_one_stream_to_three_sinks(spark, capfd, tmp_path):
@@ -82,7 +85,38 @@ def test_one_stream_to_three_sinks(spark, capfd, tmp_path):
     objects, docs = str(tmp_path / "objects"), str(tmp_path / "docs")
     run.run_available(stream, log_shipping.ship(objects, docs, show=True), str(tmp_path / "c"))
     assert spark.read.json(objects).count() == 4
-    assert spark.read.json(docs).count() == 3
+    assert spark.read.json(docs).count() == 4
+    shown = [json.loads(x) for x in capfd.readouterr().out.splitlines() if x.startswith('{"tag"')]
+    assert len(shown) == 4
+
+
+def test_every_sink_is_a_query_of_its_own(spark, tmp_path):
+    source = str(tmp_path / "logs")
+    records(spark, *SOME).drop("seq").write.json(source)
+    stream = files.logs(spark, source, stream=True).withColumn("seq", F.lit(1).cast("bigint"))
+
+    def fails(df, batch_id):
+        raise RuntimeError("this sink is down")
+
+    sinks = {**log_shipping.targets(str(tmp_path / "objects"), str(tmp_path / "docs")), "documents": fails}
+    queries = run.start_each(stream, sinks, str(tmp_path / "c"))
+    with pytest.raises(Exception, match="this sink is down"):
+        queries["documents"].awaitTermination()
+    queries["objects"].awaitTermination()
+    queries["console"].awaitTermination()
+    assert spark.read.json(str(tmp_path / "objects")).count() == 4
+
+
+def test_the_console_prints_every_row_whole(spark):
+    lines = []
+    writers.console(lines.append)(spark.range(100).select("id", F.repeat(F.lit("x"), 50).alias("text")), 0)
+    assert len(lines) == 100 and all(len(json.loads(x)["text"]) == 50 for x in lines)
+
+
+def test_lines_that_are_no_records_are_set_aside(spark, rows, tmp_path):
+    (tmp_path / "log").write_text('{"tag":"a.b","ts":"2024-01-01T00:00:00","record":"{}"}\n{broken\n')
+    assert rows(files.logs(spark, str(tmp_path / "log")), "tag") == [("a.b",)]
+    assert rows(files.corrupt_lines(spark, str(tmp_path / "log"), schemas.LOG_RECORD)) == [("{broken",)]
 
 
 def test_native_object_stream_and_gzip(spark, tmp_path):

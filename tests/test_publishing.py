@@ -77,12 +77,43 @@ def test_only_announced_snapshots_load(spark, rows, tmp_path):
     landing_sink.land_snapshot(snapshot(spark, 3), path, "20180702120000")
     # A message without a path is ignored.
     landing_sink.notify(spark.createDataFrame([(None,)], "s3_path string"), manifest)
-    loaded = publishing.load_announced(spark, path, manifest)
+    loaded = publishing.load_announced(files.manifest(spark, manifest))
     assert rows(loaded, "id", "title", "ingest_ts") == [
         (1, "t1", "20180701120000"), (2, "t2", "20180701120000")]
     # Announced twice, loaded once.
     landing_sink.notify(spark.createDataFrame([(target,)], "s3_path string"), manifest)
-    assert publishing.load_announced(spark, path, manifest).count() == 2
+    assert publishing.load_announced(files.manifest(spark, manifest)).count() == 2
+
+
+def test_announced_objects_may_have_any_name(spark, rows, tmp_path):
+    bucket = tmp_path / "bucket"
+    bucket.mkdir()
+    (bucket / "posts_20180701120000.json").write_text(json.dumps(
+        [{"id": 1, "userId": 2, "title": "t", "body": "line\nbreak"}, {"id": 2, "userId": 2, "title": "u", "body": "b"}]))
+    (bucket / "posts_20180702120000.json").write_text(json.dumps([{"id": 3}]))
+    (bucket / "posts_20180703120000.json").write_text("[{broken")
+    def notices(*names):
+        return spark.createDataFrame([(f"{bucket}/{n}",) for n in names] + [("",)], "s3_path string")
+    got = publishing.load_announced(notices("posts_20180701120000.json"))
+    assert rows(got, "id", "body", "ingest_ts") == [(1, "line\nbreak", None), (2, "b", None)]
+    bad, good = [], []
+    write = publishing.load_on_notification(lambda df, n: good.extend(df.collect()), lambda df, n: bad.extend(df.collect()))
+    write(notices("posts_20180701120000.json", "posts_20180703120000.json"), 0)
+    assert sorted(r["id"] for r in good) == [1, 2] and [r["value"] for r in bad] == ["[{broken"]
+    with pytest.raises(ValueError):
+        publishing.load_on_notification(lambda df, n: None)(notices("posts_20180703120000.json"), 0)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        publishing.load_announced(notices("gone.json")).collect()
+    assert publishing.load_announced(notices()).collect() == []
+
+
+def test_broken_lines_are_set_aside(spark, rows, tmp_path):
+    run_dir = tmp_path / "landing" / "ingest_ts=1"
+    run_dir.mkdir(parents=True)
+    (run_dir / "part.json").write_text('{"id": 1, "title": "t"}\n{broken\n')
+    path = str(tmp_path / "landing")
+    assert rows(files.posts(spark, path, multi_line=False), "id", "ingest_ts") == [(1, "1")]
+    assert rows(files.corrupt_posts(spark, path, multi_line=False)) == [("1", "{broken")]
 
 
 def test_json_array_snapshots_as_table_and_stream(spark, rows, tmp_path):
@@ -105,20 +136,13 @@ def test_first_per_id(spark, rows):
     assert rows(landing.first_per_id(df), "id", "userId") == [(1, 0)]
 
 
-def test_announced_runs_prune_the_landing_zone(spark, tmp_path):
-    path, manifest = str(tmp_path / "landing"), str(tmp_path / "manifest")
-    publishing.import_snapshot(snapshot(spark, 1, 2), path, manifest, datetime(2018, 7, 1, 12))
-    plan = publishing.load_announced(spark, path, manifest)._jdf.queryExecution().executedPlan()
-    assert "dynamicpruning" in plan.toString()
-
-
 def test_stream_of_notifications(spark, rows, tmp_path):
     path, manifest, out = (str(tmp_path / n) for n in ("landing", "manifest", "out"))
     for day, ids in ((1, (1, 2)), (2, (3,))):
         publishing.import_snapshot(snapshot(spark, *ids), path, manifest, datetime(2018, 7, day))
     landing_sink.land_snapshot(snapshot(spark, 9), path, "20180709000000")
     run.run_available(files.manifest(spark, manifest, stream=True),
-                      publishing.load_on_notification(path, writers.files(out)),
+                      publishing.load_on_notification(writers.files(out)),
                       str(tmp_path / "checkpoint"))
     assert rows(spark.read.parquet(out), "id") == [(1,), (2,), (3,)]
 

@@ -6,13 +6,10 @@ from pyspark.sql import functions as F
 
 from conftest import at
 from feedloom import schemas
-from feedloom.operators import quality, stations
-from feedloom.operators.skew import SkewPolicy
+from feedloom.operators import quality, skew, stations, tables
 from feedloom.plans import bikeshare
 from feedloom.sources import files, topics
 
-TINY = SkewPolicy(hot_rows=3, slice_rows=4, max_hot=2)
-
 
 def readings(spark, data):
     return spark.createDataFrame(
@@ -75,11 +72,12 @@ def test_sliced_fold_equals_brute_force(spark, rows, baseline):
         totals[key] = totals.get(key, 0) + abs(v - last)
         state[key] = v
         changelog.append((station, q, totals[key]))
-    for policy in (TINY, SkewPolicy()):
-        got = rows(stations.net_delta(df, "60 minutes", baseline, policy),
+    for hot in (None, skew.hot_keys(df, ["station_id"], "seq", hot_rows=40, slices=9, max_hot=2)):
+        assert hot is None or hot.count() == 2
+        got = rows(stations.net_delta(df, "60 minutes", baseline, hot),
                    "station_id", F.hour("window_start"), "net")
         assert got == sorted(((s, h, n) for (s, h), n in totals.items()), key=repr)
-        log = rows(stations.net_delta_changelog(df, "60 minutes", baseline, policy),
+        log = rows(stations.net_delta_changelog(df, "60 minutes", baseline, hot),
                    "station_id", "seq", "net")
         assert log == sorted(changelog, key=repr)
 
@@ -185,5 +183,41 @@ def test_bytes_become_text(spark, rows):
                                 "key binary, value binary, timestamp timestamp, offset bigint")
     assert rows(topics.text_rows(raw), "key", "value") == [("k", "é")]
     assert topics.kafka_options("h:1", "t")["startingOffsets"] == "earliest"
-    parts = spark.createDataFrame([(0, 1), (1, 1), (0, 2)], "partition int, offset bigint")
-    assert rows(topics.unique_offsets(parts, 2), "offset") == [(2,), (3,), (4,)]
+
+
+def test_arrival_order_over_partitions_of_different_speed(spark, rows):
+    raw = spark.createDataFrame(
+        [(None, b"old", at("2024-01-01 00:00:01"), 0, 5), (None, b"new", at("2024-01-01 00:00:09"), 1, 1),
+         (None, b"mid", at("2024-01-01 00:00:05"), 1, 0)],
+        "key binary, value binary, timestamp timestamp, partition int, offset bigint")
+    read = topics.text_rows(raw).withColumn("seq", topics.arrival_order())
+    assert [r["value"] for r in read.orderBy("seq").collect()] == ["old", "mid", "new"]
+    # The order column serves operators as it is.
+    assert tables.latest_per_key(read.withColumn("k", F.lit(1)), ["k"], "seq", ["value"]).first()["value"] == "new"
+
+
+def _records_read(spark, df):
+    """Rows that the scans and the exchanges of a run have put out."""
+    df.write.format("noop").mode("overwrite").save()
+    store = spark._jsparkSession.sharedState().statusStore()
+    last = store.executionsList().last()
+    graph, values = store.planGraph(last.executionId()), store.executionMetrics(last.executionId())
+    out = {"Scan": 0, "Exchange": 0}
+    nodes = graph.allNodes()
+    for i in range(nodes.size()):
+        node = nodes.apply(i)
+        kind = next((k for k in out if node.name().startswith(k)), None)
+        for m in range(node.metrics().size()) if kind else ():
+            metric = node.metrics().apply(m)
+            wanted = {"Scan": "number of output rows", "Exchange": "shuffle records written"}[kind]
+            if metric.name() == wanted and values.contains(metric.accumulatorId()):
+                out[kind] += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return out
+
+
+def test_ordered_operators_read_and_shuffle_their_input_once(spark, tmp_path):
+    path = str(tmp_path / "readings")
+    _random_readings(spark, n=300)[1].write.parquet(path)
+    df = spark.read.parquet(path)
+    for result in (stations.net_delta(df), stations.net_delta_changelog(df)):
+        assert _records_read(spark, result) == {"Scan": 300, "Exchange": 300}

@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at
+from feedloom import schemas
 from feedloom.operators import stations, tables, transit
 from feedloom.plans import bikeshare
 from feedloom.plans import trains as train_plan
 from feedloom.sinks import writers
 from feedloom.sources import files, topics
-from feedloom.streaming import run, streams
+from feedloom.streaming import folds, run, streams
 
 
 @pytest.fixture(scope="module")
@@ -36,11 +37,19 @@ def _run(spark, df, tmp_path, mode="append"):
     return spark.read.parquet(out)
 
 
+def _fold(spark, stream, tmp_path, writer):
+    """What a fold wrote; ``writer`` takes its state's path and the sink."""
+    out = str(tmp_path / "out")
+    run.run_available(stream, writer(str(tmp_path / "state"), writers.files(out)), str(tmp_path / "checkpoint"))
+    return spark.read.parquet(out)
+
+
 @pytest.mark.parametrize("baseline", ["zero", "first"])
 def test_net_delta(spark, rows, feed, tmp_path, baseline):
     stream = stations.decode_status(topics.topic_files(spark, feed, stream=True, max_files=1))
     batch = stations.decode_status(topics.topic_files(spark, feed))
-    updates = _run(spark, streams.net_delta_updates(stream, "60 minutes", baseline), tmp_path, "update")
+    updates = _fold(spark, stream, tmp_path, lambda state, write: folds.net_delta_writer(
+        state, write, "60 minutes", baseline))
     assert updates.select(writers.BATCH).distinct().count() >= 5
     changelog = stations.net_delta_changelog(batch, "60 minutes", baseline)
     columns = ["station_id", "window_start", "seq", "num_bikes_available", "net"]
@@ -50,15 +59,33 @@ def test_net_delta(spark, rows, feed, tmp_path, baseline):
                                "station_id", "window_start", "net")
 
 
-def test_late_readings_are_dropped(spark, tmp_path):
+READINGS = "station_id string, ts timestamp, seq bigint, num_bikes_available int"
+
+
+def test_late_readings_are_set_aside(spark, rows, tmp_path):
     path = str(tmp_path / "readings")
-    schema = "station_id string, ts timestamp, seq bigint, num_bikes_available int"
     for data in ([("a", at("2024-01-01"), 1, 5)], [("a", at("2024-01-09"), 2, 5)],
                  [("a", at("2024-01-09 00:01:00"), 3, 5)], [("a", at("2024-01-01 00:01:00"), 4, 9)]):
-        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(path)
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path))
-    got = _run(spark, streams.net_delta_updates(stream, lateness="1 day"), tmp_path, "update")
+        spark.createDataFrame(data, READINGS).coalesce(1).write.mode("append").parquet(path)
+    stream = (spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).parquet(path))
+    late = str(tmp_path / "late")
+    got = _fold(spark, stream, tmp_path, lambda state, write: folds.net_delta_writer(
+        state, write, lateness="1 day", late=writers.files(late)))
     assert sorted(r.seq for r in got.collect()) == [1, 2, 3]
+    assert rows(spark.read.parquet(late), "seq") == [(4,)]
+
+
+def test_a_replayed_batch_gives_the_same_state_and_changes(spark, rows, tmp_path):
+    seen = []
+    write = folds.net_delta_writer(str(tmp_path), lambda df, n: seen.append(rows(df, "seq", "net")))
+    def readings(*data):
+        return spark.createDataFrame([("a", at("2024-01-01"), q, v) for q, v in data], READINGS)
+    write(readings((1, 5)), 0)
+    write(readings((2, 9)), 1)
+    write(readings((2, 9)), 1)
+    write(readings(), 2)
+    write(readings((3, 0)), 3)
+    assert seen == [[(1, 5)], [(2, 9)], [(2, 9)], [], [(3, 18)]]
 
 
 def test_improvements_and_next_arrival(spark, rows, tmp_path):
@@ -76,14 +103,39 @@ def test_improvements_and_next_arrival(spark, rows, tmp_path):
     now = F.lit(2200)
     stream = train_plan.arrivals(topics.topic_files(spark, path, stream=True, max_files=1))
     batch = train_plan.arrivals(topics.topic_files(spark, path))
-    better = _run(spark, streams.arrival_improvement_updates(stream, now), tmp_path / "a", "update")
+    better = _fold(spark, stream, tmp_path / "a", lambda state, write: folds.improvements_writer(
+        state, write, lambda: F.lit(2200)))
     want = transit.arrival_improvements(batch, now)
     assert rows(better, *want.columns) == rows(want)
     assert want.count() > 5
-    nearest = transit.next_arrival(stream, now).select(*transit.TRACK, "arrival")
-    final = (_run(spark, nearest, tmp_path / "b", "update").groupBy(*transit.TRACK)
-             .agg(F.min("arrival").alias("arrival")))
-    assert rows(final) == rows(transit.next_arrival(batch, now), *transit.TRACK, "arrival")
+    nearest = _fold(spark, stream, tmp_path / "b", lambda state, write: folds.next_arrival_writer(
+        state, write, lambda: F.lit(2200)))
+    last = nearest.where(F.col(writers.BATCH) == nearest.agg(F.max(writers.BATCH)).scalar())
+    assert rows(last, *transit.TRACK, "arrival") == rows(transit.next_arrival(batch, now), *transit.TRACK, "arrival")
+
+
+def test_a_train_that_has_passed_gives_way_to_the_next(spark, rows, tmp_path):
+    """The clock moves between micro-batches, and between two runs from one checkpoint."""
+    path, out, state = (str(tmp_path / n) for n in ("arrivals", "out", "state"))
+    schema = "seq bigint, route_id string, stop_id string, direction string, arrival bigint"
+    clock = iter([100, 110, 150])
+
+    def send(*times):
+        spark.createDataFrame([(t, "1", "101", "N", t) for t in times], schema).coalesce(1).write.mode(
+            "append").parquet(path)
+
+    def go():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        run.run_available(stream, folds.next_arrival_writer(
+            state, writers.files(out), lambda: F.lit(next(clock))), str(tmp_path / "checkpoint"))
+
+    send(125, 4000)
+    send(7000)
+    go()
+    send(4100)
+    go()
+    assert rows(spark.read.parquet(out), writers.BATCH, "arrival", "total_minutes") == [
+        (0, 125, 0), (1, 125, 0), (2, 4000, 64)]
 
 
 def test_lookup_sees_information_written_between_batches(spark, rows, feed, tmp_path):
@@ -126,12 +178,9 @@ def test_top_turnover_of_a_stream(spark, rows, feed, tmp_path):
     info = spark.createDataFrame([("hot", 30), ("a", 10), ("b", 50), ("c", 0)],
                                  "station_id string, capacity int")
     stream = stations.decode_status(topics.topic_files(spark, feed, stream=True, max_files=1))
-    out = str(tmp_path / "out")
-    write = streams.top_turnover_writer(str(tmp_path / "totals"), lambda: info,
-                                        writers.files(out), n=2)
-    run.run_available(streams.net_delta_updates(stream), write, str(tmp_path / "c"), "update")
+    ranked = _fold(spark, stream, tmp_path, lambda state, write: folds.top_turnover_writer(
+        state, lambda: info, write, n=2))
     # The last ranking of a window is the one of the batch form.
-    ranked = spark.read.parquet(out)
     last = ranked.groupBy("window_start").agg(F.max(writers.BATCH).alias(writers.BATCH))
     final = ranked.join(last, ["window_start", writers.BATCH])
     batch = stations.decode_status(topics.topic_files(spark, feed))
@@ -162,10 +211,18 @@ def test_snapshot_files_stream(spark, rows, tmp_path):
     assert rows(_run(spark, stream, tmp_path), "key") == [("1",), ("2",)]
 
 
+def test_broken_snapshot_files_are_set_aside(spark, rows, tmp_path):
+    (tmp_path / "1.json").write_text('{"ttl": 10,\n "data": {"stations": [{"station_id": "1"}]}}')
+    (tmp_path / "2.json").write_text('{"ttl": 10,\n "data')
+    assert rows(stations.flatten_feed(files.status_feed(spark, str(tmp_path))), "station_id") == [("1",)]
+    bad = files.corrupt_snapshots(spark, str(tmp_path), schemas.STATUS_FEED)
+    assert rows(bad) == [('{"ttl": 10,\n "data',)]
+
+
 def test_turnover_messages_of_a_stream(spark, rows, feed, tmp_path):
     info = spark.createDataFrame([("hot", 30), ("c", 0)], "station_id string, capacity int")
-    stream = topics.topic_files(spark, feed, stream=True, max_files=2)
-    got = _run(spark, bikeshare.turnover_updates(stream, info), tmp_path, "update")
+    stream = stations.decode_status(topics.topic_files(spark, feed, stream=True, max_files=2))
+    got = _fold(spark, stream, tmp_path, lambda state, write: bikeshare.turnover_updates(state, lambda: info, write))
     changelog = stations.net_delta_changelog(stations.decode_status(topics.topic_files(spark, feed)))
     want = stations.turnover_lines(stations.turnover_ratio(changelog, info))
     assert rows(got, "key", "value") == rows(want, "key", "value")
@@ -180,9 +237,9 @@ def test_countdown_messages_of_a_stream(spark, rows, tmp_path):
     schema = "key string, value string, timestamp timestamp, offset bigint"
     spark.createDataFrame(data, schema).coalesce(1).write.parquet(path)
     stops = spark.createDataFrame([("101", "Elm")], "stop_id string, stop_name string")
-    now = F.lit(100)
-    got = _run(spark, train_plan.countdown_updates(
-        topics.topic_files(spark, path, stream=True), stops, now), tmp_path, "update")
-    want = train_plan.countdown(topics.topic_files(spark, path), stops, now)
+    stream = train_plan.arrivals(topics.topic_files(spark, path, stream=True))
+    got = _fold(spark, stream, tmp_path, lambda state, write: train_plan.countdown_updates(
+        state, stops, lambda: F.lit(100), write))
+    want = train_plan.countdown(topics.topic_files(spark, path), stops, F.lit(100))
     assert rows(got, "seq", "message") == rows(want, "seq", "message")
     assert [r[0] for r in rows(want, "seq")] == [0, 1, 3]

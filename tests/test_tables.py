@@ -3,7 +3,7 @@ import random
 import pytest
 
 from feedloom.operators import tables
-from feedloom.operators.skew import SkewPolicy, hot_keys, with_slices
+from feedloom.operators.skew import hot_keys, with_slices
 
 
 def test_latest_per_key(spark, rows):
@@ -14,8 +14,8 @@ def test_latest_per_key(spark, rows):
     assert rows(gone) == [("b", 50)]
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(hot_rows=5, slice_rows=7)])
-def test_asof_equals_brute_force(spark, rows, policy):
+@pytest.mark.parametrize("slices", [None, 1, 7])
+def test_asof_equals_brute_force(spark, rows, slices):
     rng = random.Random(3)
     facts, versions, current, want = [], [], {}, []
     for seq in range(400):
@@ -27,24 +27,27 @@ def test_asof_equals_brute_force(spark, rows, policy):
         if rng.random() < 0.8:
             facts.append((key, seq, seq * 2))
             want.append((key, seq, seq * 2, current.get(key)))
+    f = spark.createDataFrame(facts, "k string, seq bigint, x int")
+    hot = hot_keys(f, ["k"], "seq", hot_rows=5, slices=slices) if slices else None
     got = tables.asof_lookup(
-        spark.createDataFrame(facts, "k string, seq bigint, x int"),
-        spark.createDataFrame(versions, "k string, seq bigint, v int"), "k", "seq", ["v"], policy)
+        f, spark.createDataFrame(versions, "k string, seq bigint, v int"), "k", "seq", ["v"], hot)
     assert got.columns == ["k", "seq", "x", "v"]
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_slices_bound_the_rows_of_a_hot_key(spark):
-    df = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) k", "id seq")
-    policy = SkewPolicy(hot_rows=50, slice_rows=60)
-    assert [r["k"] for r in hot_keys(df, ["k"], policy).collect()] == ["hot"]
-    sliced = with_slices(df, ["k"], "seq", policy)
-    assert sliced.groupBy("k", "_slice").count().agg({"count": "max"}).first()[0] <= 60
+@pytest.mark.parametrize("step", [1, 1_000_003])
+def test_slices_share_the_rows_of_a_hot_key(spark, step):
+    """However far apart its arrival numbers lie."""
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) k", f"id * {step} seq")
+    hot = hot_keys(df, ["k"], "seq", hot_rows=50, slices=8)
+    assert [r["k"] for r in hot.collect()] == ["hot"]
+    sliced = with_slices(df, ["k"], "seq", hot)
+    sizes = [r["count"] for r in sliced.where("_hot").groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 334 / 8 * 1.3
     assert sliced.where("not _hot and _slice <> 0").count() == 0
 
 
 def test_only_the_largest_keys_are_listed(spark):
     df = spark.range(60).selectExpr("case when id < 30 then 'a' when id < 50 then 'b' else 'c' end k",
                                     "id seq")
-    policy = SkewPolicy(hot_rows=5, slice_rows=5, max_hot=2)
-    assert sorted(r["k"] for r in hot_keys(df, ["k"], policy).collect()) == ["a", "b"]
+    assert sorted(r["k"] for r in hot_keys(df, ["k"], "seq", hot_rows=5, slices=3, max_hot=2).collect()) == ["a", "b"]

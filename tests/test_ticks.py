@@ -38,6 +38,19 @@ def test_ticks_may_arrive_as_bytes(spark, rows):
     assert rows(ticks.parse_ticks(df, "goog")) == [("goog", at("2018-06-01"), 5.5)]
 
 
+def test_dates_need_no_padding_and_bad_ones_are_reported(spark, rows):
+    df = spark.createDataFrame([("2018/1/2,5.5",), ("2018/06/01,6",), ("soon,7",), ("date,x",)], "value string")
+    assert rows(ticks.parse_ticks(df, "goog"), "trade_date", "price") == [
+        (None, 7.0), (at("2018-01-02"), 5.5), (at("2018-06-01"), 6.0)]
+    assert rows(ticks.undated_lines(df)) == [("soon,7",)]
+
+
+def test_many_pairs_make_no_larger_plan(spark):
+    names = [f"t{i:03d}" for i in range(250)]
+    df = prices(spark, [(names[0], "2018-06-01", 1.0)])
+    assert ticks.pair_fanout(df, ticks.pairs_of(names)).count() == 249
+
+
 def test_fanout(spark, rows):
     df = prices(spark, [("aapl", "2018-06-01", 1.0), ("msft", "2018-06-01", 2.0)])
     assert rows(ticks.pair_fanout(df, PAIRS), "t1", "t2", "price") == [

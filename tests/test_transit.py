@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from conftest import at
 from feedloom import schemas
 from feedloom.functions import times, trains
-from feedloom.operators import alerts, transit
-from feedloom.operators.skew import SkewPolicy
+from feedloom.operators import alerts, skew, transit
 from feedloom.plans import trains as train_plan
 from feedloom.sources import files
 
@@ -65,8 +64,8 @@ def test_next_arrival_and_countdown(spark, rows):
                 "total_minutes") == [("N", 7400, 1, 121), ("S", 100, 0, 0)]
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(hot_rows=10, slice_rows=9)])
-def test_improvements_equal_brute_force(spark, rows, policy):
+@pytest.mark.parametrize("slices", [None, 9])
+def test_improvements_equal_brute_force(spark, rows, slices):
     rng = random.Random(1)
     data, best, want = [], {}, []
     for seq in range(500):
@@ -76,7 +75,9 @@ def test_improvements_equal_brute_force(spark, rows, policy):
         if arrival >= 1000 and arrival < best.get(key, 10 ** 9):
             best[key] = arrival
             want.append((seq, *key, arrival))
-    got = transit.arrival_improvements(arrivals(spark, data), F.lit(1000), policy)
+    df = arrivals(spark, data)
+    hot = skew.hot_keys(df, transit.TRACK, "seq", hot_rows=10, slices=slices) if slices else None
+    got = transit.arrival_improvements(df, F.lit(1000), hot)
     assert rows(got) == sorted(want, key=repr)
 
 
@@ -100,20 +101,41 @@ def test_feed_merge(spark, rows):
     assert rows(transit.feed_merge(df), "id", "arrival") == [("a", 20), ("c", 7)]
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(hot_rows=3, slice_rows=2)])
-def test_delay_propagation(spark, rows, policy):
-    plan = {1: None, 2: None, 3: ("SCHEDULED", 300), 4: None, 5: ("SKIPPED", None), 6: None,
-            8: ("SCHEDULED", 60), 9: None, 10: ("NO_DATA", None), 11: None}
-    data = [("t", s, s * 1000, *(u or (None, None)), 30) for s, u in plan.items()]
-    data += [("quiet", s, s * 1000, None, None, None) for s in (1, 2)]
-    df = spark.createDataFrame(
-        data, "trip_id string, stop_sequence bigint, sched bigint, relationship string, "
-              "delay bigint, trip_delay bigint")
-    got = dict(rows(transit.delay_propagation(df, policy).where("trip_id = 't'"),
-                    "stop_sequence", "effective_delay"))
-    assert got == {1: 30, 2: 30, 3: 300, 4: 300, 5: 300, 6: 300, 8: 60, 9: 60, 10: None, 11: None}
-    assert transit.delay_propagation(df, policy).where(
-        "trip_id = 'quiet' and expected is not null").count() == 0
+@pytest.mark.parametrize("last, want", [("DIFFERENTIAL", [("a", 30), ("b", 5)]), ("FULL_DATASET", [("a", 30)]),
+                                        (None, [("a", 30)])])
+def test_a_full_snapshot_replaces_what_it_does_not_name(spark, rows, last, want):
+    df = spark.createDataFrame([("a", 1, False, 10, "FULL_DATASET"), ("b", 1, False, 5, "FULL_DATASET"),
+                                ("a", 2, False, 30, last)],
+                               "id string, seq bigint, is_deleted boolean, arrival bigint, incrementality string")
+    assert rows(transit.feed_merge(df), "id", "arrival") == want
+
+
+PLAN = "trip_id string, stop_sequence bigint, sched bigint, relationship string, delay bigint, time bigint, trip_delay bigint"
+
+
+def _delays(spark, rows, plan, trip_delay=30):
+    """{stop: (relationship, delay, time)} -> {stop: delay in force}"""
+    data = [("t", s, s * 1000, *(u or (None, None, None)), trip_delay) for s, u in plan.items()]
+    return dict(rows(transit.delay_propagation(spark.createDataFrame(data, PLAN)), "stop_sequence", "effective_delay"))
+
+
+def test_delay_propagation(spark, rows):
+    plan = {1: None, 2: None, 3: ("SCHEDULED", 300, None), 4: None, 5: ("SKIPPED", None, None), 6: None,
+            8: ("SCHEDULED", 60, None), 9: None, 10: ("NO_DATA", None, None), 11: None}
+    assert _delays(spark, rows, plan) == {
+        1: 30, 2: 30, 3: 300, 4: 300, 5: 300, 6: 300, 8: 60, 9: 60, 10: None, 11: None}
+    assert set(_delays(spark, rows, {1: None, 2: None}, None).values()) == {None}
+
+
+def test_a_time_sets_the_delay_and_wins_over_one(spark, rows):
+    plan = {1: ("SCHEDULED", None, 1070), 2: None, 3: ("SCHEDULED", 5, 3009), 4: None}
+    assert _delays(spark, rows, plan) == {1: 70, 2: 70, 3: 9, 4: 9}
+
+
+def test_the_trip_delay_lasts_until_a_delay_is_given(spark, rows):
+    plan = {1: ("SCHEDULED", None, None), 2: ("NO_DATA", None, None), 3: None, 4: ("SCHEDULED", 60, None),
+            5: ("SCHEDULED", None, None), 6: None}
+    assert _delays(spark, rows, plan) == {1: 30, 2: 30, 3: 30, 4: 60, 5: None, 6: None}
 
 
 def test_effective_arrival(spark, rows):
@@ -176,11 +198,33 @@ def test_alert_selectors_need_every_given_specifier(spark, rows):
     a = spark.createDataFrame([(1, "A", None, None), (2, None, "s1", None), (3, "A", "s1", None),
                                (4, "A", "s2", None), (5, None, None, None), (6, "A", "s1", "bus")],
                               "id bigint, route_id string, stop_id string, kind string")
-    t = spark.createDataFrame([("A", "s1", "rail"), ("B", "s1", "rail"), ("C", "s9", "rail")],
+    t = spark.createDataFrame([("A", "s1", "rail"), ("B", "s1", "rail"), ("C", "s9", "rail"), (None, "s1", None)],
                               "route_id string, stop_id string, kind string")
     got = alerts.alert_targets(a, t, ["route_id", "stop_id", "kind"])
-    assert rows(got, "route_id", "alerts", "last_id") == [("A", 3, 3), ("B", 1, 2)]
-    assert "CartesianProduct" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got, "route_id", "alerts", "last_id") == [("A", 3, 3), ("B", 1, 2), (None, 1, 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_an_alert_with_several_selectors_counts_once(spark, rows):
+    feed = [("1", [("A", None), (None, "101")]), ("2", [("A", None), ("A", None)]), ("3", [("B", "101"), ("A", "102")])]
+    entities = spark.createDataFrame(
+        [(i, ([(None, r, None, None, s) for r, s in chosen],)) for i, chosen in feed],
+        "id string, alert struct<informedEntity:array<struct<agencyId:string,routeId:string,routeType:int,"
+        "trip:struct<tripId:string>,stopId:string>>>")
+    a = alerts.informed_entities(entities)
+    t = spark.createDataFrame([("A", "101"), ("A", "102"), ("B", "101"), ("C", "9")], "route_id string, stop_id string")
+    assert rows(alerts.alert_targets(a, t, ["route_id", "stop_id"]), "route_id", "stop_id", "alerts", "last_id") == [
+        ("A", "101", 2, "2"), ("A", "102", 3, "3"), ("B", "101", 2, "3")]
+
+
+def test_messages_that_are_no_snapshot_are_set_aside(spark, rows):
+    sent = spark.createDataFrame([(1, '{"header": {}, "entity": [{"id": "x"}]}'), (2, "{broken"), (3, None)],
+                                 "seq int, value string")
+    assert rows(transit.feed_entities(transit.decode_feed(sent)), "seq", "id") == [(1, "x")]
+    assert rows(transit.malformed_feed(sent)) == [(2, "{broken"), (3, None)]
+    updates = topic(spark, [update(), "{broken", ""])
+    assert rows(transit.malformed_trip_updates(updates), "offset", "value") == [(1, "{broken")]
 
 
 def test_translations(spark, rows):
