@@ -70,7 +70,7 @@ def load_on_notification(write: writers.BatchWriter, bad: writers.BatchWriter |
         records = announced_records(notices)
         if bad is not None:
             bad(files.corrupt(records), batch_id)
-        elif files.corrupt(records).first() is not None:
+        elif not files.corrupt(records).isEmpty():
             raise ValueError("an announced object holds records that cannot be read")
         write(landing.project_posts(files.good(records)), batch_id)
     return run

@@ -28,18 +28,23 @@ def json_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
             .options(**options).json(path))
 
 
+def _with_field(records: DataFrame):
+    """True for every row, but not without reading a field of the records: Spark
+    refuses queries that need nothing but the text of bad ones, such as counts."""
+    field = next(f for f in records.columns if f not in (quality.CORRUPT, landing.RUN))
+    return F.hash(field) >= F.lit(-2 ** 31)
+
+
 def good(records: DataFrame) -> DataFrame:
     """The records that could be read."""
-    return records.where(F.col(quality.CORRUPT).isNull()).drop(quality.CORRUPT)
+    return records.where(F.col(quality.CORRUPT).isNull() & _with_field(records)).drop(quality.CORRUPT)
 
 
 def corrupt(records: DataFrame) -> DataFrame:
-    """The records that could not: their text, next to the partition columns."""
+    """The records that could not: their text, next to the run that names their directory."""
     kept = [f for f in (landing.RUN,) if f in records.columns]
-    # Spark reads the text of a bad record only together with a field of its schema.
-    field = next(f for f in records.columns if f not in (quality.CORRUPT, landing.RUN))
-    text = F.coalesce(F.col(quality.CORRUPT), F.col(field).cast("string"))
-    return records.where(F.col(quality.CORRUPT).isNotNull()).select(*kept, text.alias("value"))
+    return records.where(F.col(quality.CORRUPT).isNotNull() & _with_field(records)).select(
+        *kept, F.col(quality.CORRUPT).alias("value"))
 
 
 def json_documents(spark: SparkSession, path: str | list[str], schema: T.StructType,

@@ -114,6 +114,8 @@ def test_broken_lines_are_set_aside(spark, rows, tmp_path):
     path = str(tmp_path / "landing")
     assert rows(files.posts(spark, path, multi_line=False), "id", "ingest_ts") == [(1, "1")]
     assert rows(files.corrupt_posts(spark, path, multi_line=False)) == [("1", "{broken")]
+    assert files.posts(spark, path, multi_line=False).count() == 1
+    assert files.corrupt_posts(spark, path, multi_line=False).count() == 1
 
 
 def test_json_array_snapshots_as_table_and_stream(spark, rows, tmp_path):
