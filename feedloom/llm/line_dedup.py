@@ -54,16 +54,19 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> D
 
 def widespread(lines: DataFrame, min_sites: int) -> DataFrame:
     """The hashes of the lines on at least ``min_sites`` distinct sites."""
-    estimates = lines.groupBy(*LINE).agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LG_K))).alias("_sites"))
     margin = max(1.0, SIGMAS * 1.04 / 2 ** (LG_K / 2) * min_sites)
-    sure = estimates.where(F.col("_sites") > min_sites + margin).select(*LINE)
-    near = estimates.where(F.abs(F.col("_sites") - min_sites) <= margin).select(*LINE)
-    counted = (lines.join(near, list(LINE), "left_semi")
-               .groupBy(*LINE, "_site").agg(F.lit(1).alias("_one"))
+    # Few lines are on many sites; a table of them keeps later joins apart from this shuffle.
+    spread = written(lines.groupBy(*LINE).agg(
+        F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LG_K))).alias("_sites")).where(
+        F.col("_sites") >= min_sites - margin), "spread")
+    sure = spread.where(F.col("_sites") > min_sites + margin).select(*LINE)
+    near = spread.where(F.col("_sites") <= min_sites + margin).select(*LINE)
+    # One row for each line and site before the join, so no line is frequent in it.
+    counted = (lines.groupBy(*LINE, "_site").agg(F.lit(1).alias("_one"))
+               .join(near, list(LINE), "left_semi")
                .groupBy(*LINE).agg(F.count("_one").alias("_sites"))
                .where(F.col("_sites") >= min_sites).select(*LINE))
-    return sure.union(counted)
+    return written(sure.union(counted), "boilerplate")
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
