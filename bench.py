@@ -19,7 +19,9 @@ HEADLINE = [
     "feed_entities", "stop_times", "next_arrival", "arrival_improvements", "arrival_message",
     "delay_propagation", "trip_completed", "cancelled_trips", "alert_targets", "active_alerts",
     "kv_upsert", "route_posts", "manifest_load", "log_partitions", "index_documents",
-    "word_stream", "message_history", "stream_low_availability", "stream_next_arrival",
+    "word_stream", "message_history", "plan_turnover", "plan_countdown",
+    "stream_low_availability", "stream_next_arrival", "stream_net_delta", "stream_net_delta_changelog",
+    "stream_arrival_improvements", "stream_top_turnover",
 ]
 
 

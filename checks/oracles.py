@@ -331,6 +331,7 @@ ORACLES = {
         from (select *, string_split(text, ' ') words from conversations) m, range(1, len(words) + 1) r(i)""",
     "message_history": """
         select conv_id, turn // 1000 page, count(*) messages,
+          (sum(count(*)) over (partition by conv_id))::bigint total,
           string_agg(text, chr(10) order by turn) history from conversations group by 1, 2""",
     "message_acks": """select conv_id, count(*) messages, 'Copy!' reply
         from conversations group by 1""",

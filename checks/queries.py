@@ -508,7 +508,7 @@ def word_stream(spark, sf):
 
 @query
 def message_history(spark, sf):
-    return messages.message_history(b.messages(spark, sf)).withColumn(
+    return messages.message_history(b.messages(spark, sf), page=1000).withColumn(
         "history", F.array_join("history", "\n"))
 
 

@@ -6,11 +6,11 @@ conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Fixed value: the reply to a stream of messages.
 ACKNOWLEDGEMENT = "Copy!"
-PAGE = 1000
 
 
 def word_stream(messages: DataFrame, text: str = "text") -> DataFrame:
@@ -19,17 +19,18 @@ def word_stream(messages: DataFrame, text: str = "text") -> DataFrame:
     return messages.select(*kept, F.posexplode(F.split(text, " ")).alias("position", "word"))
 
 
-def message_history(messages: DataFrame, page: int = PAGE) -> DataFrame:
-    """The messages of each conversation in arrival order, in pages.
+def message_history(messages: DataFrame, page: int) -> DataFrame:
+    """The messages of each conversation in arrival order, in pages of ``page`` turns.
 
-    A page covers ``page`` turns, which bounds the list however long the
-    conversation is.
+    A page bounds the list however long the conversation is; ``total`` counts
+    the messages of all its pages.
     """
     entry = F.struct("turn", "text")
-    return (messages.groupBy("conv_id", F.expr(f"turn div {page}").alias("page"))
-            .agg(F.sort_array(F.collect_list(entry)).alias("_m"))
-            .select("conv_id", "page", F.size("_m").cast("bigint").alias("messages"),
-                    F.col("_m.text").alias("history")))
+    pages = (messages.groupBy("conv_id", F.expr(f"turn div {page}").alias("page"))
+             .agg(F.sort_array(F.collect_list(entry)).alias("_m"))
+             .select("conv_id", "page", F.size("_m").cast("bigint").alias("messages"),
+                     F.col("_m.text").alias("history")))
+    return pages.withColumn("total", F.sum("messages").over(Window.partitionBy("conv_id")))
 
 
 def acknowledgements(messages: DataFrame, reply: str = ACKNOWLEDGEMENT) -> DataFrame:

@@ -24,8 +24,8 @@ def test_words_are_a_single_space_split(spark, texts):
 
 def test_history_in_turn_order_by_page(spark, rows):
     df = conversation(spark, *[(1, i, f"m{i}") for i in (3, 1, 0, 2, 4)], (2, 0, "x"))
-    assert rows(messages.message_history(df, page=2), "conv_id", "page", "history") == [
-        (1, 0, ["m0", "m1"]), (1, 1, ["m2", "m3"]), (1, 2, ["m4"]), (2, 0, ["x"])]
+    assert rows(messages.message_history(df, page=2), "conv_id", "page", "total", "history") == [
+        (1, 0, 5, ["m0", "m1"]), (1, 1, 5, ["m2", "m3"]), (1, 2, 5, ["m4"]), (2, 0, 1, ["x"])]
 
 
 def test_one_acknowledgement_per_stream_then_words(spark, rows):
