@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.session import shared_dir
 
@@ -31,6 +36,33 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once per application.
+
+    The archive is code, made where the driver runs; Spark copies it to each executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in every worker."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch: pa.RecordBatch, texts: str | None = None, rows: int = 512,
            size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Short pieces of a batch, of at most ``size`` bytes in the column ``texts``
@@ -54,3 +86,9 @@ def with_columns(batch: pa.RecordBatch, without: list[str], made: dict[str, pa.A
     """A batch without some of its columns and with the new ones at its end."""
     kept = [n for n in batch.schema.names if n not in without]
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], *made.values()], [*kept, *made])
+
+
+def give_back() -> None:
+    """Return a finished task's memory: its Python worker stays for other tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import decoded_texts, slices, with_columns
+from feedloom.llm.common import decoded_texts, map_batches, slices, with_columns
 
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 BLOCK_BYTES = 16 << 20
@@ -205,5 +205,5 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
     schema = T.StructType([*fields, text_field, T.StructField(hits_col, T.ArrayType(HIT))])
     for n, rows in enumerate(blocks(benchmark, item_col, item_text_col, block_bytes)):
         name = f"{docs.sparkSession.sparkContext.applicationId}-{id(rows)}-{n}-{hash(tuple(rows))}"
-        found = found.mapInArrow(scan(docs.sparkSession.sparkContext.broadcast((name, rows))), schema)
+        found = map_batches(found, scan(docs.sparkSession.sparkContext.broadcast((name, rows))), schema)
     return found.drop("_tiled_text")

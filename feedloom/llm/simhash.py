@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import slices, written
+from feedloom.llm.common import map_batches, slices, written
 from feedloom.llm.graph import components
 
 WORDS, SEED, BITS = 3, 42, 3
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                                                  ["doc_id", "fp"])
 
     kind = dict(source.dtypes)["doc_id"]
-    return source.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return map_batches(source, run, f"doc_id {kind}, fp bigint")
 
 
 def _byte(fp: Column, position: int) -> Column:
