@@ -48,12 +48,6 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def use_rocksdb(spark: SparkSession) -> SparkSession:
-    """Keyed state spills to disk and checkpoints its changes."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return spark
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory that every executor can reach.
 
