@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import decoded_texts, slices, with_columns
+from feedloom.llm.common import decoded_texts, free_name, map_batches, slices, with_columns
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces that a Python worker keeps with their ids, and the longest such piece.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 250_000
 KEPT_CHARS = 32
-TOKENS_AT_ONCE = 262_144
+TOKENS_AT_ONCE, TEXT_AT_ONCE = 262_144, 2 << 20
 
 
 def byte_characters() -> list[str]:
@@ -198,19 +198,20 @@ def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", off
     shared = shared_vocabulary(docs, ranks_path, pattern)
     names = [ids_col, *([f"{ids_col}_starts", f"{ids_col}_ends"] if offsets else [])]
     docs = docs.drop(*names)
-    source = docs.withColumn("_bpe_text", F.col(text_col).cast("string").cast("binary"))
+    raw = free_name("_bpe_text", docs.columns)
+    source = docs.withColumn(raw, F.col(text_col).cast("string").cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared, offsets)
         for batch in batches:
-            for part in slices(batch, "_bpe_text"):
-                ids, spans = coder.encode(decoded_texts(part.column("_bpe_text")))
+            for part in slices(batch, raw, size=TEXT_AT_ONCE):
+                ids, spans = coder.encode(decoded_texts(part.column(raw)))
                 made = [_lists(ids), *([_lists([s[:, k] for s in spans]) for k in (0, 1)] if offsets else [])]
-                yield with_columns(part, ["_bpe_text"], dict(zip(names, made)))
+                yield with_columns(part, [raw], dict(zip(names, made)))
 
     kind = T.ArrayType(T.IntegerType(), False)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, kind, False) for n in names]])
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def decode(tokens: DataFrame, *, ids_col: str = "ids", bytes_col: str = "decoded",
@@ -231,4 +232,4 @@ def decode(tokens: DataFrame, *, ids_col: str = "ids", bytes_col: str = "decoded
 
     fields = [T.StructField(bytes_col, T.BinaryType(), False)]
     fields += [T.StructField(text_col, T.StringType(), False)] if text_col else []
-    return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, *fields]))
+    return map_batches(tokens, run, T.StructType([*tokens.schema.fields, *fields]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -36,6 +37,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(base: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 _shipped: set[str] = set()
 
 
@@ -58,9 +67,17 @@ def ship_code(spark: SparkSession) -> None:
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in every worker."""
+    """``mapInArrow`` with this package at hand in every worker.
+
+    A Python worker serves many tasks and stages: what a task has held goes back
+    to the system when it ends.
+    """
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
     ship_code(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy, schema)
 
 
 def slices(batch: pa.RecordBatch, texts: str | None = None, rows: int = 512,
@@ -89,6 +106,9 @@ def with_columns(batch: pa.RecordBatch, without: list[str], made: dict[str, pa.A
 
 
 def give_back() -> None:
-    """Return a finished task's memory: its Python worker stays for other tasks and stages."""
+    """Return freed memory to the system, as far as the allocators can."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
