@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import decoded_texts, map_batches, slices, with_columns
+from feedloom.llm.common import decoded_texts, free_name, map_batches, slices, with_columns
 
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 BLOCK_BYTES = 16 << 20
@@ -100,6 +100,8 @@ class Items:
         self.ids = [i for i, _ in items]
         self.number = {w: n for n, w in enumerate(dict.fromkeys(chain.from_iterable(split)))}
         self.words = [np.array([self.number[w] for w in ws], np.int64) for ws in split]
+        lengths = np.array([len(ws) for ws in self.words], np.int64)
+        self.flat, self.offset = np.concatenate([*self.words, np.empty(0, np.int64)]), np.cumsum(lengths) - lengths
         hashes = [rolling(ws, min_match) for ws in self.words]
         flat = np.concatenate([*hashes, np.empty(0, np.uint64)])
         order = np.argsort(flat, kind="stable")
@@ -126,8 +128,10 @@ class Items:
         doc = np.repeat(at, count)
         entry = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         item, pos = self.item[entry], self.at[entry]
-        same = np.array([np.array_equal(ids[d:d + self.min_match], self.words[i][p:p + self.min_match])
-                         for d, i, p in zip(doc, item, pos)], bool)
+        place = self.offset[item] + pos
+        same = np.ones(len(doc), bool)
+        for k in range(self.min_match):
+            same &= ids[doc + k] == self.flat[place + k]
         return np.stack([item, doc - pos, doc], axis=1)[same]
 
     def hits(self, text: str, min_coverage: float) -> list[dict]:
@@ -187,18 +191,19 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
     """The ``keep`` columns of ``docs`` (all, if not given) with the items each row contains."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c != hits_col]
     fields = [f for f in docs.schema.fields if f.name in keep]
-    found = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias("_tiled_text"),
+    raw = free_name("_tiled_text", keep)
+    found = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias(raw),
                         F.array().cast(T.ArrayType(HIT)).alias(hits_col))
-    text_field = T.StructField("_tiled_text", T.BinaryType())
+    text_field = T.StructField(raw, T.BinaryType())
 
     def scan(shared: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = _block(shared, min_match)
             for batch in batches:
-                for part in slices(batch, "_tiled_text"):
+                for part in slices(batch, raw):
                     before = part.column(hits_col).to_pylist()
                     hits = [b + items.hits(t, min_coverage)
-                            for b, t in zip(before, decoded_texts(part.column("_tiled_text")))]
+                            for b, t in zip(before, decoded_texts(part.column(raw)))]
                     yield with_columns(part, [hits_col], {hits_col: pa.array(hits, _HITS)})
         return run
 
@@ -206,4 +211,4 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
     for n, rows in enumerate(blocks(benchmark, item_col, item_text_col, block_bytes)):
         name = f"{docs.sparkSession.sparkContext.applicationId}-{id(rows)}-{n}-{hash(tuple(rows))}"
         found = map_batches(found, scan(docs.sparkSession.sparkContext.broadcast((name, rows))), schema)
-    return found.drop("_tiled_text")
+    return found.drop(raw)

@@ -35,10 +35,6 @@ def _hashes(names: tuple[str, str], *columns: Column | str) -> list[Column]:
     return [F.xxhash64(*columns).alias(names[0]), F.hash(*columns).alias(names[1])]
 
 
-def _lines(text: str) -> Column:
-    return F.split(F.col(text), "\n", -1)
-
-
 def _bare(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
@@ -47,7 +43,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> D
     """A narrow row for each non-blank line: its row's and its own hashes, place and site."""
     exploded = docs.select(*_hashes(ROW, id_col, text_col),
                            F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("_site"),
-                           F.posexplode(_lines(text_col)).alias("_pos", "_line"))
+                           F.posexplode(F.split(text_col, "\n", -1)).alias("_pos", "_line"))
     bare = exploded.select(*ROW, "_site", "_pos", _bare(F.col("_line")).alias("_line")).where("_line <> ''")
     return bare.select(*ROW, "_site", "_pos", *_hashes(LINE, "_line"))
 
@@ -77,15 +73,16 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     boilerplate = widespread(lines, min_sites)
     marked = lines.join(boilerplate, list(LINE)).groupBy(*ROW).agg(
         F.sort_array(F.collect_set("_pos")).alias("_marks"))
-    cut = docs.select("*", *_hashes(ROW, id_col, text_col)).join(marked, list(ROW), "left")
-    parts = _lines(text_col)
+    # The document travels as one struct: its names cannot clash with those of this join.
+    cut = docs.select(F.struct(*docs.columns).alias("_doc"), *_hashes(ROW, id_col, text_col)).join(
+        marked, list(ROW), "left")
+    old = F.col(f"_doc.{text_col}")
+    parts = F.split(old, "\n", -1)
     n_content = F.size(F.filter(parts, lambda x: _bare(x) != ""))
     removes = F.col("_marks").isNotNull() & (F.size("_marks") < n_content)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_marks"))
-    text = F.when(removes, F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
-                  ).otherwise(F.col(text_col))
-    columns = [c for c in docs.columns if c not in added]
+    text = F.when(removes, F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")).otherwise(old)
     return cut.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in columns],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).alias(added[0]),
+        *[(text if c == text_col else F.col(f"_doc.{c}")).alias(c) for c in docs.columns if c not in added],
+        F.when(old.isNull(), 0).otherwise(F.size(parts)).alias(added[0]),
         F.when(removes, F.size("_marks")).otherwise(0).alias(added[1]))

@@ -28,9 +28,10 @@ def plain(rows, min_sites):
 
 
 def deduped(spark, rows, min_sites):
-    df = spark.createDataFrame(rows, DOCS).withColumn("_pos", F.lit("own")).withColumn("n_lines", F.lit(-1))
+    df = spark.createDataFrame(rows, DOCS).withColumn("_r1", F.lit("own")).withColumn("_marks", F.lit(0)).withColumn(
+        "n_lines", F.lit(-1))
     got = line_dedup.dedup_lines(df, min_sites=min_sites)
-    assert got.columns == ["doc_id", "text", "source", "_pos", "n_lines", "n_removed"]
+    assert got.columns == ["doc_id", "text", "source", "_r1", "_marks", "n_lines", "n_removed"]
     return sorted((tuple(r) for r in got.select("doc_id", "text", "n_lines", "n_removed").collect()), key=str)
 
 
