@@ -5,16 +5,17 @@ An unseen word scores the mean over its longest n-grams of which any is known
 (with a mark at both ends of the word), and backs off by one character until
 some are.  What a language has not seen costs a fixed penalty.  A text takes the
 language with the smallest mean score over its words; ``score`` is the softmax
-of the summed scores.
+of the summed scores, times the share of words of which anything is known.
 
 All counts cover every training text: words are counted in the tasks, summed by
 a shuffle on the word, and n-grams are counted from the summed words.  The model
-keeps the ``MAX_WORDS`` most frequent words and ``MAX_GRAMS`` n-grams, so its
-size has a bound for any corpus; the method backs off for all other words.
+keeps the most frequent words and n-grams, ``MAX_WORDS`` and ``MAX_GRAMS`` at
+most, so its size has a bound for any corpus; the method backs off for all
+other words.
 
 Defined cases: ``und`` with score 0 for a null text, for a text without letters,
 and where nothing could be learned; a text of which nothing is known takes the
-language with the most training words, at its share; ties go to the first
+language with the most training words, with score 0; ties go to the first
 language by name; rows without a language or text teach nothing; an empty
 table gives no rows; other columns stay, but for those named like the new ones.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +34,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import decoded_texts, slices, with_columns, written
+from feedloom.llm.common import decoded_texts, free_name, map_batches, slices, with_columns, written
 
 UNKNOWN = "und"
 LONGEST_GRAM = 4
 MAX_WORDS, MAX_GRAMS = 100_000, 100_000
 #: What a word or n-gram that a language has not seen costs, in the scores' unit.
 PENALTY = 7.0
-#: Distinct words that a task counts before it hands them on, and that a worker keeps scored.
-COUNTED_WORDS, SCORED_WORDS = 200_000, 200_000
+#: Distinct words that a task counts before it hands them on, whose n-grams a worker
+#: keeps in mind, and of a text that are scored together.
+COUNTED_WORDS, SCORED_WORDS, WORDS_AT_ONCE = 100_000, 100_000, 50_000
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -77,6 +80,7 @@ def _count(pairs: Iterator[tuple[str, list[str] | Iterator[str], int]]) -> Itera
             yield _counts(rows, _COUNTS)
             rows = {}
     yield _counts(rows, _COUNTS)
+    rows.clear()
 
 
 def word_counts(train: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -93,7 +97,7 @@ def word_counts(train: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                         yield lang, words_of(text), 1
         return _count(texts())
 
-    return source.mapInArrow(run, "lang string, token string, n bigint").groupBy("token", "lang").agg(
+    return map_batches(source, run, "lang string, token string, n bigint").groupBy("token", "lang").agg(
         F.sum("n").alias("n"))
 
 
@@ -108,15 +112,30 @@ def gram_counts(words: DataFrame, longest: int) -> DataFrame:
                         yield lang, grams_of(word, size), n
         return _count(grams())
 
-    return words.select("lang", "token", "n").mapInArrow(run, "lang string, token string, n bigint").groupBy(
+    return map_batches(words.select("lang", "token", "n"), run, "lang string, token string, n bigint").groupBy(
         "token", "lang").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, most: int) -> list:
-    """The ``most`` tokens with the highest totals, each with its counts by language."""
-    per_token = counts.groupBy("token").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    return per_token.orderBy(F.col("total").desc(), "token").limit(most).collect()
+    """The most frequent tokens, ``most`` of them at most, with their counts by language.
+
+    Totals fall into classes, sixteen to a doubling; as many whole classes are
+    taken from the top as fit.  So no task hands more to the driver than the
+    model holds, and tokens of one class are never told apart.
+    """
+    level = F.floor(F.log2(F.sum("n")) * 16).alias("level")
+    sizes = {r["level"]: r["count"] for r in counts.groupBy("token").agg(level).groupBy("level").count().collect()}
+    lowest, held = None, 0
+    for at in sorted(sizes, reverse=True):
+        held += sizes[at]
+        if held > most:
+            break
+        lowest = at
+    if lowest is None:
+        return []
+    return counts.groupBy("token").agg(
+        level, F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")).where(
+        F.col("level") >= lowest).orderBy("token").collect()
 
 
 class Model:
@@ -138,51 +157,62 @@ class Model:
 
         self.words, self.word_scores = scores(words, lambda lang, _: word_totals[lang])
         self.grams, self.gram_scores = scores(grams, lambda lang, n: gram_totals[lang, n])
-        self.kept: dict[str, np.ndarray | None] = {}
+        self.kept: dict[str, tuple[int, ...]] = {}
+
+    def gram_rows(self, word: str) -> tuple[int, ...]:
+        """The rows of the longest n-grams of a word of which any is known."""
+        rows = self.kept.get(word)
+        if rows is None:
+            for n in range(self.longest, 0, -1):
+                rows = tuple(r for g in grams_of(word, n) if (r := self.grams.get(g)) is not None)
+                if rows:
+                    break
+            else:
+                rows = ()
+            if len(self.kept) < SCORED_WORDS:
+                self.kept[word] = rows
+        return rows
 
     def score(self, word: str) -> np.ndarray | None:
         """The scores of a word by language; none if none of its n-grams is known."""
         row = self.words.get(word)
         if row is not None:
             return self.word_scores[row]
-        if word in self.kept:
-            return self.kept[word]
-        found = None
-        for n in range(self.longest, 0, -1):
-            rows = [r for g in grams_of(word, n) if (r := self.grams.get(g)) is not None]
-            if rows:
-                found = self.gram_scores[rows].mean(axis=0)
-                break
-        if len(self.kept) < SCORED_WORDS:
-            self.kept[word] = found
-        return found
+        rows = self.gram_rows(word)
+        return self.gram_scores[list(rows)].mean(axis=0) if rows else None
+
+    def _summed(self, words: dict[str, int]) -> tuple[np.ndarray, int]:
+        """The scores of all words, each as often as it occurs, and how many are known."""
+        rows, times, grams, gram_times = [], [], [], []
+        for word, n in words.items():
+            row = self.words.get(word)
+            if row is not None:
+                rows.append(row)
+                times.append(n)
+            elif found := self.gram_rows(word):
+                grams.append(found)
+                gram_times.append(n)
+        summed = np.array(times, float) @ self.word_scores[rows] if rows else np.zeros(len(self.langs))
+        if grams:
+            lengths = np.fromiter(map(len, grams), np.int64, len(grams))
+            flat = np.fromiter(chain.from_iterable(grams), np.int64)
+            sums = np.add.reduceat(self.gram_scores[flat], np.cumsum(lengths) - lengths, axis=0)
+            summed = summed + (np.array(gram_times, float) / lengths) @ sums
+        return summed, sum(times) + sum(gram_times)
 
     def predict(self, text: str) -> tuple[str, float]:
-        if not self.langs:
-            return UNKNOWN, 0.0
         counts = Counter(words_of(text))
-        if not counts:
+        if not self.langs or not counts:
             return UNKNOWN, 0.0
-        rows, times, summed, known = [], [], np.zeros(len(self.langs)), 0
-        get = self.words.get
-        for word, n in counts.items():
-            row = get(word)
-            if row is not None:
-                rows.append(row)
-                times.append(n)
-            elif (found := self.score(word)) is not None:
-                summed += n * found
-                known += n
-        if rows:
-            summed += np.array(times, float) @ self.word_scores[rows]
-            known += sum(times)
+        summed, known, items = np.zeros(len(self.langs)), 0, iter(counts.items())
+        while some := dict(islice(items, WORDS_AT_ONCE)):
+            part, n = self._summed(some)
+            summed, known = summed + part, known + n
         if not known:
-            share = self.totals / self.totals.sum()
-        else:
-            share = np.power(10.0, np.maximum(summed.min() - summed, -300.0))
-            share /= share.sum()
+            return self.langs[int(np.argmax(self.totals))], 0.0
+        share = np.power(10.0, np.maximum(summed.min() - summed, -300.0))
         best = int(np.argmax(share))
-        return self.langs[best], float(share[best])
+        return self.langs[best], float(share[best] / share.sum() * known / sum(counts.values()))
 
 
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST_GRAM,
@@ -203,19 +233,21 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_pred_
     """The ``keep`` columns of ``docs`` (all, if not given) with prediction and score."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in (lang_pred_col, score_col)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias("_lang_text"))
+    raw = free_name("_lang_text", keep)
+    source = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias(raw))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, "_lang_text"):
-                found = [model.predict(t) for t in decoded_texts(part.column("_lang_text"))]
-                yield with_columns(part, ["_lang_text"], {
+            for part in slices(batch, raw):
+                found = [model.predict(t) for t in decoded_texts(part.column(raw))]
+                yield with_columns(part, [raw], {
                     lang_pred_col: pa.array([f[0] for f in found], pa.string()),
                     score_col: pa.array([f[1] for f in found], pa.float64())})
+        model.kept.clear()
 
     fields = [f for f in docs.schema.fields if f.name in keep]
-    return source.mapInArrow(run, T.StructType([
+    return map_batches(source, run, T.StructType([
         *fields, T.StructField(lang_pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())]))
 
 

@@ -49,18 +49,28 @@ def test_words_come_first_then_shorter_grams(model):
     assert (model.score("tz") == model.gram_scores[model.grams[" t"]]).all()  # its longest known n-gram
     assert model.score("漢字") is None
     assert model.predict("there the")[0] == "en" and model.predict("chien")[0] == "fr"
+    assert model.predict("the 漢字")[1] == pytest.approx(model.predict("the")[1] / 2)
 
 
 def test_nulls_no_letters_unknown_scripts_and_long_texts(spark, model):
     texts = [None, "", "123 !? ½", "漢字", "the " * 100_000, "THE CAT", "THE CAT"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn(
-        "score", F.lit("own")).withColumn("lang", F.lit("zz"))
+        "score", F.lit("own")).withColumn("lang", F.lit("zz")).withColumn("_lang_text", F.lit(1))
     got = [tuple(r) for r in language_id.predict(df, model).orderBy("doc_id").select("lang_pred", "score").collect()]
     assert got[:3] == [("und", 0.0)] * 3
-    assert got[3][0] == "en" and 0 < got[3][1] < 1
+    assert got[3] == ("en", 0.0)
     assert [g[0] for g in got[4:]] == ["en"] * 3 and got[5] == got[6]
 
 
+def test_the_model_keeps_the_most_frequent_whole_classes(spark):
+    df = spark.createDataFrame([("en", w, n) for w, n in (("a", 8), ("b", 4), ("c", 4), ("d", 1))] + [("fr", "b", 4)],
+                               "lang string, token string, n long")
+    def kept(most):
+        return {r["token"]: r["by_lang"] for r in language_id.most_frequent(df, most)}
+    assert set(kept(9)) == {"a", "b", "c", "d"} and set(kept(3)) == {"a", "b", "c"}
+    assert kept(2) == {"a": {"en": 8}, "b": {"en": 4, "fr": 4}} and kept(1) == {}
+
+
 def test_nothing_to_learn_and_empty_table(spark):
     none = spark.createDataFrame([], DOCS)
     model = language_id.train(none)
