@@ -1,7 +1,7 @@
 """Content-addressed web archive.
 
 A write makes two tables in the shared folder: ``payloads`` holds each distinct
-payload once under its SHA-256 digest, ``records`` the exact header text of
+payload once under its SHA-256 digest with its smallest id, ``records`` the exact header text of
 every record.  A read parses the headers, recomputes the digest of every stored
 payload and joins both; a payload that is missing or does not match its digest
 fails the read.
@@ -61,16 +61,18 @@ def write(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: st
           min_bytes: int = MIN_BYTES) -> None:
     """Archive the pages below ``folder``.
 
-    Both aggregations combine before their shuffle, so a payload shared by very
+    The aggregation combines before its shuffle, so a payload shared by very
     many pages leaves each task once.
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    rows.groupBy("digest").agg(F.first("payload").alias("payload")).write.parquet(f"{folder}/payloads")
+    rows.groupBy("digest").agg(F.first("payload").alias("payload"), F.min("page_id").alias("first")
+                               ).write.parquet(f"{folder}/payloads")
 
     slim = rows.select("page_id", "url", "digest", F.octet_length("payload").alias("size"))
-    firsts = slim.groupBy("digest").agg(F.min("page_id").alias("first"))
+    # Read back, so that both sides of the join are scans: a digest of very many pages can be split.
+    firsts = pages.sparkSession.read.parquet(f"{folder}/payloads").select("digest", "first")
     revisit = ((F.col("size") >= min_bytes) & F.col("first").isNotNull()
                & ~F.col("page_id").eqNullSafe(F.col("first")))
     (slim.join(firsts, "digest")
