@@ -20,8 +20,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         sides = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = sides.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("_u"), F.least("u", "m").alias("m"))
+    # Stored, so that the join below can split the rows of a node with very many neighbours.
+    least = written(sides.groupBy("u").agg(F.min("v").alias("m")).select(
+        F.col("u").alias("_u"), F.least("u", "m").alias("m")), "least")
     joined = sides.join(least, F.col("u") == F.col("_u"))
     if large:
         linked = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

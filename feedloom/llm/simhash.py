@@ -141,8 +141,8 @@ def links(fps: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     sets = list(combinations(range(8), SHARED))
     posted = fps.select("fp", F.explode(F.array(*[
         _key(F.col("fp"), n, s) for n, s in enumerate(sets)])).alias("key"))
-    met = (posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-           .select(F.col("key").alias("_key"), "n"))
+    met = written(posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                  .select(F.col("key").alias("_key"), "n"), "keys")
     shared = written(posted.join(met, F.col("key") == F.col("_key")).select("key", "fp", "n"), "postings")
     few = shared.where(F.col("n") <= pair_limit)
     other = few.select(F.col("key").alias("_key"), F.col("fp").alias("v"))
