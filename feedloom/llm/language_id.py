@@ -23,6 +23,7 @@ table gives no rows; other columns stay, but for those named like the new ones.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -44,11 +45,23 @@ PENALTY = 7.0
 #: Distinct words that a task counts before it hands them on, whose n-grams a worker
 #: keeps in mind, and of a text that are scored together.
 COUNTED_WORDS, SCORED_WORDS, WORDS_AT_ONCE = 100_000, 100_000, 50_000
-LETTERS = regex.compile(r"\p{L}+")
+LETTERS, NEARLY_LETTERS = regex.compile(r"\p{L}+"), re.compile(r"[^\W\d_]+")
+BEYOND = re.compile(r"[^\x00-\u052f]")
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """The runs of letters in lower case.
+
+    The faster pattern knows the letters of European scripts as the other does,
+    but also takes numerals that are no decimal digits; a text that has some, or
+    a character beyond those scripts, takes the other.
+    """
+    text = text.lower()
+    if BEYOND.search(text) is None:
+        words = NEARLY_LETTERS.findall(text)
+        if not words or "".join(words).isalpha():
+            return words
+    return LETTERS.findall(text)
 
 
 def grams_of(word: str, n: int) -> Iterator[str]:

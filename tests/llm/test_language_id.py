@@ -3,6 +3,9 @@
 from collections import Counter
 
 import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from feedloom.llm import language_id, queries
@@ -17,6 +20,17 @@ def model(spark):
     return language_id.train(spark.createDataFrame(ROWS, DOCS))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aé½²Ⅷ٣1_ -ß")), max_size=30))
+def test_words_are_runs_of_letters(text):
+    assert language_id.words_of(text) == regex.findall(r"\p{L}+", text.lower())
+
+
+def test_both_patterns_agree_on_european_letters():
+    for c in map(chr, range(0x530)):
+        assert bool(language_id.NEARLY_LETTERS.match(c) and c.isalpha()) == bool(language_id.LETTERS.match(c))
+
+
 def test_held_out_accuracy(spark, sf):
     rows = queries.op2_language_id(spark, sf).collect()
     truth = {r["doc_id"]: (r["text"], r["lang"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
