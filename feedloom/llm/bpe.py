@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import decoded_texts, free_name, map_batches, slices, with_columns
+from feedloom.llm.common import decoded_texts, free_name, held, map_batches, slices, with_columns
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces that a Python worker keeps with their ids, and the longest such piece.
@@ -156,16 +156,10 @@ class Coder:
         return b"".join(out)
 
 
-_coders: dict[tuple[str, bool], Coder] = {}
-
-
 def _coder(shared: Broadcast, offsets: bool) -> Coder:
     """The worker's coder for a vocabulary; a worker serves many tasks."""
     name, *parts = shared.value
-    if (name, offsets) not in _coders:
-        _coders.clear()
-        _coders[name, offsets] = Coder(*parts, offsets)
-    return _coders[name, offsets]
+    return held((__name__, name, offsets), lambda: Coder(*parts, offsets))
 
 
 def shared_vocabulary(docs: DataFrame, ranks_path: str | None, pattern: str | None) -> Broadcast:
@@ -192,12 +186,16 @@ def _decoded(coder: Coder, lists: pa.ListArray) -> list[bytes]:
 
 
 def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", offsets: bool = True,
-           ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+           decoded_col: str | None = None, ranks_path: str | None = None,
+           pattern: str | None = None) -> DataFrame:
     """``docs`` with ``ids``, and with ``ids_starts`` and ``ids_ends`` if asked for:
-    the code points from start to end (exclusive) that each token touches."""
+    the code points from start to end (exclusive) that each token touches.
+
+    ``decoded_col`` adds what :func:`decode` makes of the ids, in the same worker.
+    """
     shared = shared_vocabulary(docs, ranks_path, pattern)
     names = [ids_col, *([f"{ids_col}_starts", f"{ids_col}_ends"] if offsets else [])]
-    docs = docs.drop(*names)
+    docs = docs.drop(*names, *([decoded_col] if decoded_col else []))
     raw = free_name("_bpe_text", docs.columns)
     source = docs.withColumn(raw, F.col(text_col).cast("string").cast("binary"))
 
@@ -207,10 +205,14 @@ def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", off
             for part in slices(batch, raw, size=TEXT_AT_ONCE):
                 ids, spans = coder.encode(decoded_texts(part.column(raw)))
                 made = [_lists(ids), *([_lists([s[:, k] for s in spans]) for k in (0, 1)] if offsets else [])]
-                yield with_columns(part, [raw], dict(zip(names, made)))
+                new = dict(zip(names, made))
+                if decoded_col:
+                    new[decoded_col] = pa.array(_decoded(coder, made[0]), pa.binary())
+                yield with_columns(part, [raw], new)
 
     kind = T.ArrayType(T.IntegerType(), False)
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, kind, False) for n in names]])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, kind, False) for n in names],
+                           *([T.StructField(decoded_col, T.BinaryType(), False)] if decoded_col else [])])
     return map_batches(source, run, schema)
 
 

@@ -65,14 +65,38 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """What a worker keeps from task to task: one object, made anew for another key.
+
+    ``key`` begins with the module that the object serves.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def release_others(module: str) -> None:
+    """Drop what the worker keeps for other modules."""
+    if any(key[0] != module for key in _held):
+        _held.clear()
+        give_back()
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with this package at hand in every worker.
 
     A Python worker serves many tasks and stages: what a task has held goes back
-    to the system when it ends.
+    to the system when it ends, what it keeps when another module's task begins.
     """
+    module = run.__module__
+
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(module)
         yield from run(batches)
         give_back()
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.llm.common import decoded_texts, free_name, map_batches, slices, with_columns
+from feedloom.llm.common import decoded_texts, free_name, held, map_batches, slices, with_columns
 
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 BLOCK_BYTES = 16 << 20
@@ -161,16 +161,10 @@ class Items:
         return out
 
 
-_items: dict[str, Items] = {}
-
-
 def _block(shared: Broadcast, min_match: int) -> Items:
     """The worker's index of a block, built once."""
     name, rows = shared.value
-    if (name, min_match) not in _items:
-        _items.clear()
-        _items[name, min_match] = Items(rows, min_match)
-    return _items[name, min_match]
+    return held((__name__, name, min_match), lambda: Items(rows, min_match))
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:

@@ -55,7 +55,7 @@ def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_digests(docs: DataFrame) -> DataFrame:
     """Encode, decode, and digest both."""
-    coded = bpe.decode(bpe.encode(docs, offsets=False).drop("text"))
+    coded = bpe.encode(docs, offsets=False, decoded_col="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

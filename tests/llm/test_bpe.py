@@ -64,6 +64,8 @@ def test_split_characters_specials_nulls_and_long_texts(spark, reference):
         assert r["ids"] == reference.encode_ordinary(text or "")
         assert bytes(r["decoded"]) == (text or "").encode() and r["back"] == (text or "") and r["own"] == "x"
         assert len(r["ids_starts"]) == len(r["ids_ends"]) == len(r["ids"])
+    both = bpe.encode(df, offsets=False, decoded_col="own").orderBy("doc_id").collect()
+    assert [bytes(r["own"]) for r in both] == [bytes(r["decoded"]) for r in rows]
     half = spark.createDataFrame([(reference.encode_ordinary("🙂")[:1],), (None,), ([],)], "ids array<int>")
     got = bpe.decode(half, text_col="back").collect()
     assert got[0]["back"] == "�" and bytes(got[0]["decoded"]) == "🙂".encode()[:len(got[0]["decoded"])]

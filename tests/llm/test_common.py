@@ -29,3 +29,14 @@ def test_texts_that_are_null_or_not_utf8():
 def test_written_tables_read_back(spark, rows):
     df = spark.range(5)
     assert rows(common.written(df, "test")) == rows(df)
+
+
+def test_a_worker_keeps_one_object_of_one_module():
+    made = []
+    for key in (("a", 1), ("a", 1), ("a", 2), ("b", 1)):
+        common.held(key, lambda key=key: made.append(key))
+    assert made == [("a", 1), ("a", 2), ("b", 1)] and list(common._held) == [("b", 1)]
+    common.release_others("b")
+    assert list(common._held) == [("b", 1)]
+    common.release_others("a")
+    assert not common._held
