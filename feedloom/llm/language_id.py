@@ -8,10 +8,12 @@ language with the smallest mean score over its words; ``score`` is the softmax
 of the summed scores, times the share of words of which anything is known.
 
 All counts cover every training text: words are counted in the tasks, summed by
-a shuffle on the word, and n-grams are counted from the summed words.  The model
-keeps the most frequent words and n-grams, ``MAX_WORDS`` and ``MAX_GRAMS`` at
-most, so its size has a bound for any corpus; the method backs off for all
-other words.
+a shuffle on the word, and n-grams are counted from the summed words.  All of
+them are scored by.  The model in the workers holds the most frequent words and
+n-grams, ``MAX_WORDS`` and ``MAX_GRAMS`` at most, so its size has a bound for any
+corpus.  Where there are more, the other words of the documents are joined with
+the stored counts, and those found nowhere with the counts of their n-grams;
+what is held changes the work, not the result.
 
 Defined cases: ``und`` with score 0 for a null text, for a text without letters,
 and where nothing could be learned; a text of which nothing is known takes the
@@ -170,7 +172,14 @@ class Model:
 
         self.words, self.word_scores = scores(words, lambda lang, _: word_totals[lang])
         self.grams, self.gram_scores = scores(grams, lambda lang, n: gram_totals[lang, n])
+        self.word_totals, self.gram_totals = word_totals, gram_totals
         self.kept: dict[str, tuple[int, ...]] = {}
+        #: The stored counts of words and n-grams, where the model does not hold all of them.
+        self.tables: tuple[DataFrame, DataFrame] | None = None
+
+    def __getstate__(self) -> dict:
+        """Workers do without the tables, which are the driver's."""
+        return {**self.__dict__, "tables": None}
 
     def gram_rows(self, word: str) -> tuple[int, ...]:
         """The rows of the longest n-grams of a word of which any is known."""
@@ -213,7 +222,23 @@ class Model:
             summed = summed + (np.array(gram_times, float) / lengths) @ sums
         return summed, sum(times) + sum(gram_times)
 
+    def held_part(self, text: str) -> tuple[np.ndarray, int, int, dict[str, int]]:
+        """Summed scores and number of the words that are held, number of all, and the other words."""
+        counts, rows, times, rest = Counter(words_of(text)), [], [], {}
+        for word, n in counts.items():
+            row = self.words.get(word)
+            if row is None:
+                rest[word] = n
+            else:
+                rows.append(row)
+                times.append(n)
+        summed = np.zeros(len(self.langs))
+        for at in range(0, len(rows), WORDS_AT_ONCE):
+            summed = summed + np.array(times[at:at + WORDS_AT_ONCE], float) @ self.word_scores[rows[at:at + WORDS_AT_ONCE]]
+        return summed, sum(times), sum(times) + sum(rest.values()), rest
+
     def predict(self, text: str) -> tuple[str, float]:
+        """Language and score by what is held, which is all where there are no ``tables``."""
         counts = Counter(words_of(text))
         if not self.langs or not counts:
             return UNKNOWN, 0.0
@@ -236,9 +261,94 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", lo
     word_totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     gram_totals = {(r["lang"], r["size"]): r["n"] for r in grams.groupBy(
         "lang", F.char_length("token").alias("size")).agg(F.sum("n").alias("n")).collect()}
-    return Model(sorted(word_totals), *({r["token"]: r["by_lang"] for r in most_frequent(c, most)}
-                                        for c, most in ((words, max_words), (grams, max_grams))),
-                 word_totals, gram_totals, longest)
+    held_tokens = [{r["token"]: r["by_lang"] for r in most_frequent(c, most)}
+                   for c, most in ((words, max_words), (grams, max_grams))]
+    model = Model(sorted(word_totals), *held_tokens, word_totals, gram_totals, longest)
+    if any(c.select("token").distinct().count() > len(h) for c, h in zip((words, grams), held_tokens)):
+        model.tables = words, grams
+    return model
+
+
+def _vectors(counts: DataFrame, needed: DataFrame, model: Model, grams: bool) -> DataFrame:
+    """(_token, s0, s1, ..): the scores by language of the ``needed`` tokens that were counted."""
+    def total(lang: str) -> Column:
+        if not grams:
+            return F.lit(float(model.word_totals[lang]))
+        sizes = [float(model.gram_totals.get((lang, n), 1)) for n in range(1, model.longest + 1)]
+        return F.get(F.array(*map(F.lit, sizes)), F.char_length("_token") - 1)
+
+    by_lang = counts.join(needed, "token", "left_semi").groupBy(F.col("token").alias("_token")).agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
+    # least passes over the null of a language that has not seen the token.
+    return by_lang.select("_token", *[
+        F.least(F.lit(PENALTY), -F.log10(F.try_element_at("by_lang", F.lit(lang)) / total(lang))).alias(f"s{i}")
+        for i, lang in enumerate(model.langs)])
+
+
+def _grams(word: Column, longest: int) -> Column:
+    """array<(size, gram)> as ``grams_of`` gives them."""
+    def of(n: int) -> Column:
+        marked = F.concat(F.lit(" "), word, F.lit(" ")) if n > 1 else word
+        places = F.sequence(F.lit(1), F.char_length(marked) - n + 1)
+        return F.when(F.char_length(marked) >= n, F.transform(places, lambda i: F.struct(
+            F.lit(n).alias("size"), F.substring(marked, i, F.lit(n)).alias("token")))).otherwise(F.array())
+    return F.flatten(F.array(*[of(n) for n in range(1, longest + 1)]))
+
+
+def scores_of(tokens: DataFrame, model: Model) -> DataFrame:
+    """(_token, s0, s1, ..) of a stored table of distinct words, by the stored counts;
+    words without a known n-gram have no row."""
+    words, grams = model.tables
+    names = [f"s{i}" for i in range(len(model.langs))]
+    seen = written(_vectors(words, tokens, model, False), "seen")
+    unseen = tokens.join(seen.select(F.col("_token").alias("token")), "token", "left_anti")
+    parts = written(unseen.select(F.col("token").alias("word"), F.inline(_grams(F.col("token"), model.longest))),
+                    "unseen")
+    found = _vectors(grams, parts.select("token").distinct(), model, True)
+    by_size = parts.join(found, F.col("token") == F.col("_token")).groupBy("word", "size").agg(
+        *[F.avg(s).alias(s) for s in names])
+    backed = by_size.groupBy(F.col("word").alias("_token")).agg(*[F.max_by(s, "size").alias(s) for s in names])
+    return written(seen.union(backed), "scores")
+
+
+def by_tables(texts: DataFrame, model: Model, shared) -> DataFrame:
+    """(_t1, _t2, _pred, _score) of rows (_t1, _t2, t): two hashes stand for a text."""
+    names, text = [f"s{i}" for i in range(len(model.langs))], ["_t1", "_t2"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for part in slices(batch, "t"):
+                found = [model.held_part(t) for t in decoded_texts(part.column("t"))]
+                yield with_columns(part, ["t"], {
+                    "sums": pa.array([f[0].tolist() for f in found], pa.list_(pa.float64())),
+                    "known": pa.array([f[1] for f in found], pa.int64()),
+                    "total": pa.array([f[2] for f in found], pa.int64()),
+                    "rest": pa.array([list(f[3].items()) for f in found], pa.map_(pa.string(), pa.int64()))})
+
+    scored = written(map_batches(texts, run, "_t1 bigint, _t2 int, sums array<double>, known bigint, total bigint, "
+                                             "rest map<string,bigint>"), "scored")
+    # Copies of a text have equal rows: one of each remains.
+    rest = scored.select(*text, F.explode("rest").alias("token", "n")).groupBy(*text, "token").agg(
+        F.max("n").alias("n"))
+    tokens = written(scored.select(F.explode(F.map_keys("rest")).alias("token")).distinct(), "tokens")
+    added = rest.join(scores_of(tokens, model), F.col("token") == F.col("_token")).groupBy(
+        F.col("_t1").alias("_a1"), F.col("_t2").alias("_a2")).agg(
+        F.sum("n").alias("_n"), *[F.sum(F.col("n") * F.col(s)).alias(s) for s in names])
+    first = scored.groupBy(*text).agg(F.max("known").alias("known"), F.max("total").alias("total"),
+                                      *[F.max(F.get("sums", i)).alias(f"h{i}") for i in range(len(names))])
+    both = first.join(added, (F.col("_t1") == F.col("_a1")) & (F.col("_t2") == F.col("_a2")), "left").select(
+        *text, "total", (F.col("known") + F.coalesce("_n", F.lit(0))).alias("known"),
+        F.array(*[F.col(f"h{i}") + F.coalesce(s, F.lit(0.0)) for i, s in enumerate(names)]).alias("sums"))
+    least, langs = F.array_min("sums"), F.array(*map(F.lit, model.langs))
+    shares = F.aggregate("sums", F.lit(0.0), lambda a, x: a + F.pow(
+        F.lit(10.0), F.greatest(least - x, F.lit(-300.0))))
+    most = F.lit(model.langs[int(np.argmax(model.totals))])
+    return both.select(
+        *text, F.when(F.col("total") == 0, UNKNOWN).when(F.col("known") == 0, most).otherwise(
+            F.get(langs, F.array_position("sums", least).cast("int") - 1)).alias("_pred"),
+        F.when(F.col("known") == 0, 0.0).otherwise(
+            F.lit(1.0) / shares * F.col("known") / F.col("total")).alias("_score"))
 
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_pred_col: str = "lang_pred",
@@ -246,6 +356,16 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_pred_
     """The ``keep`` columns of ``docs`` (all, if not given) with prediction and score."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in (lang_pred_col, score_col)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model.tables is not None:
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        hashes = [F.xxhash64(text).alias("_t1"), F.hash(text).alias("_t2")]
+        found = by_tables(docs.select(*hashes, text.cast("binary").alias("t")), model, shared).select(
+            F.col("_t1").alias("_k1"), F.col("_t2").alias("_k2"), "_pred", "_score")
+        # The document travels as one struct: its names cannot clash with those of this join.
+        return docs.select(F.struct(*keep).alias("_doc"), *hashes).join(
+            found, (F.col("_t1") == F.col("_k1")) & (F.col("_t2") == F.col("_k2"))).select(
+            *[F.col(f"_doc.`{c}`").alias(c) for c in keep],
+            F.col("_pred").alias(lang_pred_col), F.col("_score").alias(score_col))
     raw = free_name("_lang_text", keep)
     source = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias(raw))
 

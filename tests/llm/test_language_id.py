@@ -90,3 +90,22 @@ def test_nothing_to_learn_and_empty_table(spark):
     model = language_id.train(none)
     assert language_id.predict(none, model).collect() == []
     assert model.predict("the") == ("und", 0.0)
+
+
+@pytest.mark.parametrize("most", [1, 30])
+def test_rare_languages_and_scripts_count_whatever_the_workers_hold(spark, most):
+    hot = [(i, " ".join(f"word{chr(97 + i % 26)}{chr(97 + j)} thing" for j in range(26)), "en") for i in range(60)]
+    rare = [(100, "vorto estas bela kaj granda", "eo"), (101, "слово дело дом", "ru"), (102, "kaj vorto", "eo")]
+    train = spark.createDataFrame(hot + rare, DOCS)
+    whole = language_id.train(train, max_words=10**9, max_grams=10**9)
+    assert whole.tables is None
+    texts = ["vorto kaj", "vorton kajo belajn", "слово", "слова домой", "wordaa thing", "wordzzz bela", "漢字 kaj", "漢字",
+             "", None, "12", "x", "q" * 3000, "vorto kaj", "kaj " * 50_000 + "thing"]
+    docs = spark.createDataFrame([(i, t, "zz") for i, t in enumerate(texts)], DOCS).withColumn("_t1", F.lit("own"))
+    model = language_id.train(train, max_words=most, max_grams=most)
+    rows = language_id.predict(docs, model, score_col="_score").orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["text"], r["_t1"]) for r in rows] == [(i, t, "own") for i, t in enumerate(texts)]
+    for r in rows:
+        lang, score = whole.predict(r["text"] or "")
+        assert (r["lang_pred"], r["_score"]) == (lang, pytest.approx(score))
+    assert [r["lang_pred"] for r in rows[:5]] == ["eo", "eo", "ru", "ru", "en"]
