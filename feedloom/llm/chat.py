@@ -6,7 +6,8 @@ spans cover what the assistant says, its end mark included, as code-point
 offsets into the rendered text; everything else is masked.
 
 A dialogue comes as one row, or as several numbered parts where it has more
-than ``PART_TURNS`` turns, so that no row grows with a conversation.  ``offset``
+than ``PART_TURNS`` turns: each part has that many, the last one the rest, so that
+no row grows with a conversation, whatever its turn numbers are.  ``offset``
 is where the part starts within the whole dialogue.  The output has one copy of
 a dialogue per speaker; that is the operation itself.
 
@@ -21,7 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.llm.common import written
+
 PART_TURNS = 1024
+#: Characters of a text by which turns are dealt to the tasks that order them.
+ORDERED_BY = 256
 END = "<|end|>\n"
 UNKNOWN = "unknown"
 
@@ -32,34 +37,46 @@ def opening(own: Column, name: Column) -> Column:
         F.concat(F.lit("<|user name="), name, F.lit("|>\n")))
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_rank``, their place in the order of all turns.
+
+    A range partitioning is stored with each row's place in its partition; the
+    partitions' sizes, one row each, give the offsets.  Equal short turns are
+    told apart by a number, so that any count of them is dealt evenly.
+    """
+    short = F.char_length("said") <= ORDERED_BY
+    numbered = rows.withColumn("_tie", F.when(short, F.monotonically_increasing_id()))
+    order = ["conv_id", "turn", "role", F.substring("said", 1, ORDERED_BY), ~short, "_tie"]
+    stored = written(numbered.repartitionByRange(*order).sortWithinPartitions(*order, "said").select(
+        *rows.columns, F.monotonically_increasing_id().alias("_id")), "turns")
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = stored.groupBy(part.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = sizes.select("_task", (F.sum("_rows").over(Window.orderBy("_task")) - F.col("_rows")).alias("_before"))
+    return (stored.withColumn("_task", part).join(F.broadcast(offsets), "_task")
+            .select(*rows.columns, (F.col("_before") + place).alias("_rank")))
+
+
 def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn",
            role_col: str = "role", text_col: str = "text", part_turns: int = PART_TURNS) -> DataFrame:
     """(conv_id, participant, part): text, loss_spans, turn counts and offset.
 
-    A conversation is cut by its own range of turn numbers into as many parts
-    as its size asks for, evenly numbered turns giving parts of ``part_turns``.
+    A conversation is cut by the rank of its turns, ``part_turns`` to a part.
     """
-    rows = turns.select(
+    rows = _ranked(turns.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit(UNKNOWN)).alias("role"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("said"))
-    number = F.col("turn").cast("double")
-    speakers = rows.groupBy("conv_id", "role").agg(
-        F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"))
-    conv = Window.partitionBy("conv_id")
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("said")))
+    speakers = rows.groupBy("conv_id", "role").agg(F.min("_rank").alias("first"))
     views = speakers.select(
         F.col("conv_id").alias("_conv"), F.col("role").alias("participant"),
-        F.ceil(F.sum("n").over(conv) / part_turns).cast("bigint").alias("_parts"),
-        F.min("lo").over(conv).alias("_lo"), F.max("hi").over(conv).alias("_hi"))
-    cut = F.floor((number - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-                  * F.col("_parts")).cast("bigint")
+        F.min("first").over(Window.partitionBy("conv_id")).alias("_first"))
     own = F.col("role") == F.col("participant")
     spoken = (rows.join(views, F.col("conv_id").eqNullSafe(F.col("_conv")))
-              .withColumn("part", F.coalesce(F.least(cut, F.col("_parts") - 1), F.lit(0)).cast("int"))
+              .withColumn("part", F.floor((F.col("_rank") - F.col("_first")) / part_turns).cast("int"))
               .withColumn("_open", opening(own, F.col("role")))
               .withColumn("_own", own)
               .withColumn("_segment", F.concat("_open", "said", F.lit(END))))
-    page = Window.partitionBy("conv_id", "participant", "part").orderBy("turn", "role", "said")
+    page = Window.partitionBy("conv_id", "participant", "part").orderBy("_rank")
     placed = spoken.withColumn(
         "_at", F.sum(F.char_length("_segment")).over(page) - F.char_length("_segment")).withColumn(
         "_nth", F.row_number().over(page))

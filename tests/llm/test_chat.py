@@ -64,5 +64,15 @@ def test_a_long_dialogue_comes_in_parts(spark):
     assert max(r["n_turns"] for r in parts[1, "s0"]) <= 11 and len(parts[1, "s0"]) == 10
 
 
+def test_tied_null_and_outlying_turns_are_cut_too(spark):
+    rows = ([(None, i % 2, f"s{i % 3}", f"t{i % 7}") for i in range(100)] + [(None, None, "s0", "z" * 300 + str(i)) for i in range(30)]
+            + [(1, i, "a", f"t{i}") for i in range(45)] + [(1, 10**12, "b", "far")] + [(2, 3, "a", "same")] * 25)
+    got, parts = rendered(spark.createDataFrame(rows, TURNS).repartition(3), part_turns=10)
+    assert got == plain(rows)
+    assert all(r["n_turns"] <= 10 for ps in parts.values() for r in ps)
+    assert {key: len(ps) for key, ps in parts.items() if key[1] != "s0"} == {
+        (None, "s1"): 13, (None, "s2"): 13, (1, "a"): 5, (1, "b"): 5, (2, "a"): 3}
+
+
 def test_empty_table(spark):
     assert chat.rotate(spark.createDataFrame([], TURNS)).collect() == []
