@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import (bpe, chat, decontaminate, language_id, line_dedup, pii, sharding, simhash,
+from feedloom.llm import (bpe, chat, decontaminate, language_id, line_dedup, pii, runs, sharding, simhash,
                           syncmers, warc)
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
@@ -94,10 +94,21 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", simhash.printed_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = runs.find_runs(docs.select("doc_id", runs.with_repeats().alias("text")))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.listed(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_language_id, op3_pii, op4_chat_rotation, op5_bpe, op6_syncmers,
-        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash)}
+        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash, op11_runs)}
 
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """

@@ -1,0 +1,133 @@
+"""Periodic runs against all stretches and periods of short texts."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from feedloom.llm import queries, runs
+
+
+def plain_runs(words):
+    """Every maximal stretch with its smallest period, by trying all of them."""
+    n, out = len(words), set()
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if j > i and length >= max(6, 4 * q) and (i == 0 or words[i - 1] != words[i - 1 + q]):
+                part = words[i:i + length]
+                if not any(all(part[k] == part[k + p] for k in range(length - p)) for p in range(1, q)):
+                    out.add((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def plain_collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def check(texts):
+    got, collapsed = runs.runs_of([t.encode() for t in texts])
+    for text, found, left in zip(texts, got, collapsed):
+        words = text.split()
+        assert found == plain_runs(words)
+        assert left.decode() == plain_collapsed(words, found)
+
+
+pieces = st.lists(st.sampled_from("ab"), min_size=1, max_size=5)
+repeated = st.tuples(pieces, st.integers(1, 9), st.lists(st.sampled_from("abcd"), max_size=6)).map(
+    lambda x: x[0] * x[1] + x[2])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(repeated, max_size=4).map(lambda x: " ".join(w for p in x for w in p)), min_size=1, max_size=4))
+def test_runs_of_made_up_words(texts):
+    check(texts)
+
+
+def test_runs_of_random_words():
+    rng = random.Random(3)
+    texts = []
+    for size in (2, 3, 5, 40):
+        for _ in range(60):
+            words = [f"w{rng.randrange(size)}" for _ in range(rng.randrange(120))]
+            for _ in range(rng.randrange(4)):
+                if words:
+                    at, p = rng.randrange(len(words)), rng.randrange(1, 12)
+                    words[at:at] = (words[at:at + p] * rng.randrange(2, 9))[:rng.randrange(1, 80)]
+            texts.append(" ".join(words))
+    check(texts)
+    for text in texts:
+        check([text])
+
+
+def test_long_texts():
+    rng = random.Random(5)
+    period = [f"w{rng.randrange(70)}" for _ in range(90)]
+    check(["a " * 1000, "a b c " * 300, " ".join(period * 6 + ["end"] + period[:45]),
+           " ".join(["x y"] * 40 + ["z"] + ["x y"] * 40) * 3,
+           " ".join(f"w{i}" for k in range(40) for i in range(k))])
+
+
+def test_very_long_periods_and_repeats():
+    period = " ".join(f"w{i}" for i in range(20_000))
+    got, collapsed = runs.runs_of([("a " * 300_000).encode(), (f"{period} " * 5 + "w0 w1").encode()])
+    assert got == [[(0, 300_000, 1)], [(0, 100_002, 20_000)]]
+    assert collapsed == [b"a", period.encode()]
+
+
+@pytest.fixture
+def planted(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 23}" for j in range(i % 90))) for i in range(400)]
+    rows += [(7, None), (None, "a a a a a a a"), (8, ""), (9, " \t\n"), (11, "a b a b a b a b a b a b "),
+             (5, "x " * 50), (5, "x " * 50)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def edited(doc, text):
+    words = [w.decode() for w in (text or "").encode().split()]
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    if h % 10 == 0 and words:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    return words
+
+
+def expected(doc, text):
+    words = edited(doc, text)
+    found = plain_runs(words)
+    best = None
+    for r in found:
+        if best is None or r[1] * best[2] > best[1] * r[2]:
+            best = r
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    numbers = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (doc, len(found), *numbers, sha("".join(f"{s},{n},{q}\n" for s, n, q in found)),
+            sha(plain_collapsed(words, found)))
+
+
+def test_query(spark, planted, tmp_path):
+    rows, docs = planted
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in queries.op11_runs(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted((expected(*r) for r in rows), key=repr)
+    assert sum(r[1] > 0 for r in got) > 10
+
+
+def test_columns_and_empty(spark):
+    docs = spark.createDataFrame([(1, "a a a a a a b", 5, "own")], "doc_id long, text string, RUNS int, _runs_text string")
+    row = runs.find_runs(docs).first()
+    assert row.asDict() == {"doc_id": 1, "text": "a a a a a a b", "_runs_text": "own",
+                            "runs": [(0, 6, 1)], "collapsed": "a b"}
+    assert runs.find_runs(docs.limit(0)).collect() == []
+    assert runs.find_runs(docs.select("text"), collapsed_col="text").first()["text"] == "a b"
