@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import (bpe, chat, decontaminate, language_id, line_dedup, packing, pii, runs,
+from feedloom.llm import (alignment, bpe, chat, decontaminate, language_id, line_dedup, packing, pii, runs,
                           sharding, simhash, syncmers, warc)
 from feedloom.llm.common import table
 from feedloom.session import shared_dir
@@ -110,11 +110,16 @@ def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf, "documents", "doc_id", "text")).select(
+        "doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_language_id, op3_pii, op4_chat_rotation, op5_bpe, op6_syncmers,
         op7_decontamination, op8_line_dedup, op9_warc, op10_simhash, op11_runs,
-        op12_packing)}
+        op12_packing, op13_alignment)}
 
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """
