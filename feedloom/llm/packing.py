@@ -11,7 +11,10 @@ are full but the last.
 
 Tokens are those of the tokenizers library for the whole text, then ``END``.  The
 vocabulary's texts part at white space, so each distinct word is encoded once per
-batch, frequent ones once per Python worker.
+batch, frequent ones once per Python worker.  Words of Latin letters, digits and
+marks are put into lower case and cut into runs of letters, single digits and runs
+of marks here, as the library's rules for them say, and share what is known of their
+runs; the library does the same for all other words.
 
 Nothing is grouped and no text is shuffled, so neither a very long document nor one
 repeated very often lands in one task.  Stored tokens make the order fixed: a lost
@@ -24,6 +27,9 @@ rows; other columns are not looked at.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain, filterfalse
 
@@ -41,7 +47,22 @@ VOCABULARY = "word_bpe_49k.json"
 WINDOW, END = 2048, 1
 #: Words that a Python worker keeps with their ids, the longest such word, and the
 #: bytes of text that are encoded together.
-KEPT_WORDS, KEPT_BYTES, TEXT_AT_ONCE = 400_000, 40, 2 << 20
+KEPT_WORDS, KEPT_BYTES, TEXT_AT_ONCE = 300_000, 40, 2 << 20
+
+
+#: The characters of words that are cut here: Latin ones, whose classes are the same in
+#: every version of Unicode.  U+0130 becomes two characters in lower case.
+LATIN = [chr(i) for i in range(0x250) if i != 0x130]
+
+
+def _class(kind: str) -> str:
+    return re.escape("".join(c for c in LATIN if unicodedata.category(c)[0] == kind))
+
+
+#: What the vocabulary's own pattern splits from a word, in this order.
+ENDINGS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
+SPACE = "\x09-\x0d\x20\x85\xa0"
+RUNS = re.compile(f"{'|'.join(ENDINGS)}|[{_class('L')}]+|[{_class('N')}]|[^{SPACE}{_class('L')}{_class('N')}]+")
 
 
 class WordCoder:
@@ -53,19 +74,44 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        known = json.loads(tokenizer_json)
+        special = "|".join(re.escape(t["content"]) for t in known["added_tokens"])
+        latin = f"[{re.escape(''.join(LATIN))}]+"
+        self.latin = re.compile(f"(?!.*(?:{special})){latin}" if special else latin, re.DOTALL)
+        # The same merges, for runs of characters that are cut already.
+        self.runs = Tokenizer.from_str(json.dumps(known | {
+            "added_tokens": [], "normalizer": None, "pre_tokenizer": {
+                "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}))
         self.ids_of: dict[bytes, bytes] = {}
+        self.ids_of_run: dict[str, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        latin = [self.latin.fullmatch(t) is not None for t in texts]
+        self._learn_by_runs([(w, t) for w, t, own in zip(words, texts, latin) if own])
+        self._learn_whole([(w, t) for w, t, own in zip(words, texts, latin) if not own])
+
+    def _learn_by_runs(self, words: list[tuple[bytes, str]]) -> None:
+        cut = [RUNS.findall(t.lower()) for _, t in words]
+        new = list(dict.fromkeys(filterfalse(self.ids_of_run.__contains__, chain.from_iterable(cut))))
+        if new:
+            found = self.runs.encode(new, is_pretokenized=True, add_special_tokens=False)
+            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(new) + 1))).tolist()
+            ids = np.array(found.ids, "<u4").tobytes()
+            self.ids_of_run.update((r, ids[a:b]) for r, a, b in zip(new, cuts, cuts[1:]))
+        self.ids_of.update((w, b"".join(map(self.ids_of_run.__getitem__, rs))) for (w, _), rs in zip(words, cut))
+        _forget(self.ids_of_run, new)
+
+    def _learn_whole(self, words: list[tuple[bytes, str]]) -> None:
         """Encode words as one text, and cut the tokens where the words end."""
         if not words:
             return
-        texts = [w.decode("utf-8", "replace") for w in words]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        found = self.tokenizer.encode(" ".join(t for _, t in words), add_special_tokens=False)
+        begins = np.cumsum([0, *[len(t) + 1 for _, t in words]])
         starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
         cuts = (4 * np.searchsorted(starts, begins)).tolist()
         ids = np.array(found.ids, "<u4").tobytes()
-        self.ids_of.update((w, ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+        self.ids_of.update((w, ids[a:b]) for (w, _), a, b in zip(words, cuts, cuts[1:]))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text, ``END`` included."""
@@ -75,14 +121,19 @@ class WordCoder:
         self._learn(new)
         end = END.to_bytes(4, "little")
         ids = [b"".join([*map(self.ids_of.__getitem__, words), end]) for words in split]
-        over = len(self.ids_of) - KEPT_WORDS
-        for w in new:
-            if over > 0 or len(w) > KEPT_BYTES:
-                del self.ids_of[w]
-                over -= 1
+        _forget(self.ids_of, new)
         return ids
 
 
+def _forget(known: dict, new: list) -> None:
+    """Long words go, and as many of the others as there is no room for."""
+    over = len(known) - KEPT_WORDS
+    for w in new:
+        if over > 0 or len(w) > KEPT_BYTES:
+            del known[w]
+            over -= 1
+
+
 def _coder(shared: Broadcast) -> WordCoder:
     return held((__name__, shared.value[0]), lambda: WordCoder(shared.value[1]))
 
