@@ -2,9 +2,10 @@
 
 Tokenizer A is byte-level BPE (the tokenizers library), tokenizer B is BPE with byte
 fallback (sentencepiece).  Both read a space and the text.  A's character offsets and
-the spans of B's proto are coarse cuts: where a token of each ends with a whole
+the spans of B's pieces are coarse cuts: where a token of each ends with a whole
 character.  Between coarse cuts, where tokens split a character or stand for single
-bytes, the decoded bytes of the tokens refine them.  The bytes up to which tokens of
+bytes, the decoded bytes of the tokens refine them.  (The installed sentencepiece has
+no immutable proto any more; its offset mapping holds the same spans.)  The bytes up to which tokens of
 both end cut a text into groups; all tokens of A in a group are linked with all of B.
 
 No token of either goes over a space that stands alone between two other characters
@@ -29,7 +30,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -52,54 +53,31 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-class Part:
-    """What a part of a text, with a space before it, holds."""
+def ends_of(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes, dtype=np.int64)
 
-    __slots__ = ("counts", "groups", "links")
 
-    def __init__(self, groups: list[tuple[list[int], list[int]]]) -> None:
-        a, b = sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups)
-        linked = Counter((x << 32) | y for xs, ys in groups for x in xs for y in ys)
-        self.counts = (a, b, len(groups), sum(linked.values()))
-        self.groups = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        #: (id pair, how often) as bytes of 64-bit integers.
-        self.links = np.array([n for pair in linked.items() for n in pair], np.int64).tobytes()
+def refined(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Up to which byte each token reaches.
 
-
-def ends_of(sizes: list[int]) -> list[int]:
-    return list(accumulate(sizes))
-
-
-def groups_of(a: list[tuple[int, int, bytes]], b: list[tuple[int, int, bytes]]) -> list[tuple[range, range]]:
-    """The token ranges of each group of two token sequences (start, end, bytes) with
-    spans in bytes; a token that is a part of a character spans all of it or nothing."""
-    def coarse(tokens: list[tuple[int, int, bytes]]) -> dict[int, int]:
-        """Where a token's span ends and no later one has begun -> number of tokens up to there."""
-        following = [t[0] for t in tokens[1:]] + [tokens[-1][1]]
-        return {end: i + 1 for i, ((start, end, _), after) in enumerate(zip(tokens, following)) if start < end <= after}
-
-    def fine(tokens: list[tuple[int, int, bytes]], low: int, high: int) -> dict[int, int]:
-        ends = ends_of([len(t[2]) for t in tokens[low:high]])
-        return {end: low + i + 1 for i, end in enumerate(ends)}
-
-    cuts_a, cuts_b = coarse(a), coarse(b)
-    out, i, j = [], 0, 0
-    for place in sorted(cuts_a.keys() & cuts_b.keys()):
-        to_i, to_j = cuts_a[place], cuts_b[place]
-        if to_i - i == 1 or to_j - j == 1:
-            out.append((range(i, to_i), range(j, to_j)))
-        else:
-            # Several tokens on both sides: their decoded bytes may end together in between.
-            inner_a, inner_b = fine(a, i, to_i), fine(b, j, to_j)
-            for end in sorted(inner_a.keys() & inner_b.keys()):
-                out.append((range(i, inner_a[end]), range(j, inner_b[end])))
-                i, j = inner_a[end], inner_b[end]
-        i, j = to_i, to_j
-    return out
+    A span (start, end) ends with a whole character where no later token has begun
+    before its end; there it counts as it is.  The other tokens hold a part of a
+    character, and reach as far past the last such place as their decoded bytes say.
+    """
+    coarse = (starts < ends) & (ends <= np.append(starts[1:], ends[-1:]))
+    index = np.maximum.accumulate(np.where(coarse, np.arange(len(ends)), -1))
+    decoded = ends_of(sizes)
+    place = np.where(index < 0, 0, ends[index])
+    return place + decoded - np.where(index < 0, 0, decoded[index])
 
 
 class Aligner:
-    """Both tokenizers of one Python worker."""
+    """Both tokenizers of one Python worker.
+
+    ``known`` has of each part its four counts as bytes of 64-bit integers, its groups,
+    each followed by a semicolon, and its linked pairs as bytes of 64-bit integers; or
+    nothing where the tokens' bytes differ from it.
+    """
 
     def __init__(self, bytes_json: str, pieces_model: bytes) -> None:
         import os
@@ -111,34 +89,96 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces_model)
         byte = {c: b for b, c in enumerate(byte_characters())}
-        self.bytes_a = {i: bytes(byte[c] for c in token) for token, i in self.a.get_vocab(False).items()}
+        vocabulary = self.a.get_vocab(True)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.bytes_a[i] = bytes(byte[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.size_a, self.size_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        #: Ids as text, A's in a group and at the end of their side of it, then B's.
+        numbers_a, numbers_b = range(len(self.bytes_a)), range(len(self.bytes_b))
+        self.said = [f"{i}{mark}" for ids, marks in ((numbers_a, ",|"), (numbers_b, ",;")) for mark in marks for i in ids]
         #: Whether a piece goes on after a space: then texts are taken whole.
         self.whole = any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[str, Part | None] = {}
+        self.known: dict[str, tuple | None] = {}
 
     def parts(self, text: str) -> list[str]:
         """The parts of a text, each of which a space precedes."""
-        return [text] if self.whole else LONE_SPACE.split(f" {text}")
-
-    def align(self, part: str, encoding) -> Part | None:
-        """The groups of a part; none where the tokens' bytes are not those of the part."""
-        text = f" {part}"
-        place = ends_of([0, *[len(c.encode()) for c in text]])
-        a = [(place[s], place[e], self.bytes_a[i]) for i, (s, e) in zip(encoding.ids, encoding.offsets)]
-        # B's spans leave out the space that it puts before the text.
-        proto = self.b.encode(part, return_type="proto").pieces
-        b = [(p.begin + 1 if n else 0, p.end + 1, self.bytes_b[p.id]) for n, p in enumerate(proto)]
-        data = text.encode()
-        if b"".join(x[2] for x in a) != data or b"".join(x[2] for x in b) != data:
+        if not text or self.whole:
+            return [text] if text else []
+        parts = text.split(" ")
+        if all(p and p.strip() == p for p in dict.fromkeys(parts)):
+            return parts
+        first, *others = LONE_SPACE.split(f" {text}")
+        return [first[1:], *others]
+
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and reached bytes of A's and B's tokens for a space and ``text``; none
+        where the tokens' bytes are others."""
+        spaced = f" {text}"
+        encoding = self.a.encode(spaced, add_special_tokens=False)
+        mapping = self.b.encode(text, return_type="offset_mapping")
+        data = spaced.encode()
+        if b"".join(map(self.bytes_a.__getitem__, encoding.ids)) != data or b"".join(
+                map(self.bytes_b.__getitem__, mapping["ids"])) != data:
             return None
-        return Part([([encoding.ids[i] for i in x], [proto[j].id for j in y]) for x, y in groups_of(a, b)])
+        code = np.frombuffer(spaced.encode("utf-32-le"), np.uint32)
+        widths = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+        place = np.concatenate([[0], ends_of(widths)])
+
+        def spans(offsets: list[tuple[int, int]]) -> np.ndarray:
+            return np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)
+
+        a, b = np.array(encoding.ids, np.int64), np.array(mapping["ids"], np.int64)
+        in_a, in_b = spans(encoding.offsets), spans(mapping["offsets"]) + 1
+        in_b[:1, 0] = 0  # B's spans leave out the space that it puts before the text
+        return (a, refined(*place[in_a].T, self.size_a[a]), b, refined(*place[in_b].T, self.size_b[b]))
 
     def learn(self, parts: list[str]) -> None:
-        encodings = self.a.encode_batch([f" {p}" for p in parts], add_special_tokens=False)
-        self.known.update((p, self.align(p, e)) for p, e in zip(parts, encodings))
+        """Align parts as one text; where that fails, halve it down to the parts that do.
+
+        Parts that begin or end with white space, as the first and last of a text can,
+        are taken one by one: joined, they would not part again.
+        """
+        alone = [p for p in parts if self.whole or p.strip() != p]
+        joined = [p for p in parts if not self.whole and p.strip() == p]
+        waiting = [[p] for p in alone] + ([joined] if joined else [])
+        while waiting:
+            some = waiting.pop()
+            found = self.tokens(" ".join(some))
+            if found is not None:
+                self._keep(some, *found)
+            elif len(some) == 1:
+                self.known[some[0]] = None
+            else:
+                waiting += [some[:len(some) // 2], some[len(some) // 2:]]
+
+    def _keep(self, parts: list[str], a: np.ndarray, reach_a: np.ndarray, b: np.ndarray, reach_b: np.ndarray) -> None:
+        """Cut the tokens of joined parts into groups, and the groups by part."""
+        # Every token has bytes, so both ascend.
+        ends = reach_a[reach_b[np.minimum(np.searchsorted(reach_b, reach_a), len(reach_b) - 1)] == reach_a]
+        at_a, at_b = np.searchsorted(reach_a, ends, "right"), np.searchsorted(reach_b, ends, "right")
+        n_a, n_b = np.diff(at_a, prepend=0), np.diff(at_b, prepend=0)
+        from_a, from_b, links = at_a - n_a, at_b - n_b, n_a * n_b
+        group = np.repeat(np.arange(len(ends)), links)
+        nth = np.arange(len(group)) - np.repeat(ends_of(links) - links, links)
+        pairs = (a[from_a[group] + nth // n_b[group]] << 32 | b[from_b[group] + nth % n_b[group]]).tobytes()
+        # The ids of each group in order, A's before B's, each with the mark that follows it.
+        said = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[at_a - 1], last_b[at_b - 1] = 1, 1
+        said[np.arange(len(a)) + np.repeat(from_b, n_a)] = a + last_a * len(self.bytes_a)
+        said[np.arange(len(b)) + np.repeat(at_a, n_b)] = b + last_b * len(self.bytes_b) + 2 * len(self.bytes_a)
+        texts = list(map(self.said.__getitem__, said.tolist()))
+        last = np.searchsorted(ends, ends_of(np.array([len(p.encode()) + 1 for p in parts]))) + 1
+        sums = np.stack([at_a, at_b, np.arange(1, len(ends) + 1), ends_of(links)], axis=1)[last - 1]
+        counts = np.diff(sums, axis=0, prepend=np.zeros((1, 4), np.int64)).tobytes()
+        n, at, link = 0, 0, 0
+        for part, (to_a, to_b, _, to_link) in zip(parts, sums.tolist()):
+            self.known[part] = (counts[32 * n:32 * n + 32], "".join(texts[at:to_a + to_b]), pairs[8 * link:8 * to_link])
+            n, at, link = n + 1, to_a + to_b, to_link
 
     def forget(self, parts: list[str]) -> None:
         over = len(self.known) - KEPT_PARTS
@@ -149,29 +189,25 @@ class Aligner:
 
     def documents(self, texts: list[str]) -> Iterator[tuple[list[int], str, np.ndarray]]:
         """Of each text its counts, its groups, and (id pair, how often) by pair."""
-        split = []
-        for t in texts:
-            ps = self.parts(t) if t else []
-            if ps and not self.whole:
-                ps[0] = ps[0][1:]
-            split.append(ps)
+        split = [self.parts(t) for t in texts]
         new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.known]
         self.learn(new)
         none = [0, 0, 0, 0], "", np.empty((0, 2), np.int64)
         for ps in split:
             times = Counter(ps)
             found = [self.known[p] for p in times]
-            if not ps or any(f is None for f in found):
+            if not ps or None in found:
                 yield none
                 continue
             often = np.fromiter(times.values(), np.int64, len(times))
-            counts = (np.array([f.counts for f in found], np.int64) * often[:, None]).sum(axis=0).tolist()
-            links = np.frombuffer(b"".join(f.links for f in found), np.int64).reshape(-1, 2)
-            weight = links[:, 1] * np.repeat(often, [len(f.links) // 16 for f in found])
-            pairs, place = np.unique(links[:, 0], return_inverse=True)
-            sums = np.zeros(len(pairs), np.int64)
-            np.add.at(sums, place, weight)
-            yield counts, ";".join([self.known[p].groups for p in ps]), np.stack([pairs, sums], axis=1)
+            counts = np.frombuffer(b"".join([f[0] for f in found]), np.int64).reshape(-1, 4)
+            links = np.frombuffer(b"".join([f[2] for f in found]), np.int64)
+            order = np.argsort(links)
+            links, weight = links[order], np.repeat(often, counts[:, 3])[order]
+            first = np.flatnonzero(np.concatenate([[True], links[1:] != links[:-1]]))
+            said = {p: f[1] for p, f in zip(times, found)}
+            yield ((counts * often[:, None]).sum(axis=0).tolist(), "".join(map(said.__getitem__, ps))[:-1],
+                   np.stack([links[first], np.add.reduceat(weight, first)], axis=1))
         self.forget(new)
 
 
