@@ -31,7 +31,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain, filterfalse
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -45,9 +45,10 @@ from feedloom.llm.common import held, map_batches, slices, written
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW, END = 2048, 1
-#: Words that a Python worker keeps with their ids, the longest such word, and the
-#: bytes of text that are encoded together.
-KEPT_WORDS, KEPT_BYTES, TEXT_AT_ONCE = 300_000, 40, 2 << 20
+#: Words and runs that a Python worker keeps with their ids, the longest of them, and
+#: the rows and bytes of text that are encoded together.
+KEPT_WORDS, KEPT_RUNS, KEPT_BYTES = 700_000, 250_000, 40
+ROWS_AT_ONCE, TEXT_AT_ONCE = 2048, 4 << 20
 
 
 #: The characters of words that are cut here: Latin ones, whose classes are the same in
@@ -93,14 +94,16 @@ class WordCoder:
 
     def _learn_by_runs(self, words: list[tuple[bytes, str]]) -> None:
         cut = [RUNS.findall(t.lower()) for _, t in words]
-        new = list(dict.fromkeys(filterfalse(self.ids_of_run.__contains__, chain.from_iterable(cut))))
+        new = list(set(chain.from_iterable(cut)).difference(self.ids_of_run))
         if new:
             found = self.runs.encode(new, is_pretokenized=True, add_special_tokens=False)
             cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(new) + 1))).tolist()
             ids = np.array(found.ids, "<u4").tobytes()
-            self.ids_of_run.update((r, ids[a:b]) for r, a, b in zip(new, cuts, cuts[1:]))
-        self.ids_of.update((w, b"".join(map(self.ids_of_run.__getitem__, rs))) for (w, _), rs in zip(words, cut))
-        _forget(self.ids_of_run, new)
+            self.ids_of_run.update({r: ids[a:b] for r, a, b in zip(new, cuts, cuts[1:])})
+        ids_of = self.ids_of_run
+        self.ids_of.update({w: ids_of[rs[0]] if len(rs) == 1 else b"".join([ids_of[r] for r in rs])
+                            for (w, _), rs in zip(words, cut)})
+        _forget(self.ids_of_run, new, KEPT_RUNS)
 
     def _learn_whole(self, words: list[tuple[bytes, str]]) -> None:
         """Encode words as one text, and cut the tokens where the words end."""
@@ -117,17 +120,17 @@ class WordCoder:
         """The ids of each text, ``END`` included."""
         # bytes.split parts at the white space of ASCII only; the rest the library knows.
         split = [(t or b"").split() for t in texts]
-        new = list(dict.fromkeys(filterfalse(self.ids_of.__contains__, chain.from_iterable(split))))
+        new = list(set().union(*split).difference(self.ids_of))
         self._learn(new)
         end = END.to_bytes(4, "little")
         ids = [b"".join([*map(self.ids_of.__getitem__, words), end]) for words in split]
-        _forget(self.ids_of, new)
+        _forget(self.ids_of, new, KEPT_WORDS)
         return ids
 
 
-def _forget(known: dict, new: list) -> None:
+def _forget(known: dict, new: list, most: int) -> None:
     """Long words go, and as many of the others as there is no room for."""
-    over = len(known) - KEPT_WORDS
+    over = len(known) - most
     for w in new:
         if over > 0 or len(w) > KEPT_BYTES:
             del known[w]
@@ -150,7 +153,7 @@ def encoded(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, before = _coder(shared), 0
         for batch in batches:
-            for part in slices(batch, "t", size=TEXT_AT_ONCE):
+            for part in slices(batch, "t", ROWS_AT_ONCE, TEXT_AT_ONCE):
                 ids = coder.encode(part.column("t").to_pylist())
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 at = before + np.cumsum(n) - n
