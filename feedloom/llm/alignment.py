@@ -47,7 +47,7 @@ BYTES_VOCABULARY, PIECES_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HELD_PAIRS = 200_000
 #: Parts of texts that a Python worker keeps, the longest such part, and the bytes of
 #: text that are aligned together.
-KEPT_PARTS, KEPT_CHARS, TEXT_AT_ONCE = 200_000, 40, 2 << 20
+KEPT_PARTS, KEPT_CHARS, TEXT_AT_ONCE = 350_000, 40, 2 << 20
 #: A space that stands alone, for every notion of white space that the libraries have.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
