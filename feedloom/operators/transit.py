@@ -125,15 +125,28 @@ def next_arrival(arrivals: DataFrame, now: Column) -> DataFrame:
     return with_countdown(nearest, now)
 
 
+#: The order of arrivals from several partitions, where it is known; else ``seq`` is their order.
+ARRIVED = "arrived"
+
+
+def order_of(arrivals: DataFrame) -> str:
+    return ARRIVED if ARRIVED in arrivals.columns else "seq"
+
+
 def arrival_improvements(arrivals: DataFrame, now: Column, hot: DataFrame | None = None) -> DataFrame:
     """Upcoming arrivals earlier than every one seen before for their track.
 
-    A stored arrival does not expire: once a train has passed, only an even
-    earlier upcoming one would count.  ``hot`` spreads the tracks it names.
+    Seen before is what has a smaller ``arrived`` (see
+    :func:`feedloom.sources.topics.arrival_number`), without that column a smaller
+    ``seq``.  A stored arrival does not expire: once a train has passed, only an even
+    earlier upcoming one would count.  ``hot`` spreads the tracks it names; it is made
+    from the same order column.
     """
-    known = upcoming(arrivals, now).dropna(subset=TRACK).select("seq", *TRACK, "arrival")
-    rows = known if hot is None else skew.with_slices(known, TRACK, "seq", hot)
-    before = (Window.partitionBy(*TRACK, *([] if hot is None else [skew.SLICE])).orderBy("seq")
+    order = order_of(arrivals)
+    known = upcoming(arrivals, now).dropna(subset=TRACK).select(
+        "seq", *TRACK, "arrival", *([] if order == "seq" else [order]))
+    rows = known if hot is None else skew.with_slices(known, TRACK, order, hot)
+    before = (Window.partitionBy(*TRACK, *([] if hot is None else [skew.SLICE])).orderBy(order)
               .rowsBetween(Window.unboundedPreceding, -1))
     arrival, best = F.col("arrival"), F.min("arrival").over(before)
     better = (rows.withColumn("_best", best)
@@ -249,20 +262,45 @@ def trip_completed(updates: DataFrame, now: Column) -> DataFrame:
             .withColumn("completed", past & ~wrong).drop("uncertainty"))
 
 
-def cancelled_trips(schedule: DataFrame, periods: DataFrame, feed: DataFrame) -> DataFrame:
+#: Bounds of periods without a start or end.
+_EVER, _NEVER = -(1 << 63), (1 << 63) - 1
+
+
+def cancelled_trips(schedule: DataFrame, periods: DataFrame, feed: DataFrame,
+                    hot: DataFrame | None = None) -> DataFrame:
     """Scheduled trips that start in their route's replacement period but are not in the feed.
 
     ``schedule`` is (trip_id, route_id, start_s), ``periods`` (route_id,
     period_start, period_end) with null bounds for infinity, ``feed`` (trip_id).
+
+    One ordered pass per route: a trip is inside some period if the latest end of
+    the periods that have begun lies after it, however they overlap.  No trip
+    meets the periods one by one.  ``hot`` spreads the routes it names (by
+    ``start_s``).  A trip without a start is inside a period without bounds only.
     """
-    p = periods.select(F.col("route_id").alias("_route"), "period_start", "period_end")
-    inside = (
-        (F.col("route_id") == F.col("_route"))
-        & (F.col("period_start").isNull() | (F.col("period_start") <= F.col("start_s")))
-        & (F.col("period_end").isNull() | (F.col("start_s") < F.col("period_end"))))
-    # The feed leaves few trips over; only those meet the few, uneven route keys.
-    return (schedule.join(feed.select("trip_id"), "trip_id", "left_anti")
-            .join(p, inside, "left_semi"))
+    left = schedule.join(feed.select("trip_id"), "trip_id", "left_anti").where(F.col("route_id").isNotNull())
+    begun = periods.where(F.col("route_id").isNotNull()).select(
+        "route_id", F.coalesce("period_start", F.lit(_EVER)).cast("bigint").alias("start_s"),
+        F.coalesce("period_end", F.lit(_NEVER)).cast("bigint").alias("_end"))
+    trip = F.struct(*[F.col(c) for c in schedule.columns])
+    known = left.where(F.col("start_s").isNotNull()).select(
+        "route_id", F.col("start_s").cast("bigint").alias("start_s"), trip.alias("_trip"))
+    rows = known.unionByName(begun, allowMissingColumns=True)
+    if hot is not None:
+        rows = skew.with_slices(rows, ["route_id"], "start_s", hot)
+    upto = (Window.partitionBy("route_id", *([] if hot is None else [skew.SLICE])).orderBy("start_s")
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = rows.withColumn("_latest", F.max("_end").over(upto)).where(F.col("_trip").isNotNull())
+    latest = F.col("_latest")
+    if hot is not None:
+        summary = rows.where(skew.HOT).groupBy("route_id", skew.SLICE).agg(F.max("_end").alias("_slice_end"))
+        swept = skew.with_carry(swept, ["route_id"], summary, {
+            "_carry": lambda ordered, earlier: F.max("_slice_end").over(earlier)})
+        latest = F.greatest("_latest", "_carry")
+    inside = swept.where(F.col("start_s") < latest).select("_trip.*")
+    always = begun.where((F.col("start_s") == _EVER) & (F.col("_end") == _NEVER)).select("route_id").distinct()
+    unknown = left.where(F.col("start_s").isNull()).join(always, "route_id", "left_semi")
+    return inside.select(*schedule.columns).unionByName(unknown.select(*schedule.columns))
 
 
 def without_rerouted(stops: DataFrame) -> DataFrame:

@@ -54,12 +54,14 @@ def turnover(status_topic: DataFrame, info_topic: DataFrame,
 
 
 def turnover_updates(path: str, read_info: Callable[[], DataFrame], write: BatchWriter,
-                     window: str = "60 minutes", lateness: str = folds.LATENESS) -> BatchWriter:
+                     window: str = "60 minutes", lateness: str = folds.LATENESS,
+                     late: BatchWriter | None = None) -> BatchWriter:
     """For a stream of readings: turnover messages, one for every update of a window's total.
 
-    ``path`` holds the fold's state; ``read_info`` reads the stored information table.
+    ``path`` holds the fold's state; ``read_info`` reads the stored information table;
+    readings of closed windows go to ``late``, or to files beside the state.
     """
     def messages(changes: DataFrame, batch_id: int) -> None:
         write(stations.turnover_lines(stations.turnover_ratio(changes, read_info())), batch_id)
 
-    return folds.net_delta_writer(path, messages, window, lateness=lateness)
+    return folds.net_delta_writer(path, messages, window, lateness=lateness, late=late)

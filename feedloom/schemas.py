@@ -41,7 +41,8 @@ INFO_VALUE = _renamed(STATION_INFO, INFO_RENAMES)
 
 # --- topics -----------------------------------------------------------------
 
-TOPIC_ROW = _struct(key=_S, value=_S, timestamp=T.TimestampType(), offset=_L)
+#: Without a ``partition`` a topic counts as one of a single partition.
+TOPIC_ROW = _struct(key=_S, value=_S, timestamp=T.TimestampType(), partition=_I, offset=_L)
 
 # --- ticks, posts, logs, messages -------------------------------------------
 

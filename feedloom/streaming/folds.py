@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators import stations, transit
-from feedloom.sinks.writers import BatchWriter
+from feedloom.sinks.writers import BatchWriter, files
 
 LATENESS = "1 day"
 PLACES = 3
@@ -48,7 +48,34 @@ class StateTable:
 
 WINDOW_KEYS = ["station_id", "window_start", "window_end"]
 NET_STATE = ("station_id string, window_start timestamp, window_end timestamp, "
-             "seq bigint, last_bikes int, net bigint, seen timestamp")
+             "seq {order}, last_bikes int, net bigint, seen timestamp, reached timestamp")
+#: Stations that must have reached a time for it to move the clock, if a batch has as many.
+WITNESSES = 2
+
+
+def reached(rows: DataFrame, witnesses: int = WITNESSES):
+    """The time that ``witnesses`` stations of a micro-batch have reached, or all of them
+    if it has fewer; none for an empty one."""
+    newest = rows.groupBy("station_id").agg(F.max("ts").alias("ts")).where(F.col("ts").isNotNull())
+    times = [r["ts"] for r in newest.orderBy(F.col("ts").desc()).limit(witnesses).collect()]
+    return times[-1] if times else None
+
+
+def confirmed(clock, last, now):
+    """The clock after a micro-batch: the earlier of the times that it and the one before
+    have reached, and never back.
+
+    A single record far in the future moves nothing: it needs a second station, or a
+    batch of its own station alone, and the same again in the next micro-batch.
+    """
+    known = [x for x in (last, now) if x is not None]
+    both = min(known) if len(known) == 2 else None
+    return max((x for x in (clock, both) if x is not None), default=None)
+
+
+def late_path(path: str) -> str:
+    """Where readings that came too late go if no other place is given."""
+    return f"{path.rstrip('/')}/late"
 
 
 def _windowed(batch: DataFrame, window: str) -> DataFrame:
@@ -80,36 +107,39 @@ def net_delta_writer(path: str, write: BatchWriter, window: str = "60 minutes",
                      totals: Callable[[DataFrame, DataFrame, int], None] | None = None) -> BatchWriter:
     """Every update of the per-window change total, as readings arrive.
 
-    A window closes when the newest reading of earlier micro-batches is
-    ``lateness`` past its end; later readings of it go to ``late``, if given.
-    ``totals`` is called with the stored totals of all open windows and the
-    windows that the micro-batch touched.
+    A window closes when the clock of earlier micro-batches (see :func:`confirmed`) is
+    ``lateness`` past its end.  No reading is lost: later ones go to ``late``, and
+    without it to files below :func:`late_path`.  ``totals`` is called with the stored
+    totals of all open windows and the windows that the micro-batch touched.  ``seq``
+    may be of any orderable type.
     """
-    table = StateTable(path, NET_STATE)
+    late = late or files(late_path(path))
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        table = StateTable(path, NET_STATE.format(order=dict(batch.dtypes)["seq"]))
         before = table.before(batch.sparkSession, batch_id)
-        seen = before.agg(F.max("seen")).first()[0]
-        bound = F.lit(seen) - F.expr(f"interval {lateness}")
-        is_open = F.lit(True) if seen is None else F.col("window_end") > bound
+        clock, last = before.agg(F.max("seen"), F.max("reached")).first()
+        bound = F.lit(clock) - F.expr(f"interval {lateness}")
+        is_open = F.lit(True) if clock is None else F.col("window_end") > bound
         rows = _windowed(batch, window).persist()
         try:
             steps = net_delta_steps(rows.where(is_open), before.where(is_open & F.col("station_id").isNotNull()),
                                     baseline).persist()
-            last = F.struct(~F.col("_stored"), F.col("seq"))
-            newest = rows.agg(F.max("ts")).first()[0]
-            newest = max(x for x in (newest, seen) if x is not None) if newest or seen else None
+            order = F.struct(~F.col("_stored"), F.col("seq"))
+            now = reached(rows)
             state = steps.groupBy(*WINDOW_KEYS).agg(
-                F.max_by("seq", last).alias("seq"), F.max_by("num_bikes_available", last).alias("last_bikes"),
-                F.max_by("net", last).alias("net")).withColumn("seen", F.lit(newest).cast("timestamp"))
-            # A row without a station keeps the clock when no window is open.
-            clock = batch.sparkSession.createDataFrame([(None,) * 6 + (newest,)], NET_STATE)
-            held = table.put(state.unionByName(clock), batch_id).where(F.col("station_id").isNotNull())
+                F.max_by("seq", order).alias("seq"), F.max_by("num_bikes_available", order).alias("last_bikes"),
+                F.max_by("net", order).alias("net"))
+            # A row without a station keeps the clock, also when no window is open.
+            times = batch.sparkSession.createDataFrame(
+                [(confirmed(clock, last, now), now or last)], "seen timestamp, reached timestamp")
+            held = table.put(state.unionByName(times, allowMissingColumns=True), batch_id).where(
+                F.col("station_id").isNotNull())
             changes = steps.where(~F.col("_stored")).select(*WINDOW_KEYS, "seq", "num_bikes_available", "net")
             write(changes, batch_id)
             if totals is not None:
                 totals(held, changes.select("window_start").distinct(), batch_id)
-            if late is not None and seen is not None:
+            if clock is not None:
                 late(rows.where(~is_open), batch_id)
             steps.unpersist()
         finally:
@@ -118,14 +148,15 @@ def net_delta_writer(path: str, write: BatchWriter, window: str = "60 minutes",
 
 
 def top_turnover_writer(path: str, read_info: Callable[[], DataFrame], write: BatchWriter, n: int = 10,
-                        window: str = "60 minutes", baseline: str = "zero",
-                        lateness: str = LATENESS) -> BatchWriter:
-    """The top stations of each window that a micro-batch of readings touched."""
+                        window: str = "60 minutes", baseline: str = "zero", lateness: str = LATENESS,
+                        late: BatchWriter | None = None) -> BatchWriter:
+    """The top stations of each window that a micro-batch of readings touched; late
+    readings go where :func:`net_delta_writer` puts them."""
     def ranked(held: DataFrame, touched: DataFrame, batch_id: int) -> None:
         totals = held.join(touched, "window_start", "left_semi").select(*WINDOW_KEYS, "net")
         write(stations.top_turnover(stations.turnover_ratio(totals, read_info()), n), batch_id)
 
-    return net_delta_writer(path, lambda changes, batch_id: None, window, baseline, lateness, totals=ranked)
+    return net_delta_writer(path, lambda changes, batch_id: None, window, baseline, lateness, late, ranked)
 
 
 # --- arrivals ---------------------------------------------------------------
@@ -143,11 +174,11 @@ def improvements_writer(path: str, write: BatchWriter, now: Callable[[], Column]
     def run(batch: DataFrame, batch_id: int) -> None:
         before = table.before(batch.sparkSession, batch_id)
         rows = transit.upcoming(batch, now()).dropna(subset=transit.TRACK).select(
-            "seq", *transit.TRACK, "arrival", F.lit(False).alias("_stored"))
-        stored = before.select(F.lit(None).cast("bigint").alias("seq"), *transit.TRACK, "arrival",
-                               F.lit(True).alias("_stored"))
-        order = Window.partitionBy(*transit.TRACK).orderBy(F.col("_stored").desc(), "seq")
-        merged = rows.unionByName(stored).withColumn(
+            "seq", F.col(transit.order_of(batch)).alias("_order"), *transit.TRACK, "arrival",
+            F.lit(False).alias("_stored"))
+        stored = before.select(*transit.TRACK, "arrival", F.lit(True).alias("_stored"))
+        order = Window.partitionBy(*transit.TRACK).orderBy(F.col("_stored").desc(), "_order")
+        merged = rows.unionByName(stored, allowMissingColumns=True).withColumn(
             "_best", F.min("arrival").over(order.rowsBetween(Window.unboundedPreceding, -1))).persist()
         try:
             table.put(merged.groupBy(*transit.TRACK).agg(F.min("arrival").alias("arrival")), batch_id)

@@ -243,3 +243,101 @@ def test_countdown_messages_of_a_stream(spark, rows, tmp_path):
     want = train_plan.countdown(topics.topic_files(spark, path), stops, F.lit(100))
     assert rows(got, "seq", "message") == rows(want, "seq", "message")
     assert [r[0] for r in rows(want, "seq")] == [0, 1, 3]
+
+
+TOPIC = "key string, value string, timestamp timestamp, partition int, offset bigint"
+
+
+def _partitioned(rng, n):
+    """Un-keyed records of three partitions of different speed, in order of their arrival."""
+    offsets, data = [0, 1000, 7], []
+    for i in range(n):
+        p = rng.choice([0, 0, 0, 1, 2])
+        offsets[p] += rng.randint(1, 3)
+        data.append((None, f'{{"trip":{{"routeId":"1"}},"stopTimeUpdate":[{{"stopId":"{rng.choice(["101N", "102S"])}",'
+                           f'"arrival":{{"time":"{5000 - 4 * i + rng.randint(0, 900)}"}}}}]}}',
+                     at(f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00"), p, offsets[p]))
+    return data
+
+
+def _plain_improvements(data, now):
+    import json
+    best, out = {}, []
+    for _, value, _, _, offset in data:
+        stop = json.loads(value)["stopTimeUpdate"][0]
+        arrival, track = int(stop["arrival"]["time"]), stop["stopId"]
+        if arrival >= now and arrival < best.get(track, 1 << 62):
+            best[track] = arrival
+            out.append((arrival, offset, track))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("slices", [None, 1, 4])
+def test_improvements_over_partitions_of_a_topic(spark, slices):
+    from feedloom.operators import skew
+    data = _partitioned(random.Random(2), 300)
+    topic = topics.text_rows(spark.createDataFrame(random.Random(1).sample(data, len(data)), TOPIC))
+    arrivals = train_plan.arrivals(topic)
+    hot = None if slices is None else skew.hot_keys(arrivals, transit.TRACK, transit.ARRIVED, 10, slices)
+    got = transit.arrival_improvements(arrivals, F.lit(4100), hot)
+    assert sorted((r.arrival, r.seq, r.stop_id + r.direction) for r in got.collect()) == _plain_improvements(data, 4100)
+
+
+def test_streamed_improvements_over_partitions_of_a_topic(spark, tmp_path):
+    data, path = _partitioned(random.Random(4), 240), str(tmp_path / "topic")
+    for i in range(0, 240, 80):
+        spark.createDataFrame(data[i:i + 80], TOPIC).coalesce(1).write.mode("append").parquet(path)
+    stream = train_plan.arrivals(topics.topic_files(spark, path, stream=True, max_files=1))
+    got = _fold(spark, stream, tmp_path, lambda state, write: folds.improvements_writer(
+        state, write, lambda: F.lit(4100)))
+    assert sorted((r.arrival, r.seq, r.stop_id + r.direction) for r in got.collect()) == _plain_improvements(data, 4100)
+
+
+def test_arrival_numbers_follow_the_order(spark):
+    rows = [(None, "", t, p, o) for t in (at("1969-12-31 23:59:59"), at("1970-01-01"), at("2024-01-01"))
+            for p in (None, 1, 99_999) for o in (0, 5, 10 ** 17 - 1)]
+    df = spark.createDataFrame(rows, TOPIC).select("*", topics.arrival_number().alias("n"))
+    got = sorted(df.collect(), key=lambda r: r.n)
+    assert [(r.timestamp, r.partition or 0, r.offset) for r in got] == [(t, p or 0, o) for _, _, t, p, o in rows]
+    assert len({r.n for r in got}) == len(rows)
+    wide = spark.createDataFrame([(None, "", at("2024-01-01"), 100_000, 1)], TOPIC)
+    with pytest.raises(Exception, match="too many digits"):
+        wide.select(topics.arrival_number()).collect()
+    assert spark.createDataFrame([(None, "", None, 1, 1)], TOPIC).select(topics.arrival_number()).first()[0] is None
+
+
+def _readings(spark, path, *batches):
+    for data in batches:
+        spark.createDataFrame([(s, at(t), q, n) for s, t, q, n in data], READINGS).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@pytest.mark.parametrize("bad", [[("a", "2100-01-01", 1, 5)], [("a", "2100-01-01", 1, 5), ("b", "2024-01-01", 2, 3)]])
+def test_one_record_of_the_far_future_closes_nothing(spark, rows, tmp_path, bad):
+    stream = _readings(spark, str(tmp_path / "readings"), bad,
+                       [("b", "2024-01-01 00:10:00", 3, 4), ("c", "2024-01-01 00:20:00", 4, 1)],
+                       [("a", "2024-01-01 00:30:00", 5, 2), ("a", "2100-01-01 00:01:00", 6, 2), ("c", "2024-01-01 00:40:00", 7, 2)],
+                       [("d", "2024-01-02 00:00:00", 8, 2)])
+    got = _fold(spark, stream, tmp_path, lambda state, write: folds.net_delta_writer(state, write))
+    assert sorted(r.seq for r in got.collect()) == [r[2] for r in bad] + [3, 4, 5, 6, 7, 8]
+
+
+def test_late_readings_are_kept_without_being_asked_for(spark, rows, tmp_path):
+    info = spark.createDataFrame([("a", 10)], "station_id string, capacity int")
+    stream = _readings(spark, str(tmp_path / "readings"), [("a", "2024-01-09", 1, 5)], [("a", "2024-01-09 00:01:00", 2, 5)],
+                       [("a", "2024-01-01", 3, 7), ("a", "2024-01-09 00:02:00", 4, 6)])
+    ranked = _fold(spark, stream, tmp_path, lambda state, write: folds.top_turnover_writer(state, lambda: info, write))
+    assert ranked.count() == 3
+    assert rows(spark.read.parquet(folds.late_path(str(tmp_path / "state"))), "seq") == [(3,)]
+
+
+def test_change_totals_by_arrival_number(spark, rows, tmp_path):
+    path = str(tmp_path / "readings")
+    schema = READINGS.replace("seq bigint", "seq decimal(38,0)")
+    for data in ([("a", at("2024-01-01"), 10 ** 30, 5)], [("a", at("2024-01-01"), 10 ** 30 + 2, 1),
+                                                          ("a", at("2024-01-01"), 10 ** 30 + 1, 9)]):
+        spark.createDataFrame([(s, t, __import__("decimal").Decimal(q), n) for s, t, q, n in data], schema).coalesce(
+            1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = _fold(spark, stream, tmp_path, lambda state, write: folds.net_delta_writer(state, write))
+    assert rows(got, "num_bikes_available", "net") == [(1, 17), (5, 5), (9, 9)]

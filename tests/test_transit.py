@@ -240,3 +240,23 @@ def test_vehicle_status(spark, rows):
     df = spark.createDataFrame([(None, 3), ("STOPPED_AT", 3), ("STOPPED_AT", None)], "s string, n int")
     assert rows(df.select(trains.vehicle_status(F.col("s"), F.col("n")))) == [
         ("IN_TRANSIT_TO",), ("STOPPED_AT",), (None,)]
+
+
+@pytest.mark.parametrize("slices", [None, 1, 5])
+def test_cancelled_trips_by_one_sweep_equal_all_comparisons(spark, rows, slices):
+    import random
+    rng = random.Random(7)
+    pick = lambda lo, hi: rng.choice([None, *[rng.randint(lo, hi) for _ in range(12)]])
+    trips = [(i, rng.choice(["A", "A", "B", "C", None]), pick(0, 400)) for i in range(500)]
+    periods = [(rng.choice(["A", "A", "A", "B", None]), pick(0, 380), pick(10, 400)) for _ in range(60)] + [("B", None, None)]
+    periods = [(r, a, b) for r, a, b in periods if r != "A" or (a is not None and b is not None and b - a < 40)]
+    feed = [(i,) for i in range(0, 500, 7)]
+    inside = lambda s, a, b: (a is None or (s is not None and a <= s)) and (b is None or (s is not None and s < b))
+    want = sorted((t for t in trips if (t[0],) not in set(feed) and t[1] is not None
+                   and any(r == t[1] and inside(t[2], a, b) for r, a, b in periods)), key=repr)
+    schedule = spark.createDataFrame(trips, "trip_id long, route_id string, start_s long")
+    declared = spark.createDataFrame(periods, "route_id string, period_start long, period_end long")
+    hot = None if slices is None else skew.hot_keys(schedule, ["route_id"], "start_s", 50, slices)
+    got = transit.cancelled_trips(schedule, declared, spark.createDataFrame(feed, "trip_id long"), hot)
+    assert got.columns == schedule.columns and rows(got) == want
+    assert 50 < len(want) < 400
