@@ -28,6 +28,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, islice
 
 import numpy as np
@@ -285,30 +286,32 @@ def _vectors(counts: DataFrame, needed: DataFrame, model: Model, grams: bool) ->
         for i, lang in enumerate(model.langs)])
 
 
-def _grams(word: Column, longest: int) -> Column:
-    """array<(size, gram)> as ``grams_of`` gives them."""
-    def of(n: int) -> Column:
-        marked = F.concat(F.lit(" "), word, F.lit(" ")) if n > 1 else word
-        places = F.sequence(F.lit(1), F.char_length(marked) - n + 1)
-        return F.when(F.char_length(marked) >= n, F.transform(places, lambda i: F.struct(
-            F.lit(n).alias("size"), F.substring(marked, i, F.lit(n)).alias("token")))).otherwise(F.array())
-    return F.flatten(F.array(*[of(n) for n in range(1, longest + 1)]))
+def _grams(word: Column, n: int) -> Column:
+    """The n-grams of a word as ``grams_of`` gives them."""
+    marked = F.concat(F.lit(" "), word, F.lit(" ")) if n > 1 else word
+    places = F.sequence(F.lit(1), F.char_length(marked) - n + 1)
+    return F.when(F.char_length(marked) >= n, F.transform(places, lambda i: F.substring(marked, i, F.lit(n))))
 
 
 def scores_of(tokens: DataFrame, model: Model) -> DataFrame:
     """(_token, s0, s1, ..) of a stored table of distinct words, by the stored counts;
-    words without a known n-gram have no row."""
+    words without a known n-gram have no row.
+
+    Words back off together: those of which no n-gram of a size is known go on to the
+    next shorter one.
+    """
     words, grams = model.tables
     names = [f"s{i}" for i in range(len(model.langs))]
-    seen = written(_vectors(words, tokens, model, False), "seen")
-    unseen = tokens.join(seen.select(F.col("_token").alias("token")), "token", "left_anti")
-    parts = written(unseen.select(F.col("token").alias("word"), F.inline(_grams(F.col("token"), model.longest))),
-                    "unseen")
-    found = _vectors(grams, parts.select("token").distinct(), model, True)
-    by_size = parts.join(found, F.col("token") == F.col("_token")).groupBy("word", "size").agg(
-        *[F.avg(s).alias(s) for s in names])
-    backed = by_size.groupBy(F.col("word").alias("_token")).agg(*[F.max_by(s, "size").alias(s) for s in names])
-    return written(seen.union(backed), "scores")
+    found = [written(_vectors(words, tokens, model, False), "seen")]
+    waiting = tokens.select("token")
+    for n in range(model.longest, 0, -1):
+        waiting = written(waiting.join(found[-1].select(F.col("_token").alias("token")), "token", "left_anti"), "waiting")
+        parts = waiting.select(F.col("token").alias("word"), F.explode(_grams(F.col("token"), n)).alias("token"))
+        sized = grams.where(F.char_length("token") == n)
+        scored = parts.join(_vectors(sized, parts.select("token").distinct(), model, True), F.col("token") == F.col("_token"))
+        found.append(written(scored.groupBy(F.col("word").alias("_of")).agg(
+            *[F.avg(s).alias(s) for s in names]).withColumnRenamed("_of", "_token"), "backed"))
+    return reduce(DataFrame.union, found)
 
 
 def by_tables(texts: DataFrame, model: Model, shared) -> DataFrame:
