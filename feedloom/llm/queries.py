@@ -124,16 +124,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_chat_rotation": """
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS said FROM conversations),
-v AS (
-  SELECT conv_id, role AS participant,
-    ceil(sum(count(*)) OVER (PARTITION BY conv_id) / 1024.0)::BIGINT AS parts,
-    min(min(turn)) OVER (PARTITION BY conv_id)::DOUBLE AS lo,
-    max(max(turn)) OVER (PARTITION BY conv_id)::DOUBLE AS hi
-  FROM t GROUP BY conv_id, role),
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS said,
+    ((row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'),
+        coalesce(text, '')) - 1) // 1024)::INT AS part
+  FROM conversations),
+v AS (SELECT DISTINCT conv_id, role AS participant FROM t),
 s AS (
-  SELECT t.conv_id, participant, turn, role, said, role = participant AS own,
-    coalesce(least(floor((turn::DOUBLE - lo) / nullif(hi - lo, 0) * parts)::BIGINT, parts - 1), 0)::INT AS part,
+  SELECT t.conv_id, participant, turn, role, said, part, role = participant AS own,
     CASE WHEN role = participant THEN '<|assistant|>' || chr(10)
          ELSE '<|user name=' || role || '|>' || chr(10) END AS opening
   FROM t JOIN v ON t.conv_id IS NOT DISTINCT FROM v.conv_id),

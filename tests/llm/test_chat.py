@@ -76,3 +76,17 @@ def test_tied_null_and_outlying_turns_are_cut_too(spark):
 
 def test_empty_table(spark):
     assert chat.rotate(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def test_sql_and_query_agree_on_a_long_dialogue(spark, tmp_path):
+    import duckdb
+    from feedloom.llm import queries
+    rows = ([(1, i if i < 2500 else 10**9 + i % 7, f"s{i % 3}", f"t{i % 11}") for i in range(3000)]
+            + [(2, None, "a", "same")] * 1500 + [(None, 0, None, None), (None, 1, "b", "x" * 300)])
+    spark.createDataFrame(rows, TURNS).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(queries.ORACLES["op4_chat_rotation"])
+    got = queries.op4_chat_rotation(spark, str(tmp_path)).select(*want.columns)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+    assert sorted(r[3] for r in want.fetchall() if r[0] == 1 and r[1] == "s0") == [952, 1024, 1024]
