@@ -330,28 +330,28 @@ def by_tables(texts: DataFrame, model: Model, shared) -> DataFrame:
                     "rest": pa.array([list(f[3].items()) for f in found], pa.map_(pa.string(), pa.int64()))})
 
     scored = written(map_batches(texts, run, "_t1 bigint, _t2 int, sums array<double>, known bigint, total bigint, "
-                                             "rest map<string,bigint>"), "scored")
-    # Copies of a text have equal rows: one of each remains.
-    rest = scored.select(*text, F.explode("rest").alias("token", "n")).groupBy(*text, "token").agg(
-        F.max("n").alias("n"))
+                                             "rest map<string,bigint>").withColumn("_row", F.monotonically_increasing_id()),
+                     "scored")
     tokens = written(scored.select(F.explode(F.map_keys("rest")).alias("token")).distinct(), "tokens")
-    added = rest.join(scores_of(tokens, model), F.col("token") == F.col("_token")).groupBy(
-        F.col("_t1").alias("_a1"), F.col("_t2").alias("_a2")).agg(
+    # Rows are told apart by number, copies of a text too: so the words need no shuffle by text.
+    rest = scored.select("_row", F.explode("rest").alias("token", "n"))
+    added = rest.join(scores_of(tokens, model), F.col("token") == F.col("_token")).groupBy(F.col("_row").alias("_of")).agg(
         F.sum("n").alias("_n"), *[F.sum(F.col("n") * F.col(s)).alias(s) for s in names])
-    first = scored.groupBy(*text).agg(F.max("known").alias("known"), F.max("total").alias("total"),
-                                      *[F.max(F.get("sums", i)).alias(f"h{i}") for i in range(len(names))])
-    both = first.join(added, (F.col("_t1") == F.col("_a1")) & (F.col("_t2") == F.col("_a2")), "left").select(
+    both = scored.select("_row", *text, "known", "total", "sums").join(added, F.col("_row") == F.col("_of"), "left").select(
         *text, "total", (F.col("known") + F.coalesce("_n", F.lit(0))).alias("known"),
-        F.array(*[F.col(f"h{i}") + F.coalesce(s, F.lit(0.0)) for i, s in enumerate(names)]).alias("sums"))
+        F.array(*[F.get("sums", i) + F.coalesce(s, F.lit(0.0)) for i, s in enumerate(names)]).alias("sums"))
     least, langs = F.array_min("sums"), F.array(*map(F.lit, model.langs))
     shares = F.aggregate("sums", F.lit(0.0), lambda a, x: a + F.pow(
         F.lit(10.0), F.greatest(least - x, F.lit(-300.0))))
     most = F.lit(model.langs[int(np.argmax(model.totals))])
-    return both.select(
+    predicted = both.select(
         *text, F.when(F.col("total") == 0, UNKNOWN).when(F.col("known") == 0, most).otherwise(
             F.get(langs, F.array_position("sums", least).cast("int") - 1)).alias("_pred"),
         F.when(F.col("known") == 0, 0.0).otherwise(
             F.lit(1.0) / shares * F.col("known") / F.col("total")).alias("_score"))
+    # Copies of a text have equal rows but for the last digits of their sums: one of each remains.
+    one = predicted.groupBy(*text).agg(F.max(F.struct("_score", "_pred")).alias("_one"))
+    return written(one.select(*text, "_one._pred", "_one._score"), "predicted")
 
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_pred_col: str = "lang_pred",
