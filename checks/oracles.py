@@ -349,6 +349,7 @@ ORACLES |= {
     "stream_net_delta": _with("status net_hour",
                               "select station_id, window_start, window_end, net from net_hour"),
     "stream_ktable_latest": ORACLES["ktable_latest"],
+    "stream_keyed_net_delta": ORACLES["net_delta_changelog"],
     "stream_pair_correlation": ORACLES["pair_correlation"],
     "stream_next_arrival": ORACLES["next_arrival"],
     "stream_arrival_improvements": _with("updates arrivals all_upcoming improvements",
@@ -365,6 +366,8 @@ ORACLES |= {
         union all select null, null, null, null, count(*), 'log-messages' from events""",
 }
 
+ORACLES["stream_keyed_improvements"] = ORACLES["stream_arrival_improvements"]
+
 # End-to-end plans: topics as they arrive, malformed records aside.
 VIEWS |= {
     "good_status": f"select * from status where not {_MALFORMED}",

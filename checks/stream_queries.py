@@ -6,6 +6,8 @@ back what its sink wrote.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from feedloom.operators import logs, stations, tables, ticks, transit
 from feedloom.plans import log_shipping, publishing
 from feedloom.plans import trains as train_plan
 from feedloom.sinks import writers
-from feedloom.streaming import folds, run, streams
+from feedloom.streaming import folds, keyed, run, streams
 
 c = F.col
 
@@ -82,6 +84,29 @@ def stream_net_delta(spark, sf):
                                  ["station_id", "window_start", "window_end"], "seq", ["net"])
 
 
+def _dealt(spark, rows: DataFrame, order: str, batches: int = 3) -> DataFrame:
+    """A stream that takes all rows in ``batches`` micro-batches, in order."""
+    path = session.shared_dir(spark, "dealt")
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    part = F.floor((c(order) - low) * batches / (high - low + 1))
+    for n in range(batches):
+        rows.where(part == n).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def stream_keyed_net_delta(spark, sf):
+    readings = _dealt(spark, b.station_status(b.events(spark, sf)), "seq")
+    return _through_files(spark, keyed.net_delta_updates(readings, "1 day", lateness=timedelta(days=3650))).select(
+        "station_id", "window_start", "seq", "num_bikes_available", "net")
+
+
+@query
+def stream_keyed_improvements(spark, sf):
+    arrivals = _dealt(spark, train_plan.arrivals(b.trip_topic(b.events(spark, sf))), "seq")
+    return _through_files(spark, keyed.arrival_improvements(arrivals, now())).drop(writers.BATCH)
+
+
 @query
 def stream_top_turnover(spark, sf):
     out = session.shared_dir(spark, "stream")
