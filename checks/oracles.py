@@ -330,9 +330,11 @@ ORACLES = {
         select conv_id, turn, (i - 1)::int position, words[i] word
         from (select *, string_split(text, ' ') words from conversations) m, range(1, len(words) + 1) r(i)""",
     "message_history": """
-        select conv_id, turn // 1000 page, count(*) messages,
+        select conv_id, nth // 1000 page, count(*) messages,
           (sum(count(*)) over (partition by conv_id))::bigint total,
-          string_agg(text, chr(10) order by turn) history from conversations group by 1, 2""",
+          string_agg(text, chr(10) order by nth) history
+        from (select *, row_number() over (partition by conv_id order by turn nulls first, text nulls first) - 1 nth
+          from conversations) group by 1, 2""",
     "message_acks": """select conv_id, count(*) messages, 'Copy!' reply
         from conversations group by 1""",
     "reply_words": """
@@ -366,6 +368,7 @@ ORACLES |= {
         union all select null, null, null, null, count(*), 'log-messages' from events""",
 }
 
+ORACLES["block_correlation"] = ORACLES["pair_correlation"]
 ORACLES["stream_keyed_improvements"] = ORACLES["stream_arrival_improvements"]
 
 # End-to-end plans: topics as they arrive, malformed records aside.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from checks import bindings as b
 from feedloom import schemas, session
 from feedloom.functions import times, trains
-from feedloom.operators import (alerts, landing, logs, messages, posts, quality, stations, tables,
+from feedloom.operators import (alerts, blocks, landing, logs, messages, posts, quality, stations, tables,
                                 ticks, transit)
 from feedloom.plans import bikeshare, publishing, trading, trains as train_plan
 from feedloom.sinks import landing as landing_sink
@@ -208,6 +208,11 @@ def pair_correlation(spark, sf):
     return _correlations(spark, sf).withColumn("corr", F.round("corr", 6))
 
 
+@query
+def block_correlation(spark, sf):
+    return blocks.all_pairs_correlation(b.ticks(b.events(spark, sf))).withColumn("corr", F.round("corr", 6))
+
+
 @query
 def plan_signals(spark, sf):
     ev = b.events(spark, sf)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.operators import ranks
+
 #: Fixed value: the reply to a stream of messages.
 ACKNOWLEDGEMENT = "Copy!"
 
@@ -20,14 +22,16 @@ def word_stream(messages: DataFrame, text: str = "text") -> DataFrame:
 
 
 def message_history(messages: DataFrame, page: int) -> DataFrame:
-    """The messages of each conversation in arrival order, in pages of ``page`` turns.
+    """The messages of each conversation in arrival order, in pages of ``page`` messages.
 
-    A page bounds the list however long the conversation is; ``total`` counts
-    the messages of all its pages.
+    Order is by turn (unknown ones first), then text; a message's place is its rank
+    (:func:`feedloom.operators.ranks.ranked`), so no list is longer than ``page``, however
+    the turn numbers lie, and a conversation of many messages is ranked by many tasks.
+    ``total`` counts the messages of all pages.
     """
-    entry = F.struct("turn", "text")
-    pages = (messages.groupBy("conv_id", F.expr(f"turn div {page}").alias("page"))
-             .agg(F.sort_array(F.collect_list(entry)).alias("_m"))
+    place = ranks.ranked(messages.select("conv_id", "turn", "text"), ["conv_id"], ["turn", "text"], "_rank")
+    pages = (place.groupBy("conv_id", F.expr(f"_rank div {page}").alias("page"))
+             .agg(F.sort_array(F.collect_list(F.struct("_rank", "text"))).alias("_m"))
              .select("conv_id", "page", F.size("_m").cast("bigint").alias("messages"),
                      F.col("_m.text").alias("history")))
     return pages.withColumn("total", F.sum("messages").over(Window.partitionBy("conv_id")))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SIGNAL_THRESHOLD = -0.75
@@ -124,22 +124,75 @@ def cogroup_counts(ticks: DataFrame, pairs: Sequence[tuple[str, str]],
     return _window_columns(grouped, "n_1", "n_2", "n_both")
 
 
+def _day_span(length: str) -> int | None:
+    """The days of a window length such as "10 days"; none for other units."""
+    count, unit = length.split()
+    return int(count) if unit in ("day", "days") else None
+
+
+def _ends(pair_days: DataFrame, size: int, period: int) -> DataFrame:
+    """The pair's days and, with no prices, the later days on which a window ends that
+    holds the last price before them.
+
+    Days are numbers; a day that starts no new gap adds nothing, so a pair with prices on
+    all days has one row for each and ``size`` - 1 more after its last.
+    """
+    by_pair = Window.partitionBy("t1", "t2").orderBy("day")
+    # After the last day of a pair the next one is null, which least() passes over.
+    last = F.least(F.col("day") + F.lit(size - 1), F.lead("day").over(by_pair) - 1)
+    ends = pair_days.withColumn("_last", last).withColumn("_end", F.explode(F.sequence("day", "_last")))
+    own = F.col("_end") == F.col("day")
+    return ends.select("t1", "t2", "_end", *[F.when(own, F.col(c)).alias(c) for c in ("a", "b")],
+                       ((F.col("_end") + 1 - size) % period == 0).alias("_listed"))
+
+
+def pane_correlation(ticks: DataFrame, pairs: Sequence[tuple[str, str]], size: int = 10, period: int = 1) -> DataFrame:
+    """:func:`pair_correlation` of a batch for windows of whole days, without a copy of
+    each day for every window that holds it.
+
+    A day of a pair is one pane, shuffled once; a window is a range of panes, over which
+    the co-moments are merged (centred, so that large prices lose no digits).
+    """
+    if not 1 <= period <= size:
+        raise ValueError("period must be between one day and size")
+    day = F.floor(F.unix_seconds("day_time") / 86400).cast("int")
+    panes = _ends(aligned_days(ticks, pairs).select("t1", "t2", day.alias("day"), "a", "b"), size, period)
+    span = Window.partitionBy("t1", "t2").orderBy("_end").rangeBetween(1 - size, Window.currentRow)
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    a, b = F.when(both, F.col("a")), F.when(both, F.col("b"))
+    merged = panes.select(
+        "t1", "t2", "_end", "_listed", F.count("a").over(span).alias("n_1"), F.count("b").over(span).alias("n_2"),
+        F.covar_pop(a, b).over(span).alias("_cov"), F.stddev_pop(a).over(span).alias("_sd1"),
+        F.stddev_pop(b).over(span).alias("_sd2")).where("_listed")
+    end = F.date_add(F.lit("1970-01-01").cast("date"), F.col("_end") + 1).cast("timestamp")
+    return merged.select("t1", "t2", (end - F.expr(f"interval {size} days")).alias("window_start"),
+                         end.alias("window_end"), _corr().alias("corr"))
+
+
+def _corr() -> Column:
+    corr = (F.when((F.col("n_1") == 0) | (F.col("n_2") == 0), F.lit(0.0))
+            .otherwise(F.try_divide("_cov", F.col("_sd1") * F.col("_sd2"))))
+    return F.nanvl(corr, F.lit(None))
+
+
 def pair_correlation(ticks: DataFrame, pairs: Sequence[tuple[str, str]],
                      size: str = "10 days", period: str = "1 day") -> DataFrame:
     """Pearson correlation per pair and sliding window.
 
     0 when one side has no price in the window; null when the sides share fewer
-    than two days or one of them does not vary.
+    than two days or one of them does not vary.  A batch whose windows are whole
+    days goes through :func:`pane_correlation`.
     """
+    days = _day_span(size), _day_span(period)
+    if not ticks.isStreaming and None not in days:
+        return pane_correlation(ticks, pairs, *days)
     both = F.col("a").isNotNull() & F.col("b").isNotNull()
     a, b = F.when(both, F.col("a")), F.when(both, F.col("b"))
     grouped = (aligned_days(ticks, pairs).groupBy(_sliding(size, period), "t1", "t2")
                .agg(F.count("a").alias("n_1"), F.count("b").alias("n_2"),
                     F.covar_pop(a, b).alias("_cov"),
                     F.stddev_pop(a).alias("_sd1"), F.stddev_pop(b).alias("_sd2")))
-    corr = (F.when((F.col("n_1") == 0) | (F.col("n_2") == 0), F.lit(0.0))
-            .otherwise(F.try_divide("_cov", F.col("_sd1") * F.col("_sd2"))))
-    return _window_columns(grouped, F.nanvl(corr, F.lit(None)).alias("corr"))
+    return _window_columns(grouped, _corr().alias("corr"))
 
 
 def pair_signals(correlations: DataFrame, threshold: float = SIGNAL_THRESHOLD) -> DataFrame:

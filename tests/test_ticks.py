@@ -142,3 +142,26 @@ def test_stream_signals_equal_batch_once_windows_close(spark, rows, tmp_path):
         "t1", "t2", "window_start", F.round("corr", 9))
     assert set(rows(got)) <= set(rows(everything))
     assert want.count() > 50
+
+
+@pytest.mark.parametrize(("size", "period"), [(10, 1), (7, 3), (2, 2), (1, 1)])
+def test_panes_equal_the_copied_windows(spark, rows, size, period):
+    """The form for streams, which copies each day into all its windows, on the same batch."""
+    data = [x for x in _series(seed=size) if random.Random(str(x)).random() < 0.7]
+    data += [("goog", "2019-01-01", 5.0), ("goog", "1969-12-20", 4.0), ("aapl", "1969-12-22", 4.0)]
+    df = prices(spark, data)
+    want = ticks.pair_correlation(df, PAIRS, f"{24 * size} hours", f"{24 * period} hours")
+    got = ticks.pane_correlation(df, PAIRS, size, period)
+    columns = ["t1", "t2", "window_start", "window_end", F.round("corr", 9)]
+    assert rows(got, *columns) == rows(want, *columns)
+    assert want.count() > 20
+
+
+def test_windows_with_gaps_between_are_refused(spark):
+    with pytest.raises(ValueError):
+        ticks.pane_correlation(prices(spark, _series()), PAIRS, 2, 5)
+
+
+def test_a_pane_is_shuffled_once(spark):
+    plan = ticks.pane_correlation(prices(spark, _series()), PAIRS)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Window [") + plan.count("Window(") <= 4
