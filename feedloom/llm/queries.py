@@ -83,8 +83,12 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "warc")
     warc.write(table(spark, sf, "pages", "page_id", "url", "html"), folder)
+    # Bytes and digest are those of the original put together again: a response's block
+    # is cut from its record, a revisit takes the payload of the record it refers to.
+    whole = F.when(F.col("record_type") == "response", warc.block_of(F.col("record"))).otherwise(F.col("payload"))
     return warc.read(spark, folder).select(
-        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("record_id").cast("bigint").alias("page_id"),
+        F.octet_length(whole).cast("bigint").alias("payload_bytes"), F.sha2(whole, 256).alias("payload_digest"),
         "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 

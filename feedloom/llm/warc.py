@@ -81,6 +81,13 @@ def write(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: st
      .write.parquet(f"{folder}/records"))
 
 
+def block_of(record: Column) -> Column:
+    """The bytes between an archived record's header and the two line ends after it."""
+    ends = len(CRLF + CRLF)
+    head = F.octet_length(F.substring_index(record.cast("string"), CRLF + CRLF, 1)) + F.lit(ends)
+    return F.substring(record, head + 1, F.octet_length(record) - head - ends)
+
+
 def _field(name: str, pattern: str) -> Column:
     found = F.regexp_extract("header", rf"\n{name}: {pattern}\r\n", 1)
     return F.when(found != "", found)

@@ -19,6 +19,13 @@ def archive(spark, rows, **kw):
     return folder
 
 
+def test_blocks_are_cut_from_records(spark):
+    rows = [(1, "http://é/1", LONG), (2, "u", LONG), (3, None, "a\r\n\r\nb" * 30), (4, "u", None), (5, "u", "\r\n\r\n")]
+    got = warc.read(spark, archive(spark, rows)).select("record_id", warc.block_of(F.col("record")).alias("block"))
+    assert {int(r.record_id): bytes(r.block).decode() for r in got.collect()} == {
+        1: LONG, 2: "", 3: "a\r\n\r\nb" * 30, 4: "", 5: "\r\n\r\n"}
+
+
 def test_records_round_trip(spark):
     rows = [(1, "http://a/1", LONG), (2, "http://a/\r\nX: y", LONG), (3, None, "short"), (4, "u", "short"),
             (5, "u", None), (6, "u", ""), (7, "u", "z" * 200_000)]
