@@ -7,7 +7,8 @@ on one diagonal form a maximal match.  For each document and item with a seed,
 the longest match is marked again and again, what overlaps with marked words is
 cut off, until no match of ``MIN_MATCH`` words is left.  An item is contained if
 the marked words cover at least ``MIN_COVERAGE`` of it, in whatever order its
-passages come.
+passages come.  Long texts of few words have too many pairs of equal seeds to list
+them; there, hashes of falling width are compared, which needs no list.
 
 Documents are never shuffled: every task has the benchmark, in blocks of at most
 ``BLOCK_BYTES`` of text (or one item); a larger benchmark takes more passes.
@@ -36,6 +37,9 @@ from feedloom.llm.common import decoded_texts, free_name, held, map_batches, sli
 
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 BLOCK_BYTES = 16 << 20
+#: Pairs of equal seeds of a document and an item that are listed; more, as long texts of
+#: few words have, are tiled by :func:`running_tiles`, with the same result.
+PAIRS = 1 << 16
 WORD = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,6 +95,69 @@ def tiles(matches: list[tuple[int, int, int]], min_match: int) -> list[tuple[int
     return out
 
 
+class Windows:
+    """Karp-Rabin hashes of all windows of a sequence, for any width, by prefix sums."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        n = len(ids)
+        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BASE)]), dtype=np.uint64)
+        self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse)]), dtype=np.uint64)
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum((ids + 1).astype(np.uint64) * powers[:n], dtype=np.uint64)])
+
+    def of(self, width: int, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, hash) of each window whose words are all free."""
+        used = np.concatenate([[0], np.cumsum(~free)])
+        at = np.flatnonzero(used[width:] == used[:-width])
+        return at, (self.sums[at + width] - self.sums[at]) * self.back[at]
+
+
+def running_tiles(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
+    """The greedy tiles of :func:`tiles` without a list of matches, in memory of both texts' length.
+
+    Running Karp-Rabin: the longest width at which free windows of both sides have
+    equal hashes is found by halving, as shorter windows agree where longer ones do.
+    At this width the tiles are taken by place; then the next smaller width follows.
+    Equal words confirm each tile; hashes that only seem equal make the width too
+    large, never too small, and it goes down by one then.
+    """
+    in_doc, in_item = Windows(doc), Windows(item)
+    free_doc, free_item = doc >= 0, np.ones(len(item), bool)
+    out = []
+
+    def agree(width: int) -> bool:
+        return bool(np.isin(in_item.of(width, free_item)[1], in_doc.of(width, free_doc)[1]).any())
+
+    largest = min(len(doc), len(item))
+    while largest >= min_match and agree(min_match):
+        low, high = min_match, largest
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if agree(middle) else (low, middle - 1)
+        width = low
+        at, hashes = in_item.of(width, free_item)
+        left: dict[int, list[int]] = {}
+        for p, h in zip(at.tolist(), hashes.tolist()):
+            left.setdefault(h, []).append(p)
+        at, hashes = in_doc.of(width, free_doc)
+        shared = np.isin(hashes, np.fromiter(left, np.uint64, len(left)))
+        end = 0
+        for d, h in zip(at[shared].tolist(), hashes[shared].tolist()):
+            if d < end or h not in left:
+                continue
+            left[h] = [p for p in left[h] if free_item[p:p + width].all()]
+            if not left[h]:
+                del left[h]
+                continue
+            p = next((p for p in left[h] if np.array_equal(doc[d:d + width], item[p:p + width])), None)
+            if p is not None:
+                out.append((d, p, width))
+                free_doc[d:d + width] = free_item[p:p + width] = False
+                end = d + width
+        largest = width - 1
+    return out
+
+
 class Items:
     """A block of benchmark items with the index of their seeds."""
 
@@ -110,50 +177,67 @@ class Items:
         self.at = np.concatenate([*[np.arange(len(h)) for h in hashes], np.empty(0, np.int64)]).astype(np.int64)[order]
         self.distinct = np.unique(self.hashes)
 
-    def seeds(self, ids: np.ndarray) -> np.ndarray:
-        """(item, document word - item word, document word) of each confirmed seed."""
-        none = np.empty((0, 3), np.int64)
+    def shared(self, ids: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+        """Where the document's hashes are those of items, not yet as pairs of places.
+
+        Gives the document's places grouped by hash; for each item (sorted) its places
+        with the group of equal document places, as (first, count) and item place; and
+        the items.  All of it is as large as document and block together at most.
+        """
         hashes = rolling(ids, self.min_match)
+        none = np.empty(0, np.int64)
         if not len(hashes) or not len(self.distinct):
-            return none
+            return none, [], none
         place = np.searchsorted(self.distinct, hashes)
         place[place == len(self.distinct)] = 0
-        known = ids >= 0
-        inside = np.convolve(known, np.ones(self.min_match, np.int64), "valid") == self.min_match
+        inside = np.convolve(ids >= 0, np.ones(self.min_match, np.int64), "valid") == self.min_match
         at = np.flatnonzero((self.distinct[place] == hashes) & inside)
         if not len(at):
-            return none
-        first = np.searchsorted(self.hashes, hashes[at], "left")
-        count = np.searchsorted(self.hashes, hashes[at], "right") - first
-        doc = np.repeat(at, count)
-        entry = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        item, pos = self.item[entry], self.at[entry]
-        place = self.offset[item] + pos
-        same = np.ones(len(doc), bool)
+            return none, [], none
+        at = at[np.argsort(hashes[at], kind="stable")]
+        values, first, count = np.unique(hashes[at], return_index=True, return_counts=True)
+        begin = np.searchsorted(self.hashes, values, "left")
+        size = np.searchsorted(self.hashes, values, "right") - begin
+        group = np.repeat(np.arange(len(values)), size)
+        entry = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        order = np.argsort(self.item[entry], kind="stable")
+        group, entry = group[order], entry[order]
+        items, starts = np.unique(self.item[entry], return_index=True)
+        parts = [(first[g], count[g], self.at[e]) for g, e in
+                 zip(np.split(group, starts[1:]), np.split(entry, starts[1:]))]
+        return at, parts, items
+
+    def matches(self, ids: np.ndarray, at: np.ndarray, part: tuple, item: int) -> list[tuple[int, int, int]]:
+        """The maximal matches (document word, item word, length) of an item: seeds in a row on a diagonal."""
+        first, count, pos = part
+        before = np.concatenate([[0], np.cumsum(count)[:-1]])
+        doc = at[np.repeat(first - before, count) + np.arange(count.sum())]
+        pos = np.repeat(pos, count)
+        words, same = self.words[item], np.ones(len(doc), bool)
         for k in range(self.min_match):
-            same &= ids[doc + k] == self.flat[place + k]
-        return np.stack([item, doc - pos, doc], axis=1)[same]
+            same &= ids[doc + k] == words[pos + k]
+        diagonal, doc = (doc - pos)[same], doc[same]
+        if not len(doc):
+            return []
+        order = np.lexsort((doc, diagonal))
+        diagonal, doc = diagonal[order], doc[order]
+        starts = np.concatenate([[0], np.flatnonzero((np.diff(diagonal) != 0) | (np.diff(doc) != 1)) + 1])
+        lengths = np.diff(np.append(starts, len(doc))) + self.min_match - 1
+        return list(zip(doc[starts].tolist(), (doc - diagonal)[starts].tolist(), lengths.tolist()))
 
     def hits(self, text: str, min_coverage: float) -> list[dict]:
         words = words_of(text)
         get = self.number.get
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        seeds = self.seeds(ids)
-        if not len(seeds):
-            return []
-        seeds = seeds[np.lexsort((seeds[:, 2], seeds[:, 1], seeds[:, 0]))]
-        step = np.diff(seeds, axis=0)
-        starts = np.concatenate([[0], np.flatnonzero((step[:, 0] != 0) | (step[:, 1] != 0) | (step[:, 2] != 1)) + 1])
-        ends = np.append(starts[1:], len(seeds))
-        by_item: dict[int, list[tuple[int, int, int]]] = {}
-        for s, e in zip(starts, ends):
-            item, diagonal, d = map(int, seeds[s])
-            by_item.setdefault(item, []).append((d, d - diagonal, int(e - s) + self.min_match - 1))
+        at, parts, found = self.shared(ids)
         out, places = [], None
-        for item, matches in sorted(by_item.items()):
-            marked = tiles(matches, self.min_match)
+        for item, part in zip(found.tolist(), parts):
+            if int(part[1].sum()) <= PAIRS:
+                marked = tiles(self.matches(ids, at, part, item), self.min_match)
+            else:
+                marked = running_tiles(ids, self.words[item], self.min_match)
             coverage = sum(n for _, _, n in marked) / len(self.words[item])
-            if coverage < min_coverage:
+            if not marked or coverage < min_coverage:
                 continue
             places = places or [m.span() for m in WORD.finditer(text)]
             out.append({"item_id": self.ids[item], "coverage": coverage, "longest": max(n for _, _, n in marked),

@@ -1,7 +1,9 @@
 """Greedy string tiling against a plain version, reordered passages, defined cases."""
 
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,8 +33,10 @@ def plain_coverage(doc, item, least):
         marked += n
 
 
+@pytest.mark.parametrize("pairs", [decontaminate.PAIRS, 0])
 @pytest.mark.parametrize("seed", range(25))
-def test_coverage_against_plain_tiling(seed):
+def test_coverage_against_plain_tiling(seed, pairs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
     rng = random.Random(seed)
     item = [rng.choice("abcdefgh"[:rng.randint(2, 8)]) for _ in range(rng.randint(3, 30))]
     doc = [rng.choice("abcdefgh") for _ in range(10)]
@@ -43,6 +47,34 @@ def test_coverage_against_plain_tiling(seed):
     assert (got[0]["coverage"] if got else 0.0) == pytest.approx(plain_coverage(doc, item, 3))
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_running_tiles_are_the_listed_ones(seed):
+    rng = random.Random(seed)
+    item = [rng.choice("abc"[:rng.randint(1, 3)]) for _ in range(rng.randint(1, 60))]
+    doc = [rng.choice("abcd") for _ in range(rng.randint(0, 40))] + item[rng.randrange(len(item)):] * rng.randint(0, 3)
+    items = decontaminate.Items([(1, " ".join(item))], 3)
+    ids = np.array([items.number.get(w, -1) for w in doc], np.int64)
+    at, parts, found = items.shared(ids)
+    listed = decontaminate.tiles(items.matches(ids, at, parts[0], 0), 3) if len(found) else []
+    assert decontaminate.running_tiles(ids, items.words[0], 3) == listed
+
+
+def test_equal_hashes_of_unequal_words_are_no_match(monkeypatch):
+    monkeypatch.setattr(decontaminate, "BASE", np.uint64(1))
+    item, doc = np.array([0, 1, 2, 3, 4]), np.array([4, 3, 2, 1, 0, 9, 0, 1, 2, 4, 3])
+    assert decontaminate.running_tiles(doc, item, 3) == [(6, 0, 3)]
+
+
+def test_long_texts_of_few_words_take_little_memory():
+    items = decontaminate.Items([(1, "w " * 400), (2, "a b " * 200), (3, "w " * 50 + "x y z u v")], 5)
+    tracemalloc.start()
+    hits = items.hits("w " * 100_000 + "a b " * 50_000, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(h["item_id"], h["longest"]) for h in hits] == [(1, 400), (2, 400), (3, 50)]
+    assert hits[2]["coverage"] == pytest.approx(50 / 55) and peak < 200 << 20
+
+
 def found(spark, docs, items, **kw):
     df = spark.createDataFrame(docs, DOCS).withColumn("hits", F.lit("own")).withColumn("item_id", F.lit(1))
     rows = decontaminate.find(df, spark.createDataFrame(items, ITEMS), **kw).collect()
