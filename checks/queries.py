@@ -18,7 +18,7 @@ from feedloom.operators import (alerts, blocks, landing, logs, messages, posts,
                                 ticks, transit)
 from feedloom.plans import bikeshare, publishing, trading, trains as train_plan
 from feedloom.sinks import landing as landing_sink
-from feedloom.sinks import writers
+from feedloom.sinks import published, writers
 from feedloom.sources import files, tables as table_sources
 
 c = F.col
@@ -491,6 +491,22 @@ def kv_upsert(spark, sf):
     return tables.upsert_entries(b.posts(spark, sf), "title", "body", "seq")
 
 
+@query
+def published_entries(spark, sf):
+    """Entries in four batches by seq, the second one sent again, compacted after the third."""
+    path, rows = session.shared_dir(spark, "published"), b.posts(spark, sf)
+    last = rows.agg(F.max("seq")).first()[0]
+    if last is None:
+        return published.read_entries(spark, path, "title", "body")
+    part = F.floor(c("seq") * 4 / (last + 1))
+    write = published.entries(path, "title", "body", "seq")
+    for n in (0, 1, 1, 2):
+        write(rows.where(part == n), n)
+    published.compact_entries(spark, path, "title", "body")
+    write(rows.where(part == 3), 3)
+    return published.read_entries(spark, path, "title", "body")
+
+
 @query
 def log_partitions(spark, sf):
     return logs.partition_counts(b.logs(b.events(spark, sf)))

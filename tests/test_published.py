@@ -1,0 +1,88 @@
+"""Whole versions only: failing tasks, replays, readers during a compaction."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.sinks import published
+
+ROWS = "seq bigint, title string, body string"
+
+
+def batch(spark, *data):
+    return spark.createDataFrame(list(data), ROWS)
+
+
+def test_a_table_without_a_version_is_empty(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = batch(spark).schema
+    assert published.latest_version(spark, path) is None and published.parts(spark, path) == []
+    assert published.read(spark, path, schema).collect() == []
+    assert published.read_entries(spark, path, "title", "body").collect() == []
+    assert published.compact_entries(spark, path, "title", "body") is None and published.retired(spark, path) == []
+
+
+def test_a_task_that_fails_half_way_shows_nothing(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write = published.table(path)
+    write(batch(spark, (1, "a", "x")), 0)
+    # Some partitions are written before the bad row is met.
+    broken = spark.range(0, 1000, 1, 8).select(
+        F.col("id").alias("seq"), F.lit("b").alias("title"),
+        F.when(F.col("id") == 999, F.raise_error(F.lit("bad row"))).otherwise("y").alias("body"))
+    with pytest.raises(Exception, match="bad row"):
+        write(broken, 1)
+    schema = batch(spark).schema
+    assert rows(published.read(spark, path, schema), "seq", "title", "body", "batch_id") == [(1, "a", "x", 0)]
+    assert published.latest_version(spark, path) == 1
+    write(batch(spark, (2, "b", "y")), 1)
+    assert rows(published.read(spark, path, schema), "seq", "batch_id") == [(1, 0), (2, 1)]
+
+
+def test_a_version_that_was_not_finished_is_none(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    published.publish(batch(spark, (1, "a", "x")), path, 0)
+    # The list of version 2 was being written when its writer was lost.
+    os.makedirs(f"{path}/versions/version=2/_temporary/0")
+    assert published.latest_version(spark, path) == 1
+    assert published.publish(batch(spark, (2, "b", "y")), path, 1) == 2
+    assert rows(published.read(spark, path, batch(spark).schema), "seq") == [(1,), (2,)]
+
+
+def test_a_replayed_batch_takes_its_own_place(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for n, data in ((0, [(1, "a", "x")]), (1, [(2, "b", "y")]), (0, [(1, "a", "x"), (3, "c", "z")])):
+        published.publish(batch(spark, *data), path, n)
+    schema = batch(spark).schema
+    assert rows(published.read(spark, path, schema), "seq", "batch_id") == [(1, 0), (2, 1), (3, 0)]
+    assert rows(published.read(spark, path, schema, version=2), "seq") == [(1,), (2,)]
+    assert len(published.retired(spark, path)) == 1 and published.retired(spark, path, keep=3) == []
+
+
+def test_readers_go_on_during_a_compaction(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write = published.entries(path, "title", "body", "seq")
+    write(batch(spark, (1, "a", "old"), (2, "b", "b")), 0)
+    write(batch(spark, (5, "a", "new"), (4, "a", "older"), (6, None, "n")), 1)
+    # An entry without a key is none, as in the other store.
+    want = [("a", "new"), ("b", "b")]
+    before = published.read_entries(spark, path, "title", "body")
+    assert published.compact_entries(spark, path, "title", "body") == 3
+    after = published.read_entries(spark, path, "title", "body")
+    for df in (before, after):
+        assert rows(df) == want
+    assert [b for b, _ in published.parts(spark, path)] == [published.COMPACTED]
+    write(batch(spark, (7, "b", "last")), 2)
+    assert ("b", "last") in rows(published.read_entries(spark, path, "title", "body"))
+    assert len(published.retired(spark, path)) == 2
+
+
+def test_extra_columns_nulls_and_clashing_names(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    df = batch(spark, (None, None, None), (1, "a", "x")).withColumn("batch_id", F.lit("own")).withColumn(
+        "version", F.lit("v")).withColumn("part", F.lit("p"))
+    published.publish(df, path, 4)
+    got = published.read(spark, path, df.schema)
+    assert [tuple(r) for r in got.orderBy("seq").collect()] == [
+        (None, None, None, "v", "p", 4), (1, "a", "x", "v", "p", 4)]
