@@ -368,6 +368,7 @@ ORACLES |= {
         union all select null, null, null, null, count(*), 'log-messages' from events""",
 }
 
+ORACLES["landed_load"] = ORACLES["manifest_load"]
 ORACLES["published_entries"] = ORACLES["kv_upsert"]
 ORACLES["block_correlation"] = ORACLES["pair_correlation"]
 ORACLES["stream_keyed_improvements"] = ORACLES["stream_arrival_improvements"]

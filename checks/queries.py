@@ -469,6 +469,18 @@ def manifest_load(spark, sf):
     return publishing.load_announced(files.manifest(spark, notices))
 
 
+@query
+def landed_load(spark, sf):
+    path, notices = session.shared_dir(spark, "landing"), session.shared_dir(spark, "manifest")
+    rows = b.post_json(spark, sf)
+    landing_sink.land_runs(rows, path)
+    # As in manifest_load: every run but the German one is announced, one of them twice.
+    runs = rows.select(landing.RUN).distinct().where(c(landing.RUN) != "de")
+    sent = runs.select(F.concat(F.lit(f"{path}/{landing.RUN}="), landing.RUN).alias("s3_path"))
+    landing_sink.notify(sent.unionByName(sent.limit(1)), notices)
+    return publishing.load_landed(files.manifest(spark, notices), path)
+
+
 @query
 def posts_scan(spark, sf):
     path = session.shared_dir(spark, "posts")

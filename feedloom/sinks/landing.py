@@ -24,6 +24,11 @@ def land_snapshot(posts: DataFrame, path: str, run: str) -> str:
     return target
 
 
+def land_runs(posts: DataFrame, path: str) -> None:
+    """Write the snapshots of several runs (column ``ingest_ts``) in one job; each replaces its own directory only."""
+    posts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).json(path)
+
+
 def notify(snapshots: DataFrame, manifest_path: str) -> None:
     """Append one notification per landed snapshot (column ``s3_path``)."""
     (snapshots.select("s3_path", F.lit("post").alias("body"))

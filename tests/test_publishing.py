@@ -85,6 +85,44 @@ def test_only_announced_snapshots_load(spark, rows, tmp_path):
     assert publishing.load_announced(files.manifest(spark, manifest)).count() == 2
 
 
+def test_announced_runs_prune_the_landing_table(spark, rows, tmp_path):
+    path, manifest = str(tmp_path / "landing"), str(tmp_path / "manifest")
+    landed = snapshot(spark, 1, 2, 3, 4).withColumn("ingest_ts", F.concat(F.lit("2018070"), "id"))
+    landing_sink.land_runs(landed, path)
+
+    def announce(*paths):
+        landing_sink.notify(spark.createDataFrame([(p,) for p in paths], "s3_path string"), manifest)
+
+    announce(f"{path}/ingest_ts=20180701", f"{path}/ingest_ts=20180703/", f"{path}/ingest_ts=20180701", "")
+    notices = files.manifest(spark, manifest)
+    loaded = publishing.load_landed(notices, path)
+    assert rows(loaded, "id", "title", "ingest_ts") == [(1, "t1", "20180701"), (3, "t3", "20180703")]
+    # Read directories are chosen when the query runs, and the plan has one read of the table.
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(ingest_ts" in plan and plan.count("FileScan json [id") <= 2
+    assert publishing.not_landed(notices, path).collect() == []
+    announce(f"{path}/ingest_ts=20180799", f"{tmp_path}/elsewhere/posts.json", f"{path}/ingest_ts=20180702/part.json")
+    lost = publishing.not_landed(files.manifest(spark, manifest), path)
+    assert rows(lost) == sorted([(f"{path}/ingest_ts=20180799",), (f"{tmp_path}/elsewhere/posts.json",),
+                                 (f"{path}/ingest_ts=20180702/part.json",)])
+    with pytest.raises(ValueError, match="not landed"):
+        publishing.load_on_notification(lambda df, n: None, landing_path=path)(files.manifest(spark, manifest), 0)
+    # A run landed again replaces itself and no other.
+    landing_sink.land_runs(landed.where("id = 1").withColumn("title", F.lit("new")), path)
+    assert rows(publishing.load_landed(notices, path), "id", "title") == [(1, "new"), (3, "t3")]
+
+
+def test_stream_of_notifications_of_one_landing_table(spark, rows, tmp_path):
+    path, manifest, out = (str(tmp_path / n) for n in ("landing", "manifest", "out"))
+    for day, ids in ((1, (1, 2)), (2, (3,))):
+        publishing.import_snapshot(snapshot(spark, *ids), path, manifest, datetime(2018, 7, day))
+    landing_sink.land_snapshot(snapshot(spark, 9), path, "20180709000000")
+    run.run_available(files.manifest(spark, manifest, stream=True),
+                      publishing.load_on_notification(writers.files(out), landing_path=path),
+                      str(tmp_path / "checkpoint"))
+    assert rows(spark.read.parquet(out), "id") == [(1,), (2,), (3,)]
+
+
 def test_announced_objects_may_have_any_name(spark, rows, tmp_path):
     bucket = tmp_path / "bucket"
     bucket.mkdir()
