@@ -369,6 +369,7 @@ ORACLES |= {
 }
 
 ORACLES["landed_load"] = ORACLES["manifest_load"]
+ORACLES["tag_route_indexed"] = ORACLES["tag_route"]
 ORACLES["published_entries"] = ORACLES["kv_upsert"]
 ORACLES["block_correlation"] = ORACLES["pair_correlation"]
 ORACLES["stream_keyed_improvements"] = ORACLES["stream_arrival_improvements"]

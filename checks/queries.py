@@ -529,6 +529,12 @@ def tag_route(spark, sf):
     return logs.route_tags(b.logs(b.events(spark, sf)), LOG_ROUTES).select("seq", "tag", "topic")
 
 
+@query
+def tag_route_indexed(spark, sf):
+    routes = logs.route_index(spark, LOG_ROUTES)
+    return logs.route_tags_by_index(b.logs(b.events(spark, sf)), routes).select("seq", "tag", "topic")
+
+
 @query
 def index_documents(spark, sf):
     return logs.index_documents(b.logs(b.events(spark, sf)))

@@ -46,3 +46,19 @@ def topic_for(tag: Column, routes: list[tuple[str, str]]) -> Column:
     for pattern, topic in reversed(routes):
         chosen = F.when(matches_tag(tag, pattern), F.lit(topic)).otherwise(chosen)
     return chosen
+
+
+def literal_ends(pattern: str) -> tuple[str, str]:
+    """The dot parts that every match of one pattern begins and ends with, joined by dots.
+
+    A part next to ``**`` that is glued to more text does not count, as the dot
+    between them may be missing in a match.
+    """
+    parts = pattern.split(".")
+    wild = [i for i, p in enumerate(parts) if any(x in p for x in "*{}")]
+    if not wild:
+        return pattern, pattern
+    first, last = parts[wild[0]], parts[wild[-1]]
+    begin = wild[0] - (first.startswith("**") and first != "**")
+    end = wild[-1] + 1 + (last.endswith("**") and last != "**")
+    return ".".join(parts[:max(begin, 0)]), ".".join(parts[end:])

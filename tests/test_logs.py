@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +146,30 @@ def test_kafka_settings():
     options = writers.kafka_options("h:9092", "t", "gzip")
     assert options["kafka.acks"] == "all" and options["kafka.compression.type"] == "gzip"
     assert (run.POLL, run.FLUSH, run.ROTATE) == ("30 seconds", "3 seconds", "60 seconds")
+
+
+def test_routes_by_index_are_the_routes(spark):
+    rng = random.Random(5)
+    parts = ["a", "b", "ab", "", "*", "**", "a*", "**b", "b**", "{a,b}", "{a.b,**}", "x{a,b.a}"]
+    routes = [(" ".join(".".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(rng.randint(1, 2))), f"t{i}")
+              for i in range(60)]
+    names = [".".join(rng.choices(["a", "b", "ab", "ba", "xa", "c", ""], k=rng.randint(1, 5))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*names, None, "", "a", "a", "x.y.z"])], "seq long, tag string")
+    for some in (routes, routes[:5], [*routes[7:20], ("a", None)]):
+        want = logs.route_tags(df, some).select("seq", "topic").orderBy("seq").collect()
+        got = logs.route_tags_by_index(df.withColumn("topic", F.lit("own")), logs.route_index(spark, some))
+        assert got.select("seq", "topic").orderBy("seq").collect() == want
+    assert logs.route_tags_by_index(df.limit(0), logs.route_index(spark, routes)).collect() == []
+    assert logs.route_tags_by_index(df, logs.route_index(spark, [])).collect() == []
+
+
+def test_the_plan_does_not_grow_with_the_routes(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("app."), F.col("id").cast("string"), F.lit(".error")).alias("tag"))
+    sizes = []
+    for n in (10, 10_000):
+        routes = [(f"app.{i}.**", f"topic{i % 7}") for i in range(n)]
+        routed = logs.route_tags_by_index(df, logs.route_index(spark, routes))
+        plan = routed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        sizes.append(len(plan))
+        assert routed.where(F.col("topic") == "topic3").count() == sum(i % 7 == 3 for i in range(n))
+    assert sizes[0] == sizes[1]
