@@ -34,8 +34,11 @@ DOCUMENTS = T.StructType([
 
 
 def _stream(spark, sf: str, name: str, schema: T.StructType) -> DataFrame:
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .parquet(sf))
+    """A table, one file or a folder of many, as a file stream.
+
+    A stream takes a folder as its path, or a pattern; this pattern matches just the table.
+    """
+    return spark.readStream.schema(schema).parquet(f"{sf}/[{name[0]}]{name[1:]}.parquet")
 
 
 def _events(spark, sf) -> DataFrame:

@@ -1,0 +1,27 @@
+"""A table of the queries may be one file or a folder of many: streams take both."""
+
+import os
+
+import pytest
+
+from checks.queries import all_queries
+
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """Tables as Spark writes them: a folder of several files each."""
+    path = str(tmp_path_factory.mktemp("tables"))
+    docs = [(n, f"text {n}", "ab"[n % 2], f"src{n % 3}", 6) for n in range(40)]
+    labels = [(n, n % 4 // 2, n % 2) for n in range(0, 40, 3)]
+    spark.createDataFrame(docs, DOCUMENTS).repartition(4).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    assert len([n for n in os.listdir(f"{path}/documents.parquet") if n.endswith(".parquet")]) > 1
+    return path
+
+
+def test_entries_of_a_streamed_folder(spark, rows, folders):
+    got = rows(all_queries()["stream_kv_upsert"](spark, folders), "title", "body")
+    assert len(got) == 6 and ("src0/a", "text 36") in got
+    assert got == rows(all_queries()["kv_upsert"](spark, folders), "title", "body")
