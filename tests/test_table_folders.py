@@ -25,3 +25,13 @@ def test_entries_of_a_streamed_folder(spark, rows, folders):
     got = rows(all_queries()["stream_kv_upsert"](spark, folders), "title", "body")
     assert len(got) == 6 and ("src0/a", "text 36") in got
     assert got == rows(all_queries()["kv_upsert"](spark, folders), "title", "body")
+
+
+def test_forms_of_a_streamed_folder(spark, rows, folders):
+    got = all_queries()["stream_save_forms"](spark, folders).collect()
+    # Forms without an author or with a bad date go nowhere.
+    drafts = [n for n in range(0, 40, 3) if n % 10 and n % 4 // 2 == 0]
+    saved = [n for n in range(0, 40, 3) if n % 10 and n % 4 // 2]
+    assert sorted(r["body"] for r in got if r["route"] == "table") == sorted(f"text {n}" for n in saved)
+    last = {f"src{n % 3}/{'ab'[n % 2]}": f"text {n}" for n in drafts}
+    assert {r["title"]: r["body"] for r in got if r["route"] == "entries"} == last
