@@ -1,5 +1,6 @@
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,6 +219,44 @@ def test_an_alert_with_several_selectors_counts_once(spark, rows):
         ("A", "101", 2, "2"), ("A", "102", 3, "3"), ("B", "101", 2, "3")]
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4])
+def test_alerts_of_many_selectors_against_every_pair(spark, rows, size):
+    rng, names = random.Random(size), [f"s{i}" for i in range(size)]
+    given = [(rng.choice([None, *range(60)]), *[rng.choice([None, None, "x", "y", "z"]) for _ in names])
+             for _ in range(300)]
+    targets = {tuple(rng.choice([None, "x", "y", "z", "w"]) for _ in names) for _ in range(40)}
+    by_id = Counter(i for i, *_ in {g for g in given if any(g[1:])})
+    want = []
+    for t in targets:
+        # Alerts without an id are one, and counted only if it has one selector.
+        found = {i for i, *s in given if any(s) and all(x is None or x == y for x, y in zip(s, t))
+                 and (i is not None or by_id[None] == 1)}
+        if found:
+            want.append((*t, len(found), max(i for i in found if i is not None)))
+    kinds = ", ".join(f"{n} string" for n in names)
+    got = alerts.alert_targets(spark.createDataFrame(given, f"id int, {kinds}"),
+                               spark.createDataFrame(sorted(targets, key=repr), kinds), names)
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_no_row_per_alert_and_target(spark):
+    n = 2000
+    many = spark.range(n).selectExpr("id", "'A' route_id", "cast(null as string) stop_id").unionByName(
+        spark.range(n).selectExpr("id", "cast(null as string) route_id", "cast(id % 7 as string) stop_id"))
+    targets = spark.range(500).selectExpr("'A' route_id", "cast(id as string) stop_id")
+    got = alerts.alert_targets(many, targets, ["route_id", "stop_id"])
+    assert {(r["alerts"], r["last_id"]) for r in got.collect()} == {(n, n - 1)}
+    plan = got._jdf.queryExecution().executedPlan()
+    sizes, left = [], [plan.executedPlan() if "Adaptive" in plan.nodeName() else plan]
+    while left:
+        node = left.pop()
+        if node.metrics().contains("numOutputRows"):
+            sizes.append(node.metrics().apply("numOutputRows").value())
+        below = [node.plan()] if "QueryStage" in node.nodeName() else []
+        left += below + [node.children().apply(i) for i in range(node.children().size())]
+    assert n <= max(sizes) <= 8 * n
+
+
 def test_messages_that_are_no_snapshot_are_set_aside(spark, rows):
     sent = spark.createDataFrame([(1, '{"header": {}, "entity": [{"id": "x"}]}'), (2, "{broken"), (3, None)],
                                  "seq int, value string")
