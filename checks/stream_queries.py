@@ -87,27 +87,37 @@ def stream_net_delta(spark, sf):
                                  ["station_id", "window_start", "window_end"], "seq", ["net"])
 
 
-def _dealt(spark, rows: DataFrame, order: str, batches: int = 3) -> DataFrame:
-    """A stream that takes all rows in ``batches`` micro-batches, in order."""
-    path = session.shared_dir(spark, "dealt")
+def _dealt(spark, rows: DataFrame, order: str, update, batches: int = 3) -> DataFrame:
+    """What ``update`` of a stream of all rows wrote, which arrive in ``batches`` micro-batches, in order.
+
+    The rows are made once and put down by batch; each batch's files then arrive and
+    are taken by a run from the checkpoint of the one before.
+    """
+    made, path = session.shared_dir(spark, "made"), session.shared_dir(spark, "dealt")
+    rows.write.parquet(made)
+    rows = spark.read.schema(rows.schema).parquet(made)
     low, high = rows.agg(F.min(order), F.max(order)).first()
     part = F.floor((c(order) - low) * batches / (high - low + 1))
+    out, checkpoint = session.shared_dir(spark, "stream"), session.shared_dir(spark, "checkpoint")
     for n in range(batches):
-        rows.where(part == n).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.where(part == n).write.mode("append").parquet(path)
+        updates = update(spark.readStream.schema(rows.schema).parquet(path))
+        run.run_available(updates, writers.files(out), checkpoint)
+    return spark.read.schema(T.StructType(updates.schema.fields + [
+        T.StructField(writers.BATCH, T.LongType())])).parquet(out)
 
 
 @query
 def stream_keyed_net_delta(spark, sf):
-    readings = _dealt(spark, b.station_status(b.events(spark, sf)), "seq")
-    return _through_files(spark, keyed.net_delta_updates(readings, "1 day", lateness=timedelta(days=3650))).select(
+    return _dealt(spark, b.station_status(b.events(spark, sf)), "seq", lambda readings: keyed.net_delta_updates(
+        readings, "1 day", lateness=timedelta(days=3650))).select(
         "station_id", "window_start", "seq", "num_bikes_available", "net")
 
 
 @query
 def stream_keyed_improvements(spark, sf):
-    arrivals = _dealt(spark, train_plan.arrivals(b.trip_topic(b.events(spark, sf))), "seq")
-    return _through_files(spark, keyed.arrival_improvements(arrivals, now())).drop(writers.BATCH)
+    return _dealt(spark, train_plan.arrivals(b.trip_topic(b.events(spark, sf))), "seq",
+                  lambda arrivals: keyed.arrival_improvements(arrivals, now())).drop(writers.BATCH)
 
 
 @query

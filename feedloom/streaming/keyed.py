@@ -5,9 +5,10 @@ micro-batch.  Here Spark's ``transformWithState`` holds it in RocksDB: a
 micro-batch reads and writes the keys it has rows of, and what it stores does
 not grow with the keys that are there already.  The results are the same.
 
-A key's rows of one micro-batch are put in order in the task that holds the key,
-as columns of numbers (about 32 bytes a row); the source's limit per trigger
-bounds them.
+Keys are handed to Python by the hash of the key, ``BUCKETS`` of them at most: a
+bucket's rows of one micro-batch are folded together as columns of numbers (about
+50 bytes a row), and each of its keys is read from the state once and written once.
+The source's limit per trigger bounds the rows of a bucket.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from feedloom.streaming.folds import confirmed
 
 #: Rows that leave a processor at a time.
 CHUNK = 100_000
+#: Groups that keys are handed over in; a running query's checkpoint holds it.
+BUCKETS = 1024
 
 
 def with_keyed_state(spark: SparkSession) -> SparkSession:
@@ -42,6 +45,13 @@ def _in_order(rows: Iterator[pd.DataFrame], columns: list[str], order: str) -> p
         order, kind="stable", ignore_index=True)
 
 
+def _after_seeds(codes: np.ndarray, seeds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values by code, in order, each code's seed before them: codes, values and which are seeds."""
+    both = np.concatenate([np.arange(len(seeds)), codes])
+    by_code = np.argsort(both, kind="stable")
+    return both[by_code], np.concatenate([seeds, values])[by_code], by_code < len(seeds)
+
+
 def _chunks(out: pd.DataFrame) -> Iterator[pd.DataFrame]:
     for start in range(0, len(out), CHUNK):
         yield out.iloc[start:start + CHUNK]
@@ -49,15 +59,23 @@ def _chunks(out: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 def _run(rows: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
     with_keyed_state(rows.sparkSession)
-    return rows.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", "None")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    return rows.withColumn("_bucket", bucket).groupBy("_bucket").transformWithStateInPandas(
+        processor, schema, "append", "None")
 
 
 # --- change totals ----------------------------------------------------------
 
 class ChangeTotals(StatefulProcessor):
-    """One station's open windows (last reading and total) and its clock."""
+    """Each station's open windows (last reading and total) and its clock.
 
-    columns = ["start_us", "end_us", "at_us", "seq", "num_bikes_available"]
+    A station is one record, as long as its open windows are many: the lateness over
+    the length of a window bounds them.
+    """
+
+    columns = ["station_id", "start_us", "end_us", "at_us", "seq", "num_bikes_available"]
+    #: What is held of a window, as whole numbers of eight bytes.
+    window = ["start", "end", "last", "net"]
 
     def __init__(self, baseline: str, lateness: timedelta):
         if baseline not in ("zero", "first"):
@@ -65,37 +83,58 @@ class ChangeTotals(StatefulProcessor):
         self.baseline, self.lateness = baseline, lateness // timedelta(microseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.windows = handle.getMapState("windows", "start bigint", "end bigint, last int, net bigint")
-        self.clock = handle.getValueState("clock", "clock bigint, reached bigint")
+        self.stations = handle.getMapState("stations", "station_id string",
+                                           "clock bigint, reached bigint, windows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, self.columns, "seq")
-        clock, last = self.clock.get() if self.clock.exists() else (None, None)
-        bound = None if clock is None else clock - self.lateness
-        late = np.zeros(len(batch), bool) if bound is None else (batch["end_us"] <= bound).to_numpy()
+        code, names = pd.factorize(batch["station_id"])
+        held = [self.stations.getValue((name,)) or (None, None, b"") for name in names]
+        open_until = np.array([np.iinfo(np.int64).min if clock is None else clock - self.lateness
+                               for clock, *_ in held], np.int64)
+        late = batch["end_us"].to_numpy(np.int64) <= open_until[code]
+        windows = self._windows(code[~late], batch[~late], [blob for *_, blob in held])
         net = np.zeros(len(batch), np.int64)
-        for start, part in batch[~late].groupby("start_us", sort=True):
-            net[part.index] = self._fold(int(start), int(part["end_us"].iloc[0]),
-                                         part["num_bikes_available"].to_numpy(np.int64))
-        now = int(batch["at_us"].max())
-        moved = confirmed(clock, last, now)
-        self.clock.update((moved, now))
-        if moved != clock:
-            closed = [start for start, value in self.windows.iterator() if value[0] <= moved - self.lateness]
-            for start in closed:
-                self.windows.removeKey(tuple(start))
+        net[~late] = windows.pop("steps")
+        now = batch.groupby(code)["at_us"].max().to_numpy(np.int64)
+        moved = [confirmed(clock, reached, int(at)) for (clock, reached, _), at in zip(held, now)]
+        closed_until = np.array([np.iinfo(np.int64).min if clock is None else clock - self.lateness
+                                 for clock in moved], np.int64)
+        left = windows["end"] > closed_until[windows["code"]]
+        table = np.stack([windows[name][left] for name in self.window], axis=1)
+        ends = np.cumsum(np.bincount(windows["code"][left], minlength=len(names)))
+        for i, name in enumerate(names):
+            part = table[ends[i - 1] if i else 0:ends[i]]
+            self.stations.updateValue((name,), (moved[i], int(now[i]), part.tobytes()))
         yield from _chunks(pd.DataFrame({
-            "station_id": key[0], "start_us": batch["start_us"], "end_us": batch["end_us"], "seq": batch["seq"],
-            "num_bikes_available": batch["num_bikes_available"],
+            "station_id": batch["station_id"], "start_us": batch["start_us"], "end_us": batch["end_us"],
+            "seq": batch["seq"], "num_bikes_available": batch["num_bikes_available"],
             "net": pd.Series(net).astype("Int64").mask(late), "late": late}))
 
-    def _fold(self, start: int, end: int, values: np.ndarray) -> np.ndarray:
-        """The totals after each of a window's new readings, which follow its stored one."""
-        held = self.windows.getValue((start,)) if self.windows.containsKey((start,)) else None
-        _, entry, total = held or (end, 0 if self.baseline == "zero" else int(values[0]), 0)
-        net = total + np.abs(np.diff(values, prepend=entry)).cumsum()
-        self.windows.updateValue((start,), (end, int(values[-1]), int(net[-1])))
-        return net
+    def _windows(self, code: np.ndarray, batch: pd.DataFrame, blobs: list[bytes]) -> dict[str, np.ndarray]:
+        """All open windows, by station, after a batch's readings; ``steps`` are the totals after each reading."""
+        known = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, len(self.window))
+        stored = np.repeat(np.arange(len(blobs)), [len(x) // (8 * len(self.window)) for x in blobs])
+        start, value = (batch[c].to_numpy(np.int64) for c in ("start_us", "num_bikes_available"))
+        # The stored windows come first, so that each window's last row here is its newest one.
+        rows = pd.DataFrame({"code": np.concatenate([stored, code]), "start": np.concatenate([known[:, 0], start])})
+        place = rows.groupby(["code", "start"], sort=True).ngroup().to_numpy()
+        n = int(place.max()) + 1 if len(place) else 0
+        at, reading = place[:len(known)], place[len(known):]
+        entry, total, end, first = (np.zeros(n, np.int64) for _ in range(4))
+        if self.baseline == "first":
+            first[reading[::-1]] = value[::-1]
+        entry[:], end[reading] = first, batch["end_us"].to_numpy(np.int64)
+        end[at], entry[at], total[at] = known[:, 1], known[:, 2], known[:, 3]
+        codes, values, seed = _after_seeds(reading, entry, value)
+        step = np.where(seed, total[codes], np.abs(np.diff(values, prepend=0)))
+        net = pd.Series(step).groupby(codes).cumsum().to_numpy(np.int64)
+        newest = np.append(codes[1:] != codes[:-1], True)[:len(codes)]
+        owner, begin = (np.zeros(n, np.int64) for _ in range(2))
+        owner[place], begin[place] = rows["code"], rows["start"]
+        steps = np.empty(len(reading), np.int64)
+        steps[np.argsort(reading, kind="stable")] = net[~seed]
+        return {"code": owner, "start": begin, "end": end, "last": values[newest], "net": net[newest], "steps": steps}
 
     def close(self) -> None:
         pass
@@ -128,24 +167,29 @@ def net_delta_updates(readings: DataFrame, window: str = "60 minutes", baseline:
 # --- arrivals ---------------------------------------------------------------
 
 class EarliestArrival(StatefulProcessor):
-    """The earliest arrival that a track has had."""
+    """The earliest arrival that each track has had."""
 
-    def __init__(self, order: str):
-        self.order = order
+    def __init__(self, order: str, track: str):
+        self.order, self.track = order, track
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "arrival bigint")
+        self.best = handle.getMapState("best", self.track, "arrival bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, list(dict.fromkeys(["seq", self.order, "arrival"])), self.order)
-        arrivals = batch["arrival"].to_numpy(np.int64)
-        before = np.minimum.accumulate(np.concatenate(
-            ([self.best.get()[0] if self.best.exists() else np.iinfo(np.int64).max], arrivals)))
-        better = batch[arrivals < before[:-1]]
-        if len(better):
-            self.best.update((int(before[-1]),))
-        yield from _chunks(pd.DataFrame({
-            "seq": better["seq"], **dict(zip(transit.TRACK, key)), "arrival": better["arrival"]}))
+        batch = _in_order(rows, list(dict.fromkeys(["seq", self.order, *transit.TRACK, "arrival"])), self.order)
+        groups = batch.groupby(transit.TRACK, sort=False)
+        code = groups.ngroup().to_numpy()
+        tracks = list(batch[transit.TRACK].drop_duplicates().itertuples(index=False, name=None))
+        none = np.iinfo(np.int64).max
+        held = np.array([none if x is None else x[0] for x in map(self.best.getValue, tracks)], np.int64)
+        codes, values, seed = _after_seeds(code, held, batch["arrival"].to_numpy(np.int64))
+        best = pd.Series(values).groupby(codes).cummin().to_numpy(np.int64)
+        better = np.empty(len(batch), bool)
+        better[np.argsort(code, kind="stable")] = (values[1:] < best[:-1])[~seed[1:]]
+        last = best[np.append(codes[1:] != codes[:-1], True)]
+        for i in np.flatnonzero(last < held):
+            self.best.updateValue(tracks[i], (int(last[i]),))
+        yield from _chunks(batch.loc[better, ["seq", *transit.TRACK, "arrival"]])
 
     def close(self) -> None:
         pass
@@ -162,4 +206,5 @@ def arrival_improvements(arrivals: DataFrame, now: Column) -> DataFrame:
         *dict.fromkeys(["seq", order, *transit.TRACK, "arrival"]))
     kinds = dict(rows.dtypes)
     fields = ", ".join(f"{name} {kinds[name]}" for name in ("seq", *transit.TRACK, "arrival"))
-    return _run(rows, transit.TRACK, EarliestArrival(order), fields)
+    track = ", ".join(f"{name} {kinds[name]}" for name in transit.TRACK)
+    return _run(rows, transit.TRACK, EarliestArrival(order, track), fields)

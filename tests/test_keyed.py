@@ -103,3 +103,57 @@ def test_a_batch_of_one_key_writes_as_much_over_many_keys_as_over_few(spark, tmp
         sizes[stored] = [logged(os.path.join(checkpoint, "state"), v) for v in (1, 2)]
     assert sizes[50_000][0] > 20 * sizes[100][0]
     assert 0 < sizes[50_000][1] < 1.5 * sizes[100][1]
+
+
+def plain_totals(batches, window, lateness, baseline):
+    """One reading after another, station by station."""
+    clocks, open_windows, out = {}, {}, []
+    for batch in batches:
+        times = {}
+        for station, ts, seq, value in sorted(batch, key=lambda r: r[2]):
+            if station is None or value is None:
+                continue
+            start = ts - timedelta(minutes=(ts - at("2024-01-01")) // timedelta(minutes=1) % window)
+            clock, _ = clocks.get(station, (None, None))
+            late = clock is not None and start + timedelta(minutes=window) <= clock - lateness
+            if not late:
+                entry, net = open_windows.get((station, start), (0 if baseline == "zero" else value, 0))
+                open_windows[station, start] = value, net + abs(value - entry)
+            out.append((station, seq, value, None if late else open_windows[station, start][1], late))
+            times[station] = max(ts, times.get(station, ts))
+        for station, now in times.items():
+            clock, reached = clocks.get(station, (None, None))
+            both = min(reached, now) if reached is not None else None
+            clocks[station] = max((x for x in (clock, both) if x is not None), default=None), now
+        for station, start in list(open_windows):
+            clock = clocks[station][0]
+            if clock is not None and start + timedelta(minutes=window) <= clock - lateness:
+                del open_windows[station, start]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("baseline", ["zero", "first"])
+@pytest.mark.parametrize("buckets", [1, 1024])
+def test_stations_of_one_bucket_keep_their_own_clocks(spark, rows, tmp_path, monkeypatch, baseline, buckets):
+    monkeypatch.setattr(keyed, "BUCKETS", buckets)
+    rng = random.Random(buckets)
+    batches = [[(None if rng.random() < 0.02 else f"s{rng.randint(0, 8)}",
+                 at("2024-01-01") + timedelta(minutes=60 * b * rng.randint(0, 3) + rng.randint(0, 90)),
+                 b * 200 + q, None if rng.random() < 0.05 else rng.randint(0, 20)) for q in range(200)]
+               for b in range(4)]
+    stream = stream_of(spark, str(tmp_path / "in"), READINGS, *batches)
+    got = taken(spark, keyed.net_delta_updates(stream, "15 minutes", baseline, timedelta(minutes=30)), tmp_path)
+    want = plain_totals(batches, 15, timedelta(minutes=30), baseline)
+    assert any(r[-1] for r in want)
+    assert rows(got, "station_id", "seq", "num_bikes_available", "net", "late") == want
+
+
+def test_a_station_is_read_and_written_once_a_batch(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(6000).selectExpr(
+        "cast(id % 600 as string) station_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id div 600) ts",
+        "id seq", "3 num_bikes_available").coalesce(1).write.parquet(path)
+    done = run.run_available(keyed.net_delta_updates(spark.readStream.schema(READINGS).parquet(path)),
+                             lambda df, n: df.write.format("noop").mode("append").save(), str(tmp_path / "checkpoint"))
+    # Ten windows and a clock, but one record.
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in done.recentProgress if p["stateOperators"]) == 600
