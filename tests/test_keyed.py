@@ -157,3 +157,20 @@ def test_a_station_is_read_and_written_once_a_batch(spark, tmp_path):
                              lambda df, n: df.write.format("noop").mode("append").save(), str(tmp_path / "checkpoint"))
     # Ten windows and a clock, but one record.
     assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in done.recentProgress if p["stateOperators"]) == 600
+
+
+def test_rows_that_are_dealt_are_made_once(spark, tmp_path, monkeypatch):
+    from checks import queries, stream_queries
+    path, made = str(tmp_path), spark.sparkContext.accumulator(0)
+    spark.range(90).selectExpr(
+        "id event_id", "to_timestamp_ntz('2024-01-20') ts", "id % 3 user_id", "'view' event_type", "100D - id value",
+        "'{}' props").write.parquet(f"{path}/events.parquet")
+
+    def counted(seq):
+        made.add(1)
+        return seq
+
+    real, count = stream_queries.train_plan.arrivals, F.udf(counted, "long").asNondeterministic()
+    monkeypatch.setattr(stream_queries.train_plan, "arrivals", lambda topic: real(topic).withColumn("seq", count("seq")))
+    got = queries.all_queries()["stream_keyed_improvements"](spark, path)
+    assert got.count() > 5 and made.value == 90
