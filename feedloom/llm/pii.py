@@ -4,17 +4,17 @@ Generators of high recall propose overlapping spans: the strict patterns (the
 base, which always stays) and loose ones, such as written-out mail addresses,
 phone numbers without a plus, parts of digit runs with other separators, IPv6
 addresses and addresses with marked dots.  Boosted trees score each candidate by
-its format and its context.  They learn from a bounded sample of distinct texts:
-each base span is written anew in a loose form, in its own place.  The candidate
+its format and its context.  They learn from all distinct texts, each of which
+counts once: each base span is written anew in a loose form, in its own place.  The candidate
 that is exactly this form is positive; others that touch it, and all candidates
 of the text that touch no base span, are negative.  The latter may be personal
-data without a label, so that measured precision is a lower bound.  On the sample
-texts kept from training, each kind gets the lowest threshold whose precision
+data without a label, so that measured precision is a lower bound.  The texts are
+dealt by their hash: three of four train the trees, and on the others each kind gets the lowest threshold whose precision
 reaches ``PRECISION``; candidates above it that overlap no better span are added.
 
 Every pattern takes time in proportion to the text, whatever it holds.
 
-Defined cases: a null text is empty; where the sample lacks positive or negative
+Defined cases: a null text is empty; where the table lacks positive or negative
 candidates nothing is added to the base; equal scores go to the earlier, then
 the longer candidate; repeated rows have equal results; an empty table gives no
 rows; other columns stay, but for one named like the new one.
@@ -27,6 +27,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -40,12 +41,12 @@ from pyspark.sql import types as T
 from feedloom.llm.common import decoded_texts, free_name, map_batches, slices, with_columns, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Distinct texts that the trees and thresholds are fitted on, expected number at most.
-SAMPLE_ROWS = 20_000
 TREES, DEPTH, PRECISION = 12, 3, 0.9
 WINDOW = 24
 #: Steps between the scores 0 and 1 that a threshold can have.
 SCORE_STEPS = 1000
+#: Examples that leave a task at a time.
+EXAMPLES = 4096
 #: A number is written in at most so many groups of digits.
 GROUPS = 6
 
@@ -294,22 +295,29 @@ def examples(text: str) -> Iterator[tuple[str, list[float], float]]:
 
 
 def labelled(docs: DataFrame, text_col: str) -> DataFrame:
-    """(kind, features, label, fold) of the examples in a sample; a text has one fold of four."""
-    source = docs.select(F.col(text_col).cast("string").cast("binary").alias("t"))
+    """(kind, features, label, fold) of the examples of all texts; a text has one fold of four.
+
+    ``text`` is the text's hash and ``place`` the example's number in it."""
+    text = F.col(text_col).cast("string")
+    source = docs.where(F.length(text) > 0).select(text.cast("binary").alias("t"), F.xxhash64(text).alias("text"))
+
+    def rows_of(part: pa.RecordBatch) -> Iterator[tuple]:
+        for text, key in zip(decoded_texts(part.column("t")), part.column("text").to_pylist()):
+            fold = int(hashlib.md5(text.encode()).hexdigest()[:8], 16) % 4
+            for place, example in enumerate(examples(text)):
+                yield *example, fold, key, place
+
+    kinds = [pa.string(), pa.list_(pa.float64()), pa.float64(), pa.int32(), pa.int64(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "t"):
-                rows = []
-                for text in decoded_texts(part.column("t")):
-                    fold = int(hashlib.md5(text.encode()).hexdigest()[:8], 16) % 4
-                    rows.extend((*example, fold) for example in examples(text))
-                kind, xs, label, fold = zip(*rows) if rows else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kind, pa.string()), pa.array(xs, pa.list_(pa.float64())),
-                     pa.array(label, pa.float64()), pa.array(fold, pa.int32())], ["kind", "x", "label", "fold"])
+                rows = rows_of(part)
+                while some := list(islice(rows, EXAMPLES)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*some), kinds)],
+                                                     ["kind", "x", "label", "fold", "text", "place"])
 
-    return map_batches(source, run, "kind string, x array<double>, label double, fold int")
+    return map_batches(source, run, "kind string, x array<double>, label double, fold int, text bigint, place int")
 
 
 def calibrated(bins: list[tuple[int, int, float]], precision: float) -> float:
@@ -345,10 +353,15 @@ def sampled(docs: DataFrame, text_col: str, sample_rows: int, seed: int) -> Data
     return texts.where(key < int(1_000_000_007 * min(1.0, sample_rows / max(distinct, 1)))).dropDuplicates(["_hash"])
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
+def fit(docs: DataFrame, *, text_col: str = "text", sample_rows: int | None = None,
         precision: float = PRECISION, seed: int = 0) -> Forest:
-    """Trees and thresholds from about ``sample_rows`` distinct texts."""
-    rows = written(labelled(sampled(docs, text_col, sample_rows, seed), text_col), "candidates")
+    """Trees and thresholds from all distinct texts, or about ``sample_rows`` of them if that is given.
+
+    Copies of a text give the same examples, which are dropped by the text's hash and
+    their place: no text is shuffled."""
+    if sample_rows is not None:
+        docs = sampled(docs, text_col, sample_rows, seed)
+    rows = written(labelled(docs, text_col).dropDuplicates(["text", "place"]), "candidates")
     train = rows.where("fold > 0")
     if train.select("label").distinct().count() < 2:
         return Forest()

@@ -148,6 +148,27 @@ def test_a_text_repeated_often_counts_once(spark):
     assert pii.sampled(df, "text", 10_000, 0).count() == 1001
 
 
+def test_trees_and_thresholds_come_from_every_distinct_text(spark, monkeypatch):
+    texts = [f"order {i} room 555 010 {i:05}" + (f" mail a{i}@b.co" if i % 40 == 0 else "") for i in range(25_000)]
+    df = spark.createDataFrame([(t,) for t in texts + texts[:500]], "text string")
+    kept, put = [], pii.written
+    monkeypatch.setattr(pii, "written", lambda rows, purpose: kept.append(put(rows, purpose)) or kept[-1])
+    scored = pii.score_bins
+    monkeypatch.setattr(pii, "score_bins", lambda rows, forest: kept.append(rows) or scored(rows, forest))
+    assert pii.fit(df).trees
+    whole = [e for t in texts for e in pii.examples(t)]
+    assert kept[0].count() == len(whole) > 25_000
+    assert kept[0].where("label = 1").count() == sum(label for *_, label in whole) == 625
+    assert kept[1].count() == kept[0].where("fold = 0").count()
+
+
+def test_a_text_of_very_many_examples_leaves_in_parts(spark):
+    text = " ".join(f"555-{i:03}-{1000 + i}" for i in range(900))
+    rows = pii.labelled(spark.createDataFrame([(text,), (None,)], "text string"), "text")
+    n = len(list(pii.examples(text)))
+    assert n > pii.EXAMPLES and rows.count() == n == rows.select("place").distinct().count()
+
+
 def test_nulls_long_and_repeated_texts_and_clashing_columns(spark, fitted):
     long = ["1" * 100_000, "a" * 100_000 + "@", "1." * 50_000, "+1" + " " * 100_000, "@" * 50_000, " at " * 30_000,
             "a@" * 40_000, "(at)" * 30_000, "1:" * 50_000, "x@y." * 20_000]
