@@ -284,9 +284,16 @@ def post_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf: str, documents: DataFrame | None = None) -> DataFrame:
-    """Forms with repeated titles, bad dates and missing authors."""
+    """Forms with repeated titles, bad dates and missing authors.
+
+    Given documents, a stream, meet the labels by a shuffle at every size: labels that
+    are broadcast while few would make its shuffled bytes jump once they are many.
+    """
     labels = table(spark, sf, "labels")
-    documents = table(spark, sf, "documents") if documents is None else documents
+    if documents is None:
+        documents = table(spark, sf, "documents")
+    else:
+        labels = labels.hint("merge")
     return documents.join(labels, "doc_id", "left").select(
         c("doc_id").alias("seq"), F.concat_ws("/", "source", "lang").alias("title"),
         c("text").alias("body"),

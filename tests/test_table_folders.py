@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from checks import bindings
 from checks.queries import all_queries
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -35,3 +36,10 @@ def test_forms_of_a_streamed_folder(spark, rows, folders):
     assert sorted(r["body"] for r in got if r["route"] == "table") == sorted(f"text {n}" for n in saved)
     last = {f"src{n % 3}/{'ab'[n % 2]}": f"text {n}" for n in drafts}
     assert {r["title"]: r["body"] for r in got if r["route"] == "entries"} == last
+
+
+def test_streamed_forms_meet_their_labels_by_a_shuffle(spark, folders):
+    # Few labels would be broadcast and many not: bytes shuffled would grow faster than the input.
+    documents = spark.read.parquet(f"{folders}/documents.parquet")
+    plan = bindings.posts(spark, folders, documents)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
